@@ -20,6 +20,13 @@ def missing_values(df: DataFrame, column: str) -> DataFrame:
     return df.where(F.col(column).isNull())
 
 
+def missing_counts(df: DataFrame, columns: Sequence[str], prefix: str = "") -> DataFrame:
+    """Nulls per column, all columns in one pass: (rule, violations)."""
+    counted = df.agg(*[F.count_if(F.col(column).isNull()).alias(column) for column in columns])
+    rules = [F.struct(F.lit(f"not null {prefix}{c}").alias("rule"), F.col(c).alias("violations")) for c in columns]
+    return counted.select(F.inline(F.array(*rules)))
+
+
 def dangling_references(child: DataFrame, column: str, parent: DataFrame, parent_column: str) -> DataFrame:
     """Referenced ids without a parent row, with the number of child rows.
 

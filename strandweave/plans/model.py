@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -49,9 +50,7 @@ class Model:
     def violations(self) -> DataFrame:
         """Every integrity rule with the number of rows that break it."""
         checks = [
-            quality.violations(f"not null {table}.{column}", quality.missing_values(self[table], column))
-            for table, columns in REQUIRED.items()
-            for column in columns
+            quality.missing_counts(self[table], columns, f"{table}.") for table, columns in REQUIRED.items()
         ]
         checks += [
             quality.violations(f"unique {table}.{column}", quality.repeated_keys(self[table], [column]))
@@ -67,10 +66,7 @@ class Model:
             )
             for child, column, parent in REFERENCES
         ]
-        result = checks[0]
-        for check in checks[1:]:
-            result = result.unionByName(check)
-        return result
+        return reduce(DataFrame.unionByName, checks)
 
 
 def open_model(spark: SparkSession, store: SegmentStore, workspace: Workspace | None = None) -> Model:

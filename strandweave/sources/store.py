@@ -76,6 +76,9 @@ class SegmentStore:
     def write(self, segment: str, table: str, df: DataFrame) -> None:
         df.write.parquet(f"{self.root}/segments/{segment}/{table}")
 
+    def read_segment(self, segment: str, table: str) -> DataFrame:
+        return self.spark.read.parquet(f"{self.root}/segments/{segment}/{table}")
+
     def read(self, table: str, schema: str) -> DataFrame:
         """All published rows of a table."""
         manifest = self.manifest()
