@@ -133,7 +133,7 @@ def cost_pips(spark, sf_dir):
 @query
 def cost_totals(spark, sf_dir):
     batch = load(spark, sf_dir)
-    pips = batch.workspace.save(batch.dimension("mana_pip"), "pips")
+    pips = batch.dictionary("mana_pip").with_df(batch.dimension("mana_pip"))
     return costs.cost_totals(batch.dimension("mana_cost"), batch.cost_pips(), pips)
 
 
@@ -147,7 +147,12 @@ def within_identity(spark, sf_dir):
     """Cards that fit a white and blue identity."""
     batch = load(spark, sf_dir)
     cards = batch.kept.select(F.col(ROW_ORD).alias("card_id"), "uuid")
-    return identity_within(cards, batch.bridge(COLOR), batch.dictionary(COLOR.table), ["W", "U"])
+    return identity_within(cards, batch.bridge(COLOR), _sized(batch, COLOR), ["W", "U"])
+
+
+def _sized(batch: Load, column: ListColumn) -> Table:
+    """A fresh load's dimension, with its known size."""
+    return batch.dictionary(column.table).with_df(batch.dimension(column.table))
 
 
 # -- aggregates and the profile --------------------------------------------------------------------
@@ -156,7 +161,7 @@ def within_identity(spark, sf_dir):
 def _joined(result: str) -> Query:
     def run(spark, sf_dir):
         batch, column = load(spark, sf_dir), PROFILE_LISTS[result]
-        return joined_names(batch.bridge(column), batch.dictionary(column.table), column.id_name, column.key, result)
+        return joined_names(batch.bridge(column), _sized(batch, column), column.id_name, column.key, result)
 
     return run
 
@@ -167,7 +172,8 @@ for _result in PROFILE_LISTS:
 
 def planned_profile(batch: Load) -> DataFrame:
     """The profile of one load, from only the parts it needs."""
-    names = [(column, batch.bridge(column), batch.dictionary(column.table)) for column in PROFILE_LISTS.values()]
+    batch.prepare(["mana_cost", *(column.table for column in PROFILE_LISTS.values())])
+    names = [(column, batch.bridge(column), _sized(batch, column)) for column in PROFILE_LISTS.values()]
     costs_table = batch.workspace.save(batch.dimension("mana_cost"), "costs")
     return profile(batch.card_costs(), costs_table, names, list(PROFILE_LISTS))
 

@@ -7,9 +7,12 @@ from pyspark.sql import Column, functions as F
 from strandweave import fixed
 
 
-def list_tokens(text: Column, separator: str = fixed.LIST_SEPARATOR) -> Column:
-    """Items of a delimited text, blanks trimmed, empty items kept; null stays null."""
-    return F.transform(F.split(text, separator), lambda item: F.trim(item))
+def list_tokens(text: Column) -> Column:
+    """Items of a delimited text without surrounding blanks, empty items kept; null stays null.
+
+    The separator takes the white space around it, so only the ends of the text need a trim.
+    """
+    return F.split(F.trim(text), fixed.LIST_SEPARATOR)
 
 
 def brace_tokens(text: Column, pattern: str = fixed.COST_TOKEN) -> Column:

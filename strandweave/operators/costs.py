@@ -6,16 +6,10 @@ from pyspark.sql import DataFrame, functions as F
 
 from strandweave.fixed import ROW_ORD
 from strandweave.functions import brace_tokens, first_seen_id, integer, pip_cost, pip_symbol, total_cost
-from strandweave.operators.dimensions import first_seen, key_dimension
 from strandweave.operators.lookup import Lookup, attach
 from strandweave.tables import Table
 
 
-def cost_keys(records: DataFrame, column: str) -> DataFrame:
-    """Distinct upper-cased cost texts."""
-    return key_dimension(records, F.upper(column), "mana_cost_id", "mana_cost_text")
-
-
 def null_costs(records: DataFrame, column: str) -> DataFrame:
     """A cost row for every record without a cost: nulls never equal one another."""
     return records.where(F.col(column).isNull()).select(
@@ -27,13 +21,17 @@ def null_costs(records: DataFrame, column: str) -> DataFrame:
 
 def cost_dimension(keys: DataFrame, records: DataFrame, column: str) -> DataFrame:
     """Cost rows with totals. Totals are summed inside each distinct text's row."""
-    keyed = keys.select("mana_cost_id", "mana_cost_text", total_cost(F.col("mana_cost_text")).alias("mana_cost_total"))
+    keyed = keys.select(
+        F.col("id").alias("mana_cost_id"),
+        F.col("key").alias("mana_cost_text"),
+        total_cost(F.col("key")).alias("mana_cost_total"),
+    )
     return keyed.unionByName(null_costs(records, column))
 
 
 def pip_rows(keys: DataFrame) -> DataFrame:
     """Every pip of every distinct cost text, repeats kept."""
-    tokens = keys.select("mana_cost_id", F.posexplode(brace_tokens(F.col("mana_cost_text"))).alias("pos", "token"))
+    tokens = keys.select(F.col("id").alias("mana_cost_id"), F.posexplode(brace_tokens(F.col("key"))).alias("pos", "token"))
     return tokens.select(
         first_seen_id(F.col("mana_cost_id"), F.col("pos")).alias("mana_cost_mana_pip_id"),
         "mana_cost_id",
@@ -42,17 +40,24 @@ def pip_rows(keys: DataFrame) -> DataFrame:
 
 
 def pip_keys(pips: DataFrame) -> DataFrame:
-    return first_seen(pips, "mana_pip_symbol", F.col("mana_cost_mana_pip_id"), "mana_pip_id")
+    """Key rows of the pips, see ``dimensions``."""
+    return pips.select(
+        F.lit("mana_pip").alias("table"), F.col("mana_pip_symbol").alias("key"), F.col("mana_cost_mana_pip_id").alias("place")
+    )
 
 
 def pip_dimension(keys: DataFrame) -> DataFrame:
-    return keys.select("mana_pip_id", "mana_pip_symbol", pip_cost(F.col("mana_pip_symbol")).alias("mana_pip_cost"))
+    return keys.select(
+        F.col("id").alias("mana_pip_id"),
+        F.col("key").alias("mana_pip_symbol"),
+        pip_cost(F.col("key")).alias("mana_pip_cost"),
+    )
 
 
-def cost_pip_bridge(pips: DataFrame, dim: Table) -> DataFrame:
+def cost_pip_bridge(pips: DataFrame, keys: Table) -> DataFrame:
     """Bag of (cost, pip): one row per printed pip."""
-    lookup = Lookup(dim, "mana_pip_symbol", "mana_pip_symbol", {"mana_pip_id": "mana_pip_id"})
-    return attach(pips, [lookup], "mana_cost_mana_pip_id").select("mana_cost_mana_pip_id", "mana_cost_id", "mana_pip_id")
+    joined = attach(pips, [Lookup(keys, "mana_pip_symbol", "key", {"mana_pip_id": "id"})], "mana_cost_mana_pip_id")
+    return joined.select("mana_cost_mana_pip_id", "mana_cost_id", "mana_pip_id")
 
 
 def cost_totals(costs: DataFrame, bridge: DataFrame, pips: Table) -> DataFrame:
@@ -61,5 +66,7 @@ def cost_totals(costs: DataFrame, bridge: DataFrame, pips: Table) -> DataFrame:
     priced = attach(bridge.select("mana_cost_mana_pip_id", "mana_cost_id", "mana_pip_id"), [lookup], "mana_cost_mana_pip_id")
     totals = priced.groupBy("mana_cost_id").agg(F.sum("mana_pip_cost").alias("total"))
     return costs.select("mana_cost_id", "mana_cost_text").join(totals, "mana_cost_id", "left").select(
-        "mana_cost_id", "mana_cost_text", integer(F.coalesce("total", F.lit(0).cast("long")).cast("string")).alias("mana_cost_total")
+        "mana_cost_id",
+        "mana_cost_text",
+        integer(F.coalesce("total", F.lit(0).cast("long")).cast("string")).alias("mana_cost_total"),
     )

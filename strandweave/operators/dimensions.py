@@ -1,7 +1,15 @@
-"""Deduplicated dimensions with first-seen ids."""
+"""Deduplicated keys with first-seen ids, for any number of dimensions in one pass.
+
+Key rows have the columns ``table``, ``key`` and ``place``; the smallest place of a key
+becomes its id.  All dimensions share one scan and one shuffle of distinct keys, which
+tasks have already reduced, so neither the number of dimensions nor a popular key adds
+passes or skew.
+"""
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from strandweave.fixed import ROW_ORD
@@ -9,71 +17,78 @@ from strandweave.functions import first_seen_id, list_tokens, stat_flags, stat_v
 from strandweave.operators.lookup import known
 from strandweave.tables import Table
 
-
-def first_seen(rows: DataFrame, key: str, position: Column, id_name: str) -> DataFrame:
-    """Distinct non-null keys, each with its smallest position as id."""
-    return rows.where(F.col(key).isNotNull()).groupBy(key).agg(F.min(position).alias(id_name)).select(id_name, key)
-
-
-def key_dimension(records: DataFrame, value: Column, id_name: str, key: str) -> DataFrame:
-    """Dimension of a single-valued column; ``value`` is the normalised key."""
-    keyed = records.select(ROW_ORD, value.alias(key))
-    return first_seen(keyed, key, F.col(ROW_ORD), id_name)
+FLAG_BITS = 2
 
 
-def token_rows(records: DataFrame, text: Column, key: str) -> DataFrame:
-    """One row per item of a delimited column, with its position."""
-    return records.select(ROW_ORD, F.posexplode(list_tokens(text)).alias("pos", key))
+def column_keys(records: DataFrame, columns: Mapping[str, tuple[Column, Column]]) -> DataFrame:
+    """Key rows of single-valued columns: table -> (key, place). Null keys give no row."""
+    rows = [
+        F.struct(F.lit(table).alias("table"), key.alias("key"), place.alias("place"))
+        for table, (key, place) in columns.items()
+    ]
+    return records.select(F.inline(F.array(*rows))).where("key IS NOT NULL")
 
 
-def token_dimension(records: DataFrame, text: Column, id_name: str, key: str) -> DataFrame:
-    """Dimension of the items of a delimited column."""
-    return first_seen(token_rows(records, text, key), key, first_seen_id(F.col(ROW_ORD), F.col("pos")), id_name)
+def list_rows(records: DataFrame, columns: Mapping[str, str], distinct: bool = False) -> DataFrame:
+    """(row_ord, table, pos, key) per item of delimited columns: table -> column.
 
+    ``distinct`` keeps one of the equal items of a cell, and numbers what is left.
+    """
+    cells = [F.struct(F.lit(table).alias("table"), F.col(column).alias("cell")) for table, column in columns.items()]
+    rows = records.select(ROW_ORD, F.inline(F.array(*cells)))
+    items = list_tokens(F.col("cell"))
+    if distinct:
+        items = F.array_distinct(items)
+    return rows.select(ROW_ORD, "table", F.posexplode(items).alias("pos", "key"))
 
-def set_dimension(records: DataFrame, kept: DataFrame, column: str, id_name: str, key: str) -> DataFrame:
-    """Whole values of every record, then the items of the kept ones.
 
-    For values without a separator the items add nothing.
-    """
-    whole = records.select(F.col(column).alias(key), first_seen_id(F.col(ROW_ORD), 0).alias("at"))
-    items = token_rows(kept, F.col(column), key).select(key, first_seen_id(F.col(ROW_ORD), F.col("pos") + 1).alias("at"))
-    return first_seen(whole.unionByName(items), key, F.col("at"), id_name)
+def list_keys(records: DataFrame, columns: Mapping[str, str], offset: int = 0) -> DataFrame:
+    """Key rows of delimited columns."""
+    rows = list_rows(records, columns)
+    return rows.select("table", "key", first_seen_id(F.col(ROW_ORD), F.col("pos") + offset).alias("place"))
 
 
-def stat_dimension(records: DataFrame, column: str, prefix: str, numeric_star: bool = False) -> DataFrame:
-    """Dimension of printed power or toughness values.
+def stat_key(column: str, numeric_star: bool = False) -> tuple[Column, Column]:
+    """Key and place of a printed power or toughness.
 
     Different texts can share a value (a literal -9999 and X); the flags are those of the
-    first one, carried in the low bits of the ordinal so that ``min`` picks both.
+    first one, carried in the low bits of the place so that the smallest place picks both.
     """
-    text = F.col(column)
-    flagged = F.shiftleft(F.col(ROW_ORD), 2).bitwiseOR(stat_flags(text, numeric_star).cast("long"))
-    value = f"{prefix}_value"
-    rows = records.where(text.isNotNull()).select(stat_value(text).alias(value), flagged.alias("first"))
-    found = rows.groupBy(value).agg(F.min("first").alias("first"))
-    return found.select(
-        F.shiftright("first", 2).alias(f"{prefix}_id"),
-        value,
-        (F.col("first").bitwiseAND(F.lit(2)) > 0).alias(f"is_x_{prefix}"),
-        (F.col("first").bitwiseAND(F.lit(1)) > 0).alias(f"is_star_{prefix}"),
-    )
+    flags = stat_flags(F.col(column), numeric_star).cast("long")
+    place = F.shiftleft(F.col(ROW_ORD), FLAG_BITS).bitwiseOR(flags)
+    return stat_value(F.col(column)).cast("string"), place
 
 
-def text_rows(records: DataFrame, column: str, id_name: str, text_name: str) -> DataFrame:
-    """One row per record, repeats and nulls kept; the id is the record's ordinal."""
-    return records.select(F.col(ROW_ORD).alias(id_name), F.col(column).alias(text_name))
+def first_places(key_rows: DataFrame) -> DataFrame:
+    """Distinct keys with their smallest place."""
+    return key_rows.groupBy("table", "key").agg(F.min("place").alias("place"))
 
 
-def resolve(found: Table, existing: DataFrame | None, id_name: str, key: str) -> DataFrame:
-    """Existing-wins merge of a batch's keys: stored id where there is one, plus ``is_new``."""
+def resolve(found: Table, existing: DataFrame | None) -> DataFrame:
+    """Existing-wins merge of a batch's keys (table, key, id): the stored id where there is
+    one, plus ``is_new``."""
     if existing is None:
         return found.df.withColumn("is_new", F.lit(True))
-    stored = known(existing, found, key, [id_name]).withColumnRenamed(id_name, "stored_id")
+    stored = known(existing, found, ["table", "key"]).withColumnRenamed("id", "stored_id")
     if found.fits_broadcast():
         stored = F.broadcast(stored)  # a subset of the measured keys
-    joined = found.df.join(stored, key, "left")
-    others = [name for name in found.df.columns if name != id_name]
+    joined = found.df.join(stored, ["table", "key"], "left")
+    others = [name for name in found.df.columns if name != "id"]
     return joined.select(
-        F.coalesce("stored_id", id_name).alias(id_name), *others, F.col("stored_id").isNull().alias("is_new")
+        F.coalesce("stored_id", "id").alias("id"), *others, F.col("stored_id").isNull().alias("is_new")
     )
+
+
+def stat_rows(keys: DataFrame, table: str) -> DataFrame:
+    """Stored form of power or toughness keys (id, key, flags)."""
+    return keys.select(
+        F.col("id").alias(f"{table}_id"),
+        F.col("key").cast("int").alias(f"{table}_value"),
+        (F.col("flags").bitwiseAND(F.lit(2)) > 0).alias(f"is_x_{table}"),
+        (F.col("flags").bitwiseAND(F.lit(1)) > 0).alias(f"is_star_{table}"),
+    )
+
+
+def text_rows(records: DataFrame, column: str, id_name: str, text_name: str) -> DataFrame:
+    """One row per record, repeats and nulls kept; the id is the record's ordinal."""
+    return records.select(F.col(ROW_ORD).alias(id_name), F.col(column).alias(text_name))

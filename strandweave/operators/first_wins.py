@@ -12,7 +12,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, functions as F
 
 from strandweave.fixed import DUPLICATE, ROW_ORD
-from strandweave.operators.lookup import known
+from strandweave.operators.lookup import not_stored
 from strandweave.tables import Table, Workspace
 
 
@@ -26,16 +26,6 @@ def first_rows(records: DataFrame, key: str) -> DataFrame:
     return records.join(first_ordinals(records, key).select(ROW_ORD), ROW_ORD, "left_semi")
 
 
-def unseen(firsts: Table, existing: DataFrame | None, key: str) -> DataFrame:
-    """First records whose key is not stored yet."""
-    if existing is None:
-        return firsts.df
-    seen = known(existing, firsts, key, [])
-    if firsts.fits_broadcast():
-        seen = F.broadcast(seen)  # a subset of the measured keys
-    return firsts.df.join(seen, key, "left_anti")
-
-
 @dataclass
 class Selection:
     """Winning ordinals and, while they are few, the losing ones."""
@@ -71,7 +61,7 @@ def select_first(records: DataFrame, key: str, workspace: Workspace, existing: D
     firsts = workspace.save(first_ordinals(records, key), "firsts")
     winners = firsts
     if existing is not None:
-        winners = workspace.save(unseen(firsts, existing, key), "winners")
+        winners = workspace.save(not_stored(firsts, existing, [key]), "winners")
     losers = None
     if records.count() - winners.rows <= workspace.max_rows:
         ordinals = records.select(ROW_ORD).join(winners.df.select(ROW_ORD), ROW_ORD, "left_anti")

@@ -98,12 +98,20 @@ def _filler(data_type: T.DataType, spread_by: str) -> Column:
     return (-1 - number).cast(data_type)
 
 
-def known(existing: DataFrame, keys: Table, key: str, columns: Sequence[str]) -> DataFrame:
-    """Rows of ``existing`` (unique per ``key``) whose key occurs in ``keys``.
+def known(existing: DataFrame, keys: Table, on: Sequence[str]) -> DataFrame:
+    """Rows of ``existing`` (unique per key) whose key occurs in ``keys`` (unique too).
 
     For a batch that measures small the stored table is only scanned, never shuffled.
     """
-    wanted = keys.df.select(key)
+    wanted = keys.df.select(*on)
     if keys.fits_broadcast():
         wanted = F.broadcast(wanted)
-    return existing.select(key, *columns).join(wanted, key, "left_semi")
+    return existing.join(wanted, list(on), "left_semi")
+
+
+def not_stored(rows: Table, existing: DataFrame, on: Sequence[str]) -> DataFrame:
+    """Rows (unique per key) whose key ``existing`` does not hold yet."""
+    stored = known(existing.select(*on), rows, on)
+    if rows.fits_broadcast():
+        stored = F.broadcast(stored)  # a subset of the measured rows
+    return rows.df.join(stored, list(on), "left_anti")

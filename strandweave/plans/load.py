@@ -1,42 +1,41 @@
 """The load: staging rows into dimensions, bridges and facts.
 
-Single-valued columns feed their dimension from every record, repeated or not;
-delimited columns only from the first record of a key.  A load on top of stored tables
-returns just the rows to add, and stored keys keep their ids.
+Single-valued columns feed their dimension from every record, repeated or not; delimited
+columns only from the first record of a key.  A load on top of stored tables adds rows,
+and stored keys keep their ids.
 """
 
 from __future__ import annotations
 
-from collections.abc import Mapping
-from functools import cached_property, reduce
+from collections.abc import Callable, Iterable, Mapping
+from functools import cached_property, partial, reduce
 from operator import or_
 from threading import RLock
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from strandweave.fixed import ROW_ORD
-from strandweave.functions import stat_value
+from strandweave.functions import first_seen_id, stat_value
 from strandweave.operators import costs, dimensions, multivalue
 from strandweave.operators.first_wins import Selection, select_first
-from strandweave.operators.lookup import Lookup, attach, known
-from strandweave.plans.model import Model
+from strandweave.operators.lookup import Lookup, attach, not_stored
 from strandweave.plans.schema import (
-    ABILITY,
-    COLOR,
-    FORMAT,
     KEY_COLUMNS,
+    KEY_TABLES,
     LIST_COLUMNS,
     SET,
     STAT_COLUMNS,
-    SUBTYPE,
-    SUPERTYPE,
-    TABLES,
-    TYPE,
+    STORED,
+    STORED_PARTITION,
     ListColumn,
 )
 from strandweave.sources.store import SegmentStore
 from strandweave.tables import Table, Workspace, run_together
 
+# Dimensions whose keys come straight from the records; pips come from new cost texts.
+RECORD_TABLES = ("mana_cost", *STAT_COLUMNS, *KEY_TABLES)
+_NUMBER_BYTES = 16  # beside the key, a dimension row has two short columns
+
 
 class Load:
     """One batch of staging rows. Parts are planned when asked for; shared ones are saved once."""
@@ -48,18 +47,16 @@ class Load:
         self.existing = existing
         self.numeric_power_star = numeric_power_star
         self._dictionaries: dict[str, Table] = {}
-        self._locks = {name: RLock() for name in TABLES}
-
-    def _stored(self, table: str) -> DataFrame | None:
-        return None if self.existing is None else self.existing[table]
+        self._new_sizes: dict[str, tuple[int, int]] = {}
+        self._lock = RLock()
 
     # -- first record per key -------------------------------------------------------
 
     @cached_property
     def selection(self) -> Selection:
-        stored = self._stored("card")
-        if stored is not None:
-            stored = stored.select(F.col("card_uuid").alias("uuid"))
+        stored = None
+        if self.existing is not None:
+            stored = self.existing["card"].select(F.col("card_uuid").alias("uuid"))
         return select_first(self.records, "uuid", self.workspace, stored)
 
     @cached_property
@@ -68,7 +65,7 @@ class Load:
         texts stay behind, they are read from staging."""
         kept = self.selection.kept()
         if self.selection.losers is None:
-            return self.workspace.save(kept.drop("text"), "kept", measure=False).df
+            return self.workspace.write(kept.drop("text"), "kept")
         return kept
 
     def status(self) -> DataFrame:
@@ -78,53 +75,104 @@ class Load:
     # -- dictionaries: this batch's keys with their ids, and which of them are new --------
 
     def dictionary(self, table: str) -> Table:
-        with self._locks[table]:
-            if table not in self._dictionaries:
-                self._dictionaries[table] = self._build_dictionary(table)
-            return self._dictionaries[table]
-
-    def _build_dictionary(self, table: str) -> Table:
-        found, id_name, key = self._found_keys(table)
-        stored = self._stored(table)
-        if stored is None:
-            return self.workspace.save(found.withColumn("is_new", F.lit(True)), table)
-        found = self.workspace.save(found, f"{table}-found")
-        return self.workspace.save(dimensions.resolve(found, stored, id_name, key), table)
-
-    def _found_keys(self, table: str) -> tuple[DataFrame, str, str]:
-        if table in LIST_COLUMNS:
-            column = LIST_COLUMNS[table]
-            found = dimensions.token_dimension(self.kept, F.col(column.column), column.id_name, column.key)
-            return found, column.id_name, column.key
+        """(table, key, id, flags, is_new) of one dimension."""
+        self.prepare([table])
+        return self._dictionaries[table]
+
+    def dictionaries(self, tables: Iterable[str]) -> Table:
+        """Several dimensions as one table."""
+        tables = list(tables)
+        self.prepare(tables)
+        parts = [self._dictionaries[table] for table in tables]
+        size = (sum(part.size[0] for part in parts), sum(part.size[1] for part in parts))
+        return self.workspace.table(reduce(DataFrame.unionByName, (part.df for part in parts)), size)
+
+    def prepare(self, tables: Iterable[str] = RECORD_TABLES) -> None:
+        """Build the dictionaries of ``tables`` that are not there yet, in one pass."""
+        with self._lock:
+            wanted = [table for table in tables if table not in self._dictionaries]
+            if "mana_pip" in wanted:
+                self._save_dictionaries(costs.pip_keys(self.new_pip_rows), ["mana_pip"])
+                wanted.remove("mana_pip")
+            if wanted:
+                self._save_dictionaries(reduce(DataFrame.unionByName, self._key_rows(wanted)), wanted)
+
+    def _key_rows(self, tables: list[str]) -> list[DataFrame]:
+        single = {table: self._key_and_place(table) for table in tables if table not in LIST_COLUMNS}
+        lists = {table: LIST_COLUMNS[table].column for table in tables if table in LIST_COLUMNS}
+        rows = []
+        if single:
+            rows.append(dimensions.column_keys(self.records, single))
+        if lists:
+            rows.append(dimensions.list_keys(self.kept, lists))
+        if SET.table in single:
+            # Items of a kept record's set column come after its whole value.
+            rows.append(dimensions.list_keys(self.kept, {SET.table: SET.column}, offset=1))
+        return rows
+
+    def _key_and_place(self, table: str) -> tuple[Column, Column]:
         if table in STAT_COLUMNS:
             star = self.numeric_power_star and table == "card_power"
-            found = dimensions.stat_dimension(self.records, STAT_COLUMNS[table], table, star)
-            return found, f"{table}_id", f"{table}_value"
+            return dimensions.stat_key(STAT_COLUMNS[table], star)
         if table == "mana_cost":
-            return costs.cost_keys(self.records, "manaCost"), "mana_cost_id", "mana_cost_text"
-        if table == "mana_pip":
-            return costs.pip_keys(self.new_pip_rows), "mana_pip_id", "mana_pip_symbol"
-        column = KEY_COLUMNS[table]
-        if table == "set":
-            found = dimensions.set_dimension(self.records, self.kept, column.column, column.id_name, column.key)
+            return F.upper("manaCost"), F.col(ROW_ORD)
+        place = first_seen_id(F.col(ROW_ORD), 0) if table == SET.table else F.col(ROW_ORD)
+        return KEY_COLUMNS[table].value(), place
+
+    def _save_dictionaries(self, key_rows: DataFrame, tables: list[str]) -> None:
+        is_stat = F.col("table").isin(list(STAT_COLUMNS))
+        found = dimensions.first_places(key_rows).select(
+            "table",
+            "key",
+            F.when(is_stat, F.shiftright("place", dimensions.FLAG_BITS)).otherwise(F.col("place")).alias("id"),
+            F.when(is_stat, F.col("place").bitwiseAND(F.lit((1 << dimensions.FLAG_BITS) - 1))).alias("flags"),
+        )
+        stored = None
+        if self.existing is None:
+            found_table = self.workspace.table(found)
         else:
-            found = dimensions.key_dimension(self.records, column.value(), column.id_name, column.key)
-        return found, column.id_name, column.key
+            found_table = self.workspace.save(found, "found")
+            stored = stored_keys(self.existing, tables)
+        resolved = self.workspace.write(dimensions.resolve(found_table, stored), "dictionary", ["table"])
+
+        size = F.octet_length("key") + _NUMBER_BYTES
+        measured = resolved.groupBy("table").agg(
+            F.count(F.lit(1)).alias("rows"),
+            F.sum(size).alias("bytes"),
+            F.count_if("is_new").alias("new_rows"),
+            F.sum(F.when(F.col("is_new"), size).otherwise(0)).alias("new_bytes"),
+        )
+        sizes = {row.table: row for row in measured.collect()}  # one row per dimension
+        for table in tables:
+            row = sizes.get(table)
+            rows = resolved.where(F.col("table") == table)
+            self._dictionaries[table] = self.workspace.table(rows, (row.rows, row.bytes) if row else (0, 0))
+            self._new_sizes[table] = (row.new_rows, row.new_bytes) if row else (0, 0)
 
     @property
     def new_pip_rows(self) -> DataFrame:
         """Pips of cost texts seen for the first time; known texts are not parsed again."""
-        return costs.pip_rows(self.dictionary("mana_cost").df.where("is_new"))
+        return costs.pip_rows(self.new_keys("mana_cost"))
+
+    def new_keys(self, table: str) -> DataFrame:
+        return self.dictionary(table).df.where("is_new")
 
     # -- tables: rows this batch adds ---------------------------------------------------------
 
     def dimension(self, table: str) -> DataFrame:
-        keys = self.dictionary(table).df.where("is_new").drop("is_new")
+        keys = self.new_keys(table)
         if table == "mana_cost":
             return costs.cost_dimension(keys, self.records, "manaCost")
         if table == "mana_pip":
             return costs.pip_dimension(keys)
-        return keys
+        if table in STAT_COLUMNS:
+            return dimensions.stat_rows(keys, table)
+        column = {**KEY_COLUMNS, **LIST_COLUMNS}[table]
+        return keys.select(F.col("id").alias(column.id_name), F.col("key").alias(column.key))
+
+    def plain_keys(self) -> DataFrame:
+        """New keys of all plain dimensions, in stored form."""
+        return self.dictionaries(KEY_TABLES).df.where("is_new").select("id", "key", "table")
 
     def texts(self) -> DataFrame:
         return dimensions.text_rows(self.records, "text", "oracle_text_id", "oracle_text")
@@ -132,36 +180,32 @@ class Load:
     def cost_pips(self) -> DataFrame:
         return costs.cost_pip_bridge(self.new_pip_rows, self.dictionary("mana_pip"))
 
+    def items(self, tables: Iterable[str] = tuple(LIST_COLUMNS)) -> DataFrame:
+        """Bridges of delimited columns, in stored form."""
+        columns = {table: LIST_COLUMNS[table].column for table in tables}
+        return multivalue.item_bridge(self.kept, columns, self.dictionaries(columns))
+
     def bridge(self, column: ListColumn) -> DataFrame:
-        dictionary = self.dictionary(column.table)
-        return multivalue.bridge(self.kept, F.col(column.column), dictionary, column.id_name, column.key)
+        return self.items([column.table]).select("card_id", F.col("item_id").alias(column.id_name))
 
     def name_sets(self) -> DataFrame:
-        pairs = multivalue.name_set_bridge(self.kept, "name", SET.column, self.dictionary("set"))
-        stored = self._stored("card_name_set_bridge")
-        if stored is None:
+        pairs = multivalue.name_set_bridge(self.kept, "name", SET.column, self.dictionary(SET.table))
+        if self.existing is None:
             return pairs
         pairs = self.workspace.save(pairs, "name-sets")
-        names = self.workspace.save(pairs.df.select("card_name").distinct(), "names")
-        return pairs.df.join(known(stored, names, "card_name", ["set_id"]), ["card_name", "set_id"], "left_anti")
+        return not_stored(pairs, self.existing["card_name_set_bridge"], ["card_name", "set_id"])
 
     def card_costs(self) -> DataFrame:
         """Cards with only the columns the profile reads: id, name, cost id."""
         keyed = self.kept.select(
-            F.col(ROW_ORD).alias("card_id"),
-            F.col("name").alias("card_name"),
-            F.upper("manaCost").alias("mana_cost_key"),
-        )
-        return attach(keyed, [self._lookup("mana_cost", "mana_cost_key")], "card_id").select(
-            "card_id", "card_name", F.coalesce("mana_cost_id", "card_id").alias("mana_cost_id")
+            F.col(ROW_ORD).alias("card_id"), F.col("name").alias("card_name"), F.upper("manaCost").alias("mana_cost_key")
         )
+        joined = attach(keyed, [self._lookup("mana_cost")], "card_id")
+        return joined.select("card_id", "card_name", _cost_id())
 
-    def _lookup(self, table: str, key: str) -> Lookup:
-        id_name = f"{table}_id"
-        dim_key = {"mana_cost": "mana_cost_text"}.get(table) or f"{table}_value"
-        if table in KEY_COLUMNS:
-            id_name, dim_key = KEY_COLUMNS[table].id_name, KEY_COLUMNS[table].key
-        return Lookup(self.dictionary(table), key, dim_key, {id_name: id_name})
+    def _lookup(self, table: str) -> Lookup:
+        id_name = KEY_COLUMNS[table].id_name if table in KEY_COLUMNS else f"{table}_id"
+        return Lookup(self.dictionary(table), f"{table}_key", "key", {id_name: "id"})
 
     def cards(self) -> DataFrame:
         keyed = self.kept.select(
@@ -169,19 +213,17 @@ class Load:
             F.col("uuid").alias("card_uuid"),
             F.col("name").alias("card_name"),
             F.upper("manaCost").alias("mana_cost_key"),
-            *[stat_value(F.col(column)).alias(f"{table}_key") for table, column in STAT_COLUMNS.items()],
+            *[stat_value(F.col(name)).cast("string").alias(f"{table}_key") for table, name in STAT_COLUMNS.items()],
             *[column.value().alias(f"{table}_key") for table, column in KEY_COLUMNS.items()],
         )
         tables = ["mana_cost", *STAT_COLUMNS, *KEY_COLUMNS]
-        joined = attach(keyed, [self._lookup(table, f"{table}_key") for table in tables], "card_id")
+        self.prepare(tables)
+        joined = attach(keyed, [self._lookup(table) for table in tables], "card_id")
         return joined.select(
             "card_id",
             "card_uuid",
             "card_name",
-            # A card without a cost refers to its own record's cost row.
-            F.when(F.col("mana_cost_key").isNull(), F.col("card_id"))
-            .otherwise(F.col("mana_cost_id"))
-            .alias("mana_cost_id"),
+            _cost_id(),
             F.col("card_id").alias("oracle_text_id"),
             "card_power_id",
             "card_toughness_id",
@@ -192,35 +234,53 @@ class Load:
             F.lit(None).cast("boolean").alias("is_reprint"),
         )
 
-    # -- everything ------------------------------------------------------------------------------
-
-    def prepare(self) -> Load:
-        """Save all dictionaries, independent ones at the same time."""
-        early = ["mana_cost", *STAT_COLUMNS, "artist", "rarity"]
-        actions = {table: (lambda table=table: self.dictionary(table)) for table in early}
-        run_together(self.workspace.spark, {"selection": lambda: self.selection, **actions})
-        late = ["set", *LIST_COLUMNS, "mana_pip"]
-        self.kept
-        run_together(self.workspace.spark, {table: (lambda table=table: self.dictionary(table)) for table in late})
-        return self
-
-    def tables(self) -> dict[str, DataFrame]:
-        """Rows to add, for every table of the model."""
+    def stored(self) -> dict[str, Callable[[], DataFrame]]:
+        """For every stored table, a callable that plans the rows to add."""
         self.prepare()
-        empty = self.records.sparkSession.createDataFrame([], TABLES["original_text"])
-        tables = {table: self.dimension(table) for table in self._dictionaries}
-        tables.update({column.bridge: self.bridge(column) for column in (TYPE, SUBTYPE, SUPERTYPE, FORMAT, ABILITY, COLOR)})
-        tables.update(
-            mana_cost_mana_pip=self.cost_pips(),
-            oracle_text=self.texts(),
-            original_text=empty,
-            card=self.cards(),
-            card_name_set_bridge=self.name_sets(),
-        )
-        return tables
-
-    def model(self) -> Model:
-        return Model(self.tables(), self.workspace)
+        self.prepare(["mana_pip"])
+        return {
+            "keys": self.plain_keys,
+            "items": self.items,
+            "mana_pip": partial(self.dimension, "mana_pip"),
+            "mana_cost": partial(self.dimension, "mana_cost"),
+            "mana_cost_mana_pip": self.cost_pips,
+            "oracle_text": self.texts,
+            "card_power": partial(self.dimension, "card_power"),
+            "card_toughness": partial(self.dimension, "card_toughness"),
+            "card": self.cards,
+            "card_name_set_bridge": self.name_sets,
+        }
+
+    def new_sizes(self, null_costs: int) -> dict[str, tuple[int, int]]:
+        """(rows, bytes) this batch adds to each dimension."""
+        rows, size = self._new_sizes["mana_cost"]
+        return {**self._new_sizes, "mana_cost": (rows + null_costs, size + null_costs * _NUMBER_BYTES)}
+
+
+def _cost_id() -> Column:
+    """A card without a cost refers to its own record's cost row."""
+    missing = F.col("mana_cost_key").isNull()
+    return F.when(missing, F.col("card_id")).otherwise(F.col("mana_cost_id")).alias("mana_cost_id")
+
+
+def stored_keys(existing: Mapping[str, DataFrame], tables: Iterable[str]) -> DataFrame:
+    """Stored keys of the dimensions as (table, key, id)."""
+    plain = [table for table in tables if table in KEY_TABLES]
+    parts = []
+    if plain:
+        parts.append(existing["keys"].where(F.col("table").isin(plain)).select("table", "key", "id"))
+    for table, key in (
+        ("mana_cost", "mana_cost_text"),
+        ("mana_pip", "mana_pip_symbol"),
+        ("card_power", "card_power_value"),
+        ("card_toughness", "card_toughness_value"),
+    ):
+        if table in tables:
+            rows = existing[table].select(
+                F.lit(table).alias("table"), F.col(key).cast("string").alias("key"), F.col(f"{table}_id").alias("id")
+            )
+            parts.append(rows.where("key IS NOT NULL"))
+    return reduce(DataFrame.unionByName, parts)
 
 
 REQUIRED_INPUT = ("uuid", "setCode", "rarity")
@@ -233,18 +293,22 @@ def load_batch(store: SegmentStore, records: DataFrame, workspace: Workspace, re
     ``replace`` starts the model anew.  ``batch`` names the batch: one already published is
     skipped (returns False), so a repeated delivery changes nothing.  Records whose ordinals
     do not continue those stored are moved behind them, in their own order.  A record without
-    key, set or rarity fails the load; with ``divert`` it goes to the table ``rejected``.
+    key, set or rarity fails the load; with ``divert`` it goes to the segment's ``rejected``.
     """
     manifest = store.manifest()
     if manifest and batch is not None and batch in manifest["batches"]:
         return False
-    existing = None if replace or manifest is None else store.tables(TABLES)
+    existing = None
+    if manifest and not replace:
+        existing = {name: store.read(manifest, name, schema) for name, schema in STORED.items()}
 
     missing = reduce(or_, (F.col(column).isNull() for column in REQUIRED_INPUT))
-    low, high, bad = records.agg(F.min(ROW_ORD), F.max(ROW_ORD), F.count_if(missing)).head()
+    low, high, bad, null_costs = records.agg(
+        F.min(ROW_ORD), F.max(ROW_ORD), F.count_if(missing), F.count_if(F.col("manaCost").isNull())
+    ).head()
     if bad and not divert:
         raise ValueError(f"{bad} records lack one of {', '.join(REQUIRED_INPUT)}; nothing was loaded")
-    next_ord = 0 if existing is None else manifest["next_ord"]
+    next_ord = manifest["next_ord"] if existing else 0
     if low is not None:
         if low < next_ord:
             records = records.withColumn(ROW_ORD, F.col(ROW_ORD) + F.lit(next_ord - low))
@@ -255,7 +319,12 @@ def load_batch(store: SegmentStore, records: DataFrame, workspace: Workspace, re
     if bad:
         store.write(segment, "rejected", records.where(missing))
         records = records.where(~missing)
-    tables = Load(records, workspace, existing, numeric_power_star).tables()
-    run_together(store.spark, {name: (lambda name=name: store.write(segment, name, tables[name])) for name in TABLES})
-    store.publish(segment, next_ord=next_ord, batch=batch, replace=replace, after=manifest)
+    load = Load(records, workspace, existing, numeric_power_star)
+    plans = load.stored()
+
+    def write(table: str) -> None:
+        store.write(segment, table, plans[table](), STORED_PARTITION.get(table, ()))
+
+    run_together(store.spark, {table: partial(write, table) for table in STORED})
+    store.publish(segment, manifest, replace, next_ord, batch, load.new_sizes(null_costs))
     return True

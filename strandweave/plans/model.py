@@ -5,10 +5,21 @@ from __future__ import annotations
 from collections.abc import Mapping
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from strandweave.operators import quality
-from strandweave.plans.schema import REFERENCES, REQUIRED, TABLES, UNIQUE, UNIQUE_PAIRS, column_name, table_name
+from strandweave.plans.schema import (
+    KEY_COLUMNS,
+    LIST_COLUMNS,
+    REFERENCES,
+    REQUIRED,
+    STORED,
+    TABLES,
+    UNIQUE,
+    UNIQUE_PAIRS,
+    column_name,
+    table_name,
+)
 from strandweave.sources.store import SegmentStore
 from strandweave.tables import Table, Workspace
 
@@ -16,12 +27,12 @@ PROFILE_VIEW = "vw_card_profile"
 
 
 class Model:
-    """Tables by neutral name. Sizes are measured once per table."""
+    """Tables by neutral name, with the sizes a store knows of; others are measured once."""
 
-    def __init__(self, tables: Mapping[str, DataFrame], workspace: Workspace):
+    def __init__(self, tables: Mapping[str, DataFrame], workspace: Workspace, sizes: Mapping[str, tuple[int, int]]):
         self.tables = dict(tables)
         self.workspace = workspace
-        self._sized: dict[str, Table] = {}
+        self._sized = {name: workspace.table(tables[name], tuple(size)) for name, size in sizes.items()}
 
     def __getitem__(self, name: str) -> DataFrame:
         return self.tables[name]
@@ -69,6 +80,24 @@ class Model:
         return reduce(DataFrame.unionByName, checks)
 
 
+def logical_tables(stored: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
+    """The model's tables from their stored form."""
+    tables = {name: df for name, df in stored.items() if name in TABLES}
+    for column in (*KEY_COLUMNS.values(), *LIST_COLUMNS.values()):
+        keys = stored["keys"].where(F.col("table") == column.table)
+        tables[column.table] = keys.select(F.col("id").alias(column.id_name), F.col("key").alias(column.key))
+    for column in LIST_COLUMNS.values():
+        items = stored["items"].where(F.col("table") == column.table)
+        tables[column.bridge] = items.select("card_id", F.col("item_id").alias(column.id_name))
+    # Nothing fills this table; it exists so that queries naming it run.
+    tables["original_text"] = stored["card"].sparkSession.createDataFrame([], TABLES["original_text"])
+    return {name: tables[name] for name in TABLES}
+
+
 def open_model(spark: SparkSession, store: SegmentStore, workspace: Workspace | None = None) -> Model:
     """The published model."""
-    return Model(store.tables(TABLES), workspace or Workspace(spark))
+    manifest = store.manifest()
+    if manifest is None:
+        raise ValueError(f"nothing has been published in {store.root}")
+    stored = {name: store.read(manifest, name, schema) for name, schema in STORED.items()}
+    return Model(logical_tables(stored), workspace or Workspace(spark), manifest["sizes"])

@@ -92,6 +92,28 @@ TABLES = {
     "card_color_identity_bridge": "card_id long, color_identity_id long",
 }
 
+# Stored form. Keys of the plain dimensions share one table, and so do the bridges of the
+# delimited columns; each is partitioned by the dimension, so reading one reads only its files.
+KEY_TABLES = (*KEY_COLUMNS, *LIST_COLUMNS)
+STORED = {
+    "keys": "id long, key string, table string",
+    "items": "card_id long, item_id long, table string",
+    **{
+        table: TABLES[table]
+        for table in (
+            "mana_pip",
+            "mana_cost",
+            "mana_cost_mana_pip",
+            "oracle_text",
+            "card_power",
+            "card_toughness",
+            "card",
+            "card_name_set_bridge",
+        )
+    },
+}
+STORED_PARTITION = {"keys": ("table",), "items": ("table",)}
+
 # Fixed rules: columns that may not be null, keys that may not repeat, references.
 REQUIRED = {
     "mana_pip": ("mana_pip_symbol", "mana_pip_cost"),

@@ -63,7 +63,7 @@ def stage_csv(spark: SparkSession, path: str, store: SegmentStore, multi_line: b
     before = Window.orderBy("_file", "_block").rowsBetween(Window.unboundedPreceding, -1)
     offsets = splits.withColumn("_offset", F.coalesce(F.sum("_n").over(before), F.lit(0)) - F.col("_first"))
     store.write(segment, SPLITS, offsets.select("_file", "_block", "_offset"))
-    store.publish(segment, next_ord=0, replace=True, after=manifest)
+    store.publish(segment, after=manifest, replace=True)
     return read_staging(store)
 
 

@@ -9,7 +9,8 @@ from __future__ import annotations
 
 import json
 import uuid
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -43,16 +44,25 @@ class SegmentStore:
         path = f"{self.root}/manifests/{versions[-1]:010d}.json"
         return json.loads(self.spark.read.text(path, wholetext=True).head()[0])
 
-    def publish(self, segment: str, next_ord: int, batch: str | None = None, replace: bool = False,
-                after: dict | None = None) -> None:
-        """Make ``segment`` visible. Fails if another load published since ``after`` was read."""
+    def publish(self, segment: str, after: dict | None = None, replace: bool = False, next_ord: int = 0,
+                batch: str | None = None, sizes: Mapping[str, Sequence[int]] | None = None) -> None:
+        """Make ``segment`` visible. Fails if another load published since ``after`` was read.
+
+        ``sizes`` are (rows, bytes) the segment adds to tables; the manifest keeps their sums.
+        """
         version = (after["version"] if after else 0) + 1
-        segments, batches = ([], []) if replace or after is None else (after["segments"], after["batches"])
+        if replace or after is None:
+            after = {"segments": [], "batches": [], "sizes": {}}
+        totals = dict(after["sizes"])
+        for table, (rows, size) in (sizes or {}).items():
+            old_rows, old_size = totals.get(table, (0, 0))
+            totals[table] = (old_rows + rows, old_size + size)
         content = {
             "version": version,
-            "segments": [*segments, segment],
-            "batches": [*batches, batch] if batch is not None else batches,
+            "segments": [*after["segments"], segment],
+            "batches": [*after["batches"], batch] if batch is not None else after["batches"],
             "next_ord": next_ord,
+            "sizes": totals,
         }
         filesystem = self._filesystem()
         draft = self._path("manifests", f".{uuid.uuid4().hex}")
@@ -73,29 +83,19 @@ class SegmentStore:
     def new_segment(self) -> str:
         return uuid.uuid4().hex
 
-    def write(self, segment: str, table: str, df: DataFrame) -> None:
-        df.write.parquet(f"{self.root}/segments/{segment}/{table}")
+    def write(self, segment: str, table: str, df: DataFrame, partition_by: Sequence[str] = ()) -> None:
+        df.write.partitionBy(*partition_by).parquet(f"{self.root}/segments/{segment}/{table}")
 
     def read_segment(self, segment: str, table: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.root}/segments/{segment}/{table}")
 
-    def read(self, table: str, schema: str) -> DataFrame:
-        """All published rows of a table."""
-        manifest = self.manifest()
-        if manifest is None:
-            raise ValueError(f"nothing has been published in {self.root}")
-        return self._read(manifest, table, schema)
-
-    def tables(self, schemas: Mapping[str, str]) -> dict[str, DataFrame]:
-        """All published rows of several tables, from one manifest."""
-        manifest = self.manifest()
-        if manifest is None:
-            raise ValueError(f"nothing has been published in {self.root}")
-        return {table: self._read(manifest, table, schema) for table, schema in schemas.items()}
-
-    def _read(self, manifest: dict, table: str, schema: str) -> DataFrame:
-        paths = [f"{self.root}/segments/{segment}/{table}" for segment in manifest["segments"]]
-        return self.spark.read.schema(schema).parquet(*paths)
+    def read(self, manifest: dict, table: str, schema: str) -> DataFrame:
+        """All rows of a table that ``manifest`` lists."""
+        parts = [
+            self.spark.read.schema(schema).parquet(f"{self.root}/segments/{segment}/{table}")
+            for segment in manifest["segments"]
+        ]
+        return reduce(DataFrame.unionByName, parts)
 
     def vacuum(self) -> None:
         """Delete segments the current manifest does not list; no reader may be using them."""

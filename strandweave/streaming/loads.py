@@ -22,7 +22,7 @@ def load_stream(stream: DataFrame, store: SegmentStore, checkpoint: str, name: s
         session = records.sparkSession  # the stream's own session
         with Workspace(session) as workspace:
             # Read the source once: the load makes several passes over its records.
-            batch = workspace.save(records, "records", measure=False).df
+            batch = workspace.write(records, "records")
             load_batch(SegmentStore(session, store.root), batch, workspace, batch=f"{name}-{number}")
 
     writer = stream.writeStream.option("checkpointLocation", checkpoint)

@@ -10,7 +10,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark import inheritable_thread_target
@@ -21,7 +21,7 @@ BROADCAST_ROWS = 500_000
 BROADCAST_BYTES = 32 * 1024 * 1024
 
 
-def _measures(schema: T.StructType) -> list[Column]:
+def size_measures(schema: T.StructType) -> list[Column]:
     """Row count, and bytes of the data: text length plus 8 bytes for any other column."""
     total = F.lit(0).cast("long")
     for field in schema.fields:
@@ -46,13 +46,17 @@ class Table:
     def size(self) -> tuple[int, int]:
         """(rows, bytes)"""
         if self._size is None:
-            self._size = tuple(self.df.agg(*_measures(self.df.schema)).head())
+            self._size = tuple(self.df.agg(*size_measures(self.df.schema)).head())
         return self._size
 
     @property
     def rows(self) -> int:
         return self.size[0]
 
+    def with_df(self, df: DataFrame) -> Table:
+        """The same rows in another form; the measured size is kept."""
+        return Table(df, self.max_rows, self.max_bytes, self.size)
+
     def fits_broadcast(self) -> bool:
         rows, size = self.size
         return rows <= self.max_rows and size <= self.max_bytes
@@ -83,23 +87,24 @@ class Workspace:
     def folder(self, name: str) -> str:
         return f"{self.path}/{name}-{uuid.uuid4().hex[:8]}"
 
-    def table(self, df: DataFrame) -> Table:
-        return Table(df, self.max_rows, self.max_bytes)
+    def table(self, df: DataFrame, size: tuple[int, int] | None = None) -> Table:
+        return Table(df, self.max_rows, self.max_bytes, size)
+
+    def write(self, df: DataFrame, name: str, partition_by: Sequence[str] = ()) -> DataFrame:
+        """Write ``df`` and read it back."""
+        path = self.folder(name)
+        df.write.partitionBy(*partition_by).parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
 
-    def save(self, df: DataFrame, name: str, measure: bool = True) -> Table:
-        """Write ``df`` and read it back. Its size is taken while it is written; a repeated
-        task could only make it look larger, which is the safe side."""
+    def save(self, df: DataFrame, name: str) -> Table:
+        """Write ``df`` and read it back, its size taken on the way; a repeated task could
+        only make it look larger, which is the safe side."""
         path = self.folder(name)
-        if not measure:
-            df.write.parquet(path)
-            return self.table(self.spark.read.schema(df.schema).parquet(path))
         observation = Observation()
-        df.observe(observation, *_measures(df.schema)).write.parquet(path)
+        df.observe(observation, *size_measures(df.schema)).write.parquet(path)
         size = observation.get
-        table = self.table(self.spark.read.schema(df.schema).parquet(path))
-        if "rows" in size and "bytes" in size:
-            table._size = (size["rows"], size["bytes"])
-        return table
+        known = (size["rows"], size["bytes"]) if size else None
+        return self.table(self.spark.read.schema(df.schema).parquet(path), known)
 
     def clear(self) -> None:
         """Delete this run's folder; only after every plan that reads it has finished."""
