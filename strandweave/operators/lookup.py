@@ -69,8 +69,8 @@ def _attach_large(result: DataFrame, facts: DataFrame, lookup: Lookup, index: in
     heavy_name, cold_name, joined_name = f"_heavy{index}", f"_cold{index}", f"_joined{index}"
     heavy_prefix, cold_prefix = f"_h{index}_", f"_c{index}_"
 
-    keys = heavy_keys(facts, lookup.key)
-    heavy = lookup.dim.df.join(F.broadcast(keys), F.col(lookup.dim_key) == F.col(lookup.key), "left_semi")
+    keys = heavy_keys(facts, lookup.key).select(F.col(lookup.key).alias(heavy_name))
+    heavy = lookup.dim.df.join(F.broadcast(keys), F.col(lookup.dim_key) == F.col(heavy_name), "left_semi")
     heavy_side = F.broadcast(_side(heavy, lookup, heavy_name, heavy_prefix))
     tagged = result.join(heavy_side, F.col(lookup.key) == F.col(heavy_name), "left")
 

@@ -19,5 +19,5 @@ def local_session(cpus: int | str = 8, memory: str = "8g", **conf: str) -> Spark
         .config("spark.ui.showConsoleProgress", "false")
     )
     for key, value in conf.items():
-        builder = builder.config(key.replace("__", "."), value)
+        builder = builder.config(key, value)
     return builder.getOrCreate()

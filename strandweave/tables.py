@@ -12,6 +12,7 @@ import tempfile
 import uuid
 from collections.abc import Callable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
+from functools import cache
 
 from pyspark import inheritable_thread_target
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F, types as T
@@ -62,16 +63,19 @@ class Table:
         return rows <= self.max_rows and size <= self.max_bytes
 
 
+@cache
+def _local_folder() -> str:
+    return tempfile.mkdtemp(prefix="strandweave-")
+
+
 def shared_folder(spark: SparkSession) -> str:
-    """The cluster's checkpoint folder; a temporary one only in local mode."""
+    """The cluster's checkpoint folder; a temporary one only in local mode, if none is set."""
     root = spark.conf.get("spark.checkpoint.dir", None)
     if root:
         return root
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder all executors can reach")
-    root = tempfile.mkdtemp(prefix="strandweave-")
-    spark.conf.set("spark.checkpoint.dir", root)
-    return root
+    return _local_folder()
 
 
 class Workspace:

@@ -1,0 +1,160 @@
+"""The load against the record-at-a-time emulator, on broadcast and on shuffled paths."""
+
+import pytest
+from emulator import LISTS, Emulator
+from records import frame, random_records, record
+
+from strandweave import Load, SegmentStore, Workspace, card_profile, load_batch, open_model
+from strandweave.plans.schema import LIST_COLUMNS
+
+RECORDS = random_records(400)
+
+
+def tables(model):
+    """Every table with ids replaced by natural keys, so that only content is compared."""
+    m = {name: df.collect() for name, df in model.tables.items()}
+    key = {}
+    for name, df in model.tables.items():
+        if len(df.columns) >= 2 and name not in ("card",) and "bridge" not in name and "mana_cost_mana_pip" != name:
+            key[name] = {row[0]: row[1] for row in m[name]}
+    key["card"] = {row.card_id: row.card_uuid for row in m["card"]}
+    return m, key
+
+
+def check_against_emulator(model, emulator):
+    m, key = tables(model)
+    for dim in ("artist", "set", "rarity", *LISTS.values()):
+        assert [row[1] for row in sorted(m[dim])] == list(emulator.dims[dim]), dim
+    for dim in ("card_power", "card_toughness"):
+        found = [(row[1], (row[2], row[3])) for row in sorted(m[dim])]
+        assert found == list(emulator.dims[dim].items()), dim
+    assert [(r.mana_pip_symbol, r.mana_pip_cost) for r in sorted(m["mana_pip"])] == list(emulator.pips.items())
+    keyed = sorted((r for r in m["mana_cost"] if r.mana_cost_text is not None))
+    assert [(r.mana_cost_text, r.mana_cost_total) for r in keyed] == list(emulator.costs.items())
+    empty = [r for r in m["mana_cost"] if r.mana_cost_text is None]
+    assert len(empty) == emulator.null_costs and all(r.mana_cost_total == 0 for r in empty)
+    bag = [(key["mana_cost"][r.mana_cost_id], key["mana_pip"][r.mana_pip_id]) for r in sorted(m["mana_cost_mana_pip"])]
+    assert bag == emulator.cost_pips
+    assert [r.oracle_text for r in sorted(m["oracle_text"], key=lambda r: r.oracle_text_id)] == emulator.texts
+    for column in LIST_COLUMNS.values():
+        pairs = [(key["card"][r[0]], key[column.table][r[1]]) for r in m[column.bridge]]
+        assert len(pairs) == len(set(pairs)) and set(pairs) == emulator.items[column.table], column.bridge
+    name_sets = [(r.card_name, key["set"][r.set_id]) for r in m["card_name_set_bridge"]]
+    assert len(name_sets) == len(set(name_sets)) and set(name_sets) == emulator.name_sets
+    cards = sorted(m["card"], key=lambda r: r.card_id)
+    assert [r.card_uuid for r in cards] == list(emulator.cards)
+    for r in cards:
+        want = emulator.cards[r.card_uuid]
+        assert (r.card_name, key["mana_cost"][r.mana_cost_id], key["oracle_text"][r.oracle_text_id]) == (
+            want["name"], want["cost"], want["text"])
+        assert (key["artist"][r.artist_id], key["set"][r.set_id], key["rarity"][r.rarity_id]) == (
+            want["artist"], want["set"], want["rarity"])
+        assert key["card_power"].get(r.card_power_id) == want["power"]
+        assert key["card_toughness"].get(r.card_toughness_id) == want["toughness"]
+        assert r.loyalty is None and r.is_reprint is None
+    rows = card_profile(model).collect()
+    assert len(rows) == len(emulator.cards)
+    assert {key["card"][r.card_id]: tuple(r[1:]) for r in rows} == emulator.profile()
+
+
+@pytest.mark.parametrize("max_rows", [500_000, 0])
+def test_full_load(spark, max_rows):
+    workspace = Workspace(spark, max_rows=max_rows)
+    store = SegmentStore(spark, workspace.folder("store"))
+    assert load_batch(store, frame(spark, RECORDS), workspace)
+    check_against_emulator(open_model(spark, store, workspace), Emulator().load(RECORDS))
+
+
+@pytest.mark.parametrize("max_rows", [500_000, 0])
+def test_two_batches_equal_one(spark, max_rows):
+    workspace = Workspace(spark, max_rows=max_rows)
+    whole = SegmentStore(spark, workspace.folder("whole"))
+    load_batch(whole, frame(spark, RECORDS), workspace)
+    parts = SegmentStore(spark, workspace.folder("parts"))
+    load_batch(parts, frame(spark, RECORDS[:150]), workspace, batch="a")
+    # The second batch's ordinals start at 0 again and are moved behind the first's.
+    load_batch(parts, frame(spark, RECORDS[150:]), workspace, batch="b")
+    one, two = open_model(spark, whole), open_model(spark, parts)
+    for name in one.tables:
+        assert sorted(map(repr, one[name].collect())) == sorted(map(repr, two[name].collect())), name
+    assert parts.manifest()["sizes"].keys() == whole.manifest()["sizes"].keys()
+    for name, (rows, _) in parts.manifest()["sizes"].items():
+        assert rows == two[name].count(), name
+    # Delivered again, a named batch changes nothing; unnamed, it only adds per-record rows.
+    assert not load_batch(parts, frame(spark, RECORDS[150:]), workspace, batch="b")
+    load_batch(parts, frame(spark, RECORDS), workspace)
+    again = open_model(spark, parts)
+    for name in one.tables:
+        extra = {"oracle_text": len(RECORDS), "mana_cost": sum(r["manaCost"] is None for r in RECORDS)}
+        assert again[name].count() == one[name].count() + extra.get(name, 0), name
+
+
+def test_status_and_partitions_do_not_matter(spark, workspace, tight_workspace):
+    expected = [i if kept else -1 for i, kept in enumerate(Emulator().load(RECORDS).status)]
+    for ws, partitions in ((workspace, 1), (workspace, 9), (tight_workspace, 4)):
+        rows = Load(frame(spark, RECORDS, partitions=partitions), ws).status().orderBy("row_ord").collect()
+        assert [row.result for row in rows] == expected
+
+
+def test_values_of_repeats(spark, workspace):
+    """A repeated record adds its scalar keys and its text, not its list items."""
+    records = [record("u", artist="a", types="T1", text="t1"), record("u", artist="b", types="T2", text="t2")]
+    load = Load(frame(spark, records), workspace)
+    assert {r.artist_name for r in load.dimension("artist").collect()} == {"a", "b"}
+    assert {r.card_type_name for r in load.dimension("card_type").collect()} == {"T1"}
+    assert load.texts().count() == 2 and load.cards().count() == 1
+
+
+def test_lower_case_cost_twice(spark, workspace):
+    load = Load(frame(spark, [record("a", manaCost="{g}"), record("b", manaCost="{g}")]), workspace)
+    assert [(r.mana_cost_text, r.mana_cost_total) for r in load.dimension("mana_cost").collect()] == [("{G}", 1)]
+    assert {r.mana_cost_id for r in load.cards().collect()} == {0}
+
+
+def test_numeric_power_star(spark, workspace):
+    records = frame(spark, [record("a", power="3", toughness="3")])
+    for option in (False, True):
+        load = Load(records, workspace, numeric_power_star=option)
+        assert load.dimension("card_power").head()["is_star_card_power"] is option
+        assert load.dimension("card_toughness").head()["is_star_card_toughness"] is False
+
+
+def test_bad_record_loads_nothing(spark, workspace):
+    store = SegmentStore(spark, workspace.folder("store"))
+    good, bad = record("a"), record("b", rarity=None)
+    with pytest.raises(ValueError, match="nothing was loaded"):
+        load_batch(store, frame(spark, [good, bad]), workspace)
+    assert store.manifest() is None
+    load_batch(store, frame(spark, [good, bad]), workspace, divert=True)
+    assert [r.card_uuid for r in open_model(spark, store)["card"].collect()] == ["a"]
+    rejected = store.read_segment(store.manifest()["segments"][0], "rejected").collect()
+    assert [r.uuid for r in rejected] == ["b"]
+
+
+def test_number_out_of_range_fails(spark, workspace):
+    store = SegmentStore(spark, workspace.folder("store"))
+    load_batch(store, frame(spark, [record("a")]), workspace)
+    before = store.manifest()
+    with pytest.raises(Exception, match="integer out of range"):
+        load_batch(store, frame(spark, [record("b", manaCost="{99999999999}")]), workspace)
+    assert store.manifest() == before
+
+
+def test_replace_and_conflict(spark, workspace):
+    store = SegmentStore(spark, workspace.folder("store"))
+    load_batch(store, frame(spark, [record("a")]), workspace)
+    old = store.manifest()
+    load_batch(store, frame(spark, [record("b")]), workspace, replace=True)
+    assert [r.card_uuid for r in open_model(spark, store)["card"].collect()] == ["b"]
+    with pytest.raises(Exception, match="already exist|FileAlreadyExists"):
+        store.publish(store.new_segment(), after=old)
+    store.vacuum()
+    assert open_model(spark, store)["card"].count() == 1
+
+
+def test_empty_batch(spark, workspace):
+    store = SegmentStore(spark, workspace.folder("store"))
+    load_batch(store, frame(spark, [record("a")]), workspace)
+    load_batch(store, frame(spark, []), workspace)
+    load_batch(store, frame(spark, [record("b")]), workspace)
+    assert sorted(r.card_id for r in open_model(spark, store)["card"].collect()) == [0, 1]
