@@ -174,8 +174,9 @@ def planned_profile(batch: Load) -> DataFrame:
     """The profile of one load, from only the parts it needs."""
     batch.prepare(["mana_cost", *(column.table for column in PROFILE_LISTS.values())])
     names = [(column, batch.bridge(column), _sized(batch, column)) for column in PROFILE_LISTS.values()]
-    costs_table = batch.workspace.save(batch.dimension("mana_cost"), "costs")
-    return profile(batch.card_costs(), costs_table, names, list(PROFILE_LISTS))
+    dictionary = batch.dictionary("mana_cost")
+    texts = dictionary.with_df(costs.cost_rows(dictionary.df))
+    return profile(batch.card_costs(), texts, names, list(PROFILE_LISTS))
 
 
 QUERIES["card_profile"] = lambda spark, sf_dir: planned_profile(load(spark, sf_dir))

@@ -19,14 +19,17 @@ def null_costs(records: DataFrame, column: str) -> DataFrame:
     )
 
 
-def cost_dimension(keys: DataFrame, records: DataFrame, column: str) -> DataFrame:
-    """Cost rows with totals. Totals are summed inside each distinct text's row."""
-    keyed = keys.select(
+def cost_rows(keys: DataFrame) -> DataFrame:
+    """Cost rows of distinct texts. Totals are summed inside each text's row."""
+    return keys.select(
         F.col("id").alias("mana_cost_id"),
         F.col("key").alias("mana_cost_text"),
         total_cost(F.col("key")).alias("mana_cost_total"),
     )
-    return keyed.unionByName(null_costs(records, column))
+
+
+def cost_dimension(keys: DataFrame, records: DataFrame, column: str) -> DataFrame:
+    return cost_rows(keys).unionByName(null_costs(records, column))
 
 
 def pip_rows(keys: DataFrame) -> DataFrame:

@@ -1,8 +1,9 @@
 """Keep the first record per key, and say what became of each record.
 
 The winners are found on two narrow columns with a hash aggregate, so a key with very
-many copies collapses before the shuffle.  Records are then matched by their own ordinal,
-which is unique, so no copy count can skew that join either.
+many copies collapses before the shuffle.  Few losers are then sieved out by the scan
+itself; many make the records meet the winners by their own ordinal, which is unique, so
+no copy count can skew that join either.
 """
 
 from __future__ import annotations
@@ -12,13 +13,13 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, functions as F
 
 from strandweave.fixed import DUPLICATE, ROW_ORD
-from strandweave.operators.lookup import not_stored
+from strandweave.operators.lookup import known
 from strandweave.tables import Table, Workspace
 
 
 def first_ordinals(records: DataFrame, key: str) -> DataFrame:
-    """One row per key with the smallest ordinal."""
-    return records.groupBy(key).agg(F.min(ROW_ORD).alias(ROW_ORD))
+    """One row per key with its smallest ordinal and its number of records."""
+    return records.groupBy(key).agg(F.min(ROW_ORD).alias(ROW_ORD), F.count(F.lit(1)).alias("copies"))
 
 
 def first_rows(records: DataFrame, key: str) -> DataFrame:
@@ -31,39 +32,59 @@ class Selection:
     """Winning ordinals and, while they are few, the losing ones."""
 
     records: DataFrame
-    winners: Table
-    losers: Table | None
+    winners: DataFrame
+    losers: DataFrame | None
+    loser_count: int
 
     def kept(self) -> DataFrame:
-        """Winning records. Few losers are sieved out by the scan itself, without a shuffle."""
-        if self.losers is None:
-            return self.records.join(self.winners.df.select(ROW_ORD), ROW_ORD, "left_semi")
-        if self.losers.rows == 0:
+        if self.loser_count == 0:
             return self.records
-        return self.records.join(F.broadcast(self.losers.df), ROW_ORD, "left_anti")
+        if self.losers is not None:
+            return self.records.join(F.broadcast(self.losers), ROW_ORD, "left_anti")
+        return self.records.join(self.winners, ROW_ORD, "left_semi")
 
     def status(self, result: str = "result") -> DataFrame:
         """Per record: its id if it was kept, else -1."""
         ordinals = self.records.select(ROW_ORD)
-        if self.losers is None:
-            other = self.winners.df.select(F.col(ROW_ORD).alias("winner"))
-            joined = ordinals.join(other, F.col(ROW_ORD) == F.col("winner"), "left")
-            value = F.coalesce("winner", F.lit(DUPLICATE).cast("long"))
+        duplicate = F.lit(DUPLICATE).cast("long")
+        if self.losers is not None:
+            other = F.broadcast(self.losers.select(F.col(ROW_ORD).alias("other")))
+            value = F.when(F.col("other").isNull(), F.col(ROW_ORD)).otherwise(duplicate)
         else:
-            other = F.broadcast(self.losers.df.select(F.col(ROW_ORD).alias("loser")))
-            joined = ordinals.join(other, F.col(ROW_ORD) == F.col("loser"), "left")
-            value = F.when(F.col("loser").isNull(), F.col(ROW_ORD)).otherwise(F.lit(DUPLICATE).cast("long"))
+            other = self.winners.select(F.col(ROW_ORD).alias("other"))
+            value = F.coalesce("other", duplicate)
+        joined = ordinals.join(other, F.col(ROW_ORD) == F.col("other"), "left")
         return joined.select(ROW_ORD, value.alias(result))
 
 
 def select_first(records: DataFrame, key: str, workspace: Workspace, existing: DataFrame | None = None) -> Selection:
-    """Find winners, existing keys first, then the smallest ordinal."""
-    firsts = workspace.save(first_ordinals(records, key), "firsts")
-    winners = firsts
-    if existing is not None:
-        winners = workspace.save(not_stored(firsts, existing, [key]), "winners")
+    """Find winners: a stored key (column ``key`` of ``existing``) first, then the smallest ordinal."""
+    firsts = first_ordinals(records, key)
+    if existing is None:
+        firsts = workspace.write(firsts.withColumn("is_new", F.lit(True)), "firsts")
+    else:
+        firsts = workspace.write(_mark_new(workspace.save(firsts, "found"), existing, key), "firsts")
+    total, new = firsts.agg(F.coalesce(F.sum("copies"), F.lit(0)), F.count_if("is_new")).head()
+    winners = firsts.where("is_new").select(ROW_ORD)
+    loser_count = total - new
     losers = None
-    if records.count() - winners.rows <= workspace.max_rows:
-        ordinals = records.select(ROW_ORD).join(winners.df.select(ROW_ORD), ROW_ORD, "left_anti")
-        losers = workspace.save(ordinals, "losers")
-    return Selection(records, winners, losers)
+    if loser_count <= workspace.max_rows:
+        losers = workspace.write(_losers(records, workspace.table(firsts.where("copies > 1 OR NOT is_new")), key), "losers")
+    return Selection(records, winners, losers, loser_count)
+
+
+def _mark_new(found: Table, existing: DataFrame, key: str) -> DataFrame:
+    stored = known(existing.select(key), found, [key]).withColumn("stored", F.lit(True))
+    if found.fits_broadcast():
+        stored = F.broadcast(stored)  # a subset of the measured keys
+    return found.df.join(stored, key, "left").select(key, ROW_ORD, "copies", F.col("stored").isNull().alias("is_new"))
+
+
+def _losers(records: DataFrame, contested: Table, key: str) -> DataFrame:
+    """Ordinals of all records of contested keys but the winners. Each contested key has a
+    loser, so there are no more keys than losers, and the records need not be shuffled."""
+    side = contested.df.select(F.col(key).alias("_key"), F.col(ROW_ORD).alias("_first"), "is_new")
+    if contested.fits_broadcast():
+        side = F.broadcast(side)
+    joined = records.select(key, ROW_ORD).join(side, F.col(key).eqNullSafe(F.col("_key")))
+    return joined.where(~F.col("is_new") | (F.col(ROW_ORD) > F.col("_first"))).select(ROW_ORD)

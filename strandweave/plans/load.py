@@ -64,7 +64,7 @@ class Load:
         """Records that become cards. Written once if selecting them takes a shuffle; long
         texts stay behind, they are read from staging."""
         kept = self.selection.kept()
-        if self.selection.losers is None:
+        if self.selection.loser_count and self.selection.losers is None:
             return self.workspace.write(kept.drop("text"), "kept")
         return kept
 
@@ -251,10 +251,9 @@ class Load:
             "card_name_set_bridge": self.name_sets,
         }
 
-    def new_sizes(self, null_costs: int) -> dict[str, tuple[int, int]]:
-        """(rows, bytes) this batch adds to each dimension."""
-        rows, size = self._new_sizes["mana_cost"]
-        return {**self._new_sizes, "mana_cost": (rows + null_costs, size + null_costs * _NUMBER_BYTES)}
+    def new_sizes(self) -> dict[str, tuple[int, int]]:
+        """(rows, bytes) this batch adds to each dimension; for costs, those with a text."""
+        return dict(self._new_sizes)
 
 
 def _cost_id() -> Column:
@@ -303,9 +302,7 @@ def load_batch(store: SegmentStore, records: DataFrame, workspace: Workspace, re
         existing = {name: store.read(manifest, name, schema) for name, schema in STORED.items()}
 
     missing = reduce(or_, (F.col(column).isNull() for column in REQUIRED_INPUT))
-    low, high, bad, null_costs = records.agg(
-        F.min(ROW_ORD), F.max(ROW_ORD), F.count_if(missing), F.count_if(F.col("manaCost").isNull())
-    ).head()
+    low, high, bad = records.agg(F.min(ROW_ORD), F.max(ROW_ORD), F.count_if(missing)).head()
     if bad and not divert:
         raise ValueError(f"{bad} records lack one of {', '.join(REQUIRED_INPUT)}; nothing was loaded")
     next_ord = manifest["next_ord"] if existing else 0
@@ -326,5 +323,5 @@ def load_batch(store: SegmentStore, records: DataFrame, workspace: Workspace, re
         store.write(segment, table, plans[table](), STORED_PARTITION.get(table, ()))
 
     run_together(store.spark, {table: partial(write, table) for table in STORED})
-    store.publish(segment, manifest, replace, next_ord, batch, load.new_sizes(null_costs))
+    store.publish(segment, manifest, replace, next_ord, batch, load.new_sizes())
     return True

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
-from functools import reduce
+from functools import cached_property, reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -32,16 +32,23 @@ class Model:
     def __init__(self, tables: Mapping[str, DataFrame], workspace: Workspace, sizes: Mapping[str, tuple[int, int]]):
         self.tables = dict(tables)
         self.workspace = workspace
-        self._sized = {name: workspace.table(tables[name], tuple(size)) for name, size in sizes.items()}
+        self._sizes = {name: tuple(size) for name, size in sizes.items()}
+        self._sized: dict[str, Table] = {}
 
     def __getitem__(self, name: str) -> DataFrame:
         return self.tables[name]
 
     def sized(self, name: str) -> Table:
         if name not in self._sized:
-            self._sized[name] = self.workspace.table(self.tables[name])
+            self._sized[name] = self.workspace.table(self.tables[name], self._sizes.get(name))
         return self._sized[name]
 
+    @cached_property
+    def cost_texts(self) -> Table:
+        """Costs with a text; the known size of the costs counts only these."""
+        costs = self["mana_cost"].where("mana_cost_text IS NOT NULL")
+        return self.workspace.table(costs, self._sizes.get("mana_cost"))
+
     def renamed(self, prefix: str = "") -> dict[str, DataFrame]:
         """Tables under the names of a database that uses ``prefix``."""
         return {

@@ -18,15 +18,15 @@ def profile(cards: DataFrame, costs: Table, names: Sequence[tuple[ListColumn, Da
     """Cards with their cost and, per list column, the joined item names.
 
     Each bridge is aggregated before it is joined, so no join multiplies rows; all of them
-    and the cards are partitioned by card id.  The cost comes first: it is broadcast, or
-    shuffles by cost id once, and leaves the partitioning by card id to the rest.
+    and the cards are partitioned by card id.  ``costs`` needs only the rows with a text: a
+    cost without one has no pips, and there may be as many of those as cards.
     """
-    lookup = Lookup(costs, "mana_cost_id", "mana_cost_id", {"mana": "mana_cost_text", "cmc": "mana_cost_total"})
+    lookup = Lookup(costs, "mana_cost_id", "mana_cost_id", {"mana": "mana_cost_text", "total": "mana_cost_total"})
     result = attach(cards.select("card_id", "card_name", "mana_cost_id"), [lookup], "card_id")
     for (column, bridge, dim), name in zip(names, results):
         lists = joined_names(bridge, dim, column.id_name, column.key, name)
         result = result.join(lists, "card_id", "left")
-    return result.select("card_id", "card_name", "mana", "cmc", *results)
+    return result.select("card_id", "card_name", "mana", F.coalesce("total", F.lit(0)).alias("cmc"), *results)
 
 
 PROFILE_LISTS = {"types": TYPE, "subtypes": SUBTYPE, "supertypes": SUPERTYPE}
@@ -35,7 +35,7 @@ PROFILE_LISTS = {"types": TYPE, "subtypes": SUBTYPE, "supertypes": SUPERTYPE}
 def card_profile(model: Model) -> DataFrame:
     """One row per card: id, name, cost text and total, types, subtypes, supertypes."""
     names = [(column, model[column.bridge], model.sized(column.table)) for column in PROFILE_LISTS.values()]
-    return profile(model["card"], model.sized("mana_cost"), names, list(PROFILE_LISTS))
+    return profile(model["card"], model.cost_texts, names, list(PROFILE_LISTS))
 
 
 def identity_within(cards: DataFrame, bridge: DataFrame, dim: Table, allowed: Sequence[str]) -> DataFrame:

@@ -10,7 +10,6 @@ from __future__ import annotations
 import json
 import uuid
 from collections.abc import Mapping, Sequence
-from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -78,32 +77,34 @@ class SegmentStore:
         options = gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 0)
         context.rename(filesystem.makeQualified(draft), filesystem.makeQualified(target), options)
 
-    # -- segments -----------------------------------------------------------------------
+    # -- segments: every table is partitioned by segment -------------------------------------
 
     def new_segment(self) -> str:
-        return uuid.uuid4().hex
+        return f"s{uuid.uuid4().hex}"
+
+    def _folder(self, table: str, segment: str) -> str:
+        return f"{self.root}/tables/{table}/segment={segment}"
 
     def write(self, segment: str, table: str, df: DataFrame, partition_by: Sequence[str] = ()) -> None:
-        df.write.partitionBy(*partition_by).parquet(f"{self.root}/segments/{segment}/{table}")
+        df.write.partitionBy(*partition_by).parquet(self._folder(table, segment))
 
     def read_segment(self, segment: str, table: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.root}/segments/{segment}/{table}")
+        return self.spark.read.parquet(self._folder(table, segment))
 
     def read(self, manifest: dict, table: str, schema: str) -> DataFrame:
-        """All rows of a table that ``manifest`` lists."""
-        parts = [
-            self.spark.read.schema(schema).parquet(f"{self.root}/segments/{segment}/{table}")
-            for segment in manifest["segments"]
-        ]
-        return reduce(DataFrame.unionByName, parts)
+        """All rows of a table that ``manifest`` lists, as one scan."""
+        folders = [self._folder(table, segment) for segment in manifest["segments"]]
+        reader = self.spark.read.schema(schema).option("basePath", f"{self.root}/tables/{table}")
+        return reader.parquet(*folders).drop("segment")
 
     def vacuum(self) -> None:
         """Delete segments the current manifest does not list; no reader may be using them."""
         manifest = self.manifest()
         filesystem = self._filesystem()
-        folder = self._path("segments")
-        if manifest is None or not filesystem.exists(folder):
+        if manifest is None:
             return
-        for status in filesystem.listStatus(folder):
-            if status.getPath().getName() not in manifest["segments"]:
-                filesystem.delete(status.getPath(), True)
+        current = {f"segment={segment}" for segment in manifest["segments"]}
+        for table in filesystem.listStatus(self._path("tables")):
+            for segment in filesystem.listStatus(table.getPath()):
+                if segment.getPath().getName() not in current:
+                    filesystem.delete(segment.getPath(), True)

@@ -79,7 +79,8 @@ def test_two_batches_equal_one(spark, max_rows):
         assert sorted(map(repr, one[name].collect())) == sorted(map(repr, two[name].collect())), name
     assert parts.manifest()["sizes"].keys() == whole.manifest()["sizes"].keys()
     for name, (rows, _) in parts.manifest()["sizes"].items():
-        assert rows == two[name].count(), name
+        stored = two[name].where("mana_cost_text IS NOT NULL") if name == "mana_cost" else two[name]
+        assert rows == stored.count(), name
     # Delivered again, a named batch changes nothing; unnamed, it only adds per-record rows.
     assert not load_batch(parts, frame(spark, RECORDS[150:]), workspace, batch="b")
     load_batch(parts, frame(spark, RECORDS), workspace)
