@@ -14,7 +14,7 @@ from strandweave.operators import costs, quality
 from strandweave.operators.aggregates import joined_names
 from strandweave.operators.first_wins import first_rows
 from strandweave.plans.load import Load, load_batch
-from strandweave.plans.model import PROFILE_VIEW, Model, open_model
+from strandweave.plans.model import PROFILE_VIEW, Model, bridge_of, open_model
 from strandweave.plans.profile import PROFILE_LISTS, card_profile, identity_within, profile
 from strandweave.plans.schema import COLOR, LIST_COLUMNS, ListColumn
 from strandweave.plans.synthetic import staging_from_orders
@@ -171,9 +171,11 @@ for _result in PROFILE_LISTS:
 
 
 def planned_profile(batch: Load) -> DataFrame:
-    """The profile of one load, from only the parts it needs."""
-    batch.prepare(["mana_cost", *(column.table for column in PROFILE_LISTS.values())])
-    names = [(column, batch.bridge(column), _sized(batch, column)) for column in PROFILE_LISTS.values()]
+    """The profile of one load, from only the parts it needs; all lists are split in one pass."""
+    tables = [column.table for column in PROFILE_LISTS.values()]
+    batch.prepare(["mana_cost", *tables])
+    items = batch.workspace.write(batch.items(tables), "items", ["table"])
+    names = [(column, bridge_of(items, column), _sized(batch, column)) for column in PROFILE_LISTS.values()]
     dictionary = batch.dictionary("mana_cost")
     texts = dictionary.with_df(costs.cost_rows(dictionary.df))
     return profile(batch.card_costs(), texts, names, list(PROFILE_LISTS))

@@ -19,6 +19,7 @@ from strandweave.functions import first_seen_id, stat_value
 from strandweave.operators import costs, dimensions, multivalue
 from strandweave.operators.first_wins import Selection, select_first
 from strandweave.operators.lookup import Lookup, attach, not_stored
+from strandweave.plans.model import bridge_of
 from strandweave.plans.schema import (
     KEY_COLUMNS,
     KEY_TABLES,
@@ -186,7 +187,7 @@ class Load:
         return multivalue.item_bridge(self.kept, columns, self.dictionaries(columns))
 
     def bridge(self, column: ListColumn) -> DataFrame:
-        return self.items([column.table]).select("card_id", F.col("item_id").alias(column.id_name))
+        return bridge_of(self.items([column.table]), column)
 
     def name_sets(self) -> DataFrame:
         pairs = multivalue.name_set_bridge(self.kept, "name", SET.column, self.dictionary(SET.table))

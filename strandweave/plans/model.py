@@ -17,6 +17,7 @@ from strandweave.plans.schema import (
     TABLES,
     UNIQUE,
     UNIQUE_PAIRS,
+    ListColumn,
     column_name,
     table_name,
 )
@@ -87,6 +88,11 @@ class Model:
         return reduce(DataFrame.unionByName, checks)
 
 
+def bridge_of(items: DataFrame, column: ListColumn) -> DataFrame:
+    """One list column's bridge from the bridges' stored form."""
+    return items.where(F.col("table") == column.table).select("card_id", F.col("item_id").alias(column.id_name))
+
+
 def logical_tables(stored: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
     """The model's tables from their stored form."""
     tables = {name: df for name, df in stored.items() if name in TABLES}
@@ -94,8 +100,7 @@ def logical_tables(stored: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
         keys = stored["keys"].where(F.col("table") == column.table)
         tables[column.table] = keys.select(F.col("id").alias(column.id_name), F.col("key").alias(column.key))
     for column in LIST_COLUMNS.values():
-        items = stored["items"].where(F.col("table") == column.table)
-        tables[column.bridge] = items.select("card_id", F.col("item_id").alias(column.id_name))
+        tables[column.bridge] = bridge_of(stored["items"], column)
     # Nothing fills this table; it exists so that queries naming it run.
     tables["original_text"] = stored["card"].sparkSession.createDataFrame([], TABLES["original_text"])
     return {name: tables[name] for name in TABLES}

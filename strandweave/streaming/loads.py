@@ -10,10 +10,11 @@ from strandweave.sources.store import SegmentStore
 from strandweave.tables import Workspace
 
 
-def load_stream(stream: DataFrame, store: SegmentStore, checkpoint: str, name: str = "stream", **trigger) -> StreamingQuery:
+def load_stream(stream: DataFrame, store: SegmentStore, checkpoint: str, **trigger) -> StreamingQuery:
     """Load every micro-batch on top of what is stored; stored keys win.
 
-    The batch number is published with its rows, so a batch delivered again is skipped.
+    The query's own id, which lives in its checkpoint, and the batch number are published
+    with the rows, so a batch delivered again is skipped.
     """
 
     def load(records: DataFrame, number: int) -> None:
@@ -23,7 +24,8 @@ def load_stream(stream: DataFrame, store: SegmentStore, checkpoint: str, name: s
         with Workspace(session) as workspace:
             # Read the source once: the load makes several passes over its records.
             batch = workspace.write(records, "records")
-            load_batch(SegmentStore(session, store.root), batch, workspace, batch=f"{name}-{number}")
+            query = session.sparkContext.getLocalProperty("sql.streaming.queryId")
+            load_batch(SegmentStore(session, store.root), batch, workspace, batch=f"{query}-{number}")
 
     writer = stream.writeStream.option("checkpointLocation", checkpoint)
     return writer.foreachBatch(load).trigger(**(trigger or {"availableNow": True})).start()
