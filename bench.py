@@ -21,7 +21,7 @@ SF_DIR = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
 CPUS = os.environ.get("BENCH_CPUS", "8")
 HEADLINE = (
     "card_profile", "incremental_load", "doc_tokens", "html_tag_pips", "fact_cards", "first_wins_cards",
-    "load_status", "bridge_ability", "agg_subtypes", "name_set_bridge", "within_identity", "cost_totals",
+    "load_status", "bridge_ability", "agg_subtypes", "name_set_bridge", "identity_within", "cost_totals",
     "dq_not_null", "dq_fk", "dq_pairs", "csv_roundtrip", "stream_running_total", "stream_get_or_insert", "stream_tokens",
 )
 

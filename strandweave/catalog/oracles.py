@@ -101,7 +101,7 @@ ORACLES: dict[str, str] = {
     + """SELECT DISTINCT k.name AS card_name, d.set_id
         FROM kept k JOIN set_items i ON i.row_ord = k.row_ord JOIN set_dim d ON d.set_name = i.item
         WHERE k.name IS NOT NULL""",
-    "within_identity": with_(STAGING, KEPT, items("colors", "colorIdentity"))
+    "identity_within": with_(STAGING, KEPT, items("colors", "colorIdentity"))
     + """SELECT row_ord AS card_id, uuid FROM kept k WHERE NOT EXISTS (
         SELECT 1 FROM colors c WHERE c.row_ord = k.row_ord AND c.item NOT IN ('W', 'U'))""",
     "fact_cards": with_(STAGING, KEPT, COSTS, SETS)

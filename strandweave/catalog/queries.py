@@ -15,7 +15,8 @@ from strandweave.operators.aggregates import joined_names
 from strandweave.operators.first_wins import first_rows
 from strandweave.plans.load import Load, load_batch
 from strandweave.plans.model import PROFILE_VIEW, Model, bridge_of, open_model
-from strandweave.plans.profile import PROFILE_LISTS, card_profile, identity_within, profile
+from strandweave.plans import profile as profiles
+from strandweave.plans.profile import PROFILE_LISTS, card_profile, profile
 from strandweave.plans.schema import COLOR, LIST_COLUMNS, ListColumn
 from strandweave.plans.synthetic import staging_from_orders
 from strandweave.sources.csv import stage_csv
@@ -143,11 +144,11 @@ def name_set_bridge(spark, sf_dir):
 
 
 @query
-def within_identity(spark, sf_dir):
+def identity_within(spark, sf_dir):
     """Cards that fit a white and blue identity."""
     batch = load(spark, sf_dir)
     cards = batch.kept.select(F.col(ROW_ORD).alias("card_id"), "uuid")
-    return identity_within(cards, batch.bridge(COLOR), _sized(batch, COLOR), ["W", "U"])
+    return profiles.identity_within(cards, batch.bridge(COLOR), _sized(batch, COLOR), ["W", "U"])
 
 
 def _sized(batch: Load, column: ListColumn) -> Table:

@@ -64,12 +64,20 @@ def select_first(records: DataFrame, key: str, workspace: Workspace, existing: D
         firsts = workspace.write(firsts.withColumn("is_new", F.lit(True)), "firsts")
     else:
         firsts = workspace.write(_mark_new(workspace.save(firsts, "found"), existing, key), "firsts")
-    total, new = firsts.agg(F.coalesce(F.sum("copies"), F.lit(0)), F.count_if("is_new")).head()
+    contested = F.expr("copies > 1 OR NOT is_new")
+    size = F.octet_length(key) + 16
+    total, new, keys, key_bytes = firsts.agg(
+        F.coalesce(F.sum("copies"), F.lit(0)),
+        F.count_if("is_new"),
+        F.count_if(contested),
+        F.coalesce(F.sum(F.when(contested, size)), F.lit(0)),
+    ).head()
     winners = firsts.where("is_new").select(ROW_ORD)
     loser_count = total - new
     losers = None
     if loser_count <= workspace.max_rows:
-        losers = workspace.write(_losers(records, workspace.table(firsts.where("copies > 1 OR NOT is_new")), key), "losers")
+        table = workspace.table(firsts.where(contested), (keys, key_bytes))
+        losers = workspace.write(_losers(records, table, key), "losers")
     return Selection(records, winners, losers, loser_count)
 
 

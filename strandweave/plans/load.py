@@ -90,6 +90,9 @@ class Load:
 
     def prepare(self, tables: Iterable[str] = RECORD_TABLES) -> None:
         """Build the dictionaries of ``tables`` that are not there yet, in one pass."""
+        tables = list(tables)
+        if all(table in self._dictionaries for table in tables):
+            return
         with self._lock:
             wanted = [table for table in tables if table not in self._dictionaries]
             if "mana_pip" in wanted:
@@ -147,8 +150,8 @@ class Load:
         for table in tables:
             row = sizes.get(table)
             rows = resolved.where(F.col("table") == table)
-            self._dictionaries[table] = self.workspace.table(rows, (row.rows, row.bytes) if row else (0, 0))
             self._new_sizes[table] = (row.new_rows, row.new_bytes) if row else (0, 0)
+            self._dictionaries[table] = self.workspace.table(rows, (row.rows, row.bytes) if row else (0, 0))
 
     @property
     def new_pip_rows(self) -> DataFrame:
@@ -238,7 +241,6 @@ class Load:
     def stored(self) -> dict[str, Callable[[], DataFrame]]:
         """For every stored table, a callable that plans the rows to add."""
         self.prepare()
-        self.prepare(["mana_pip"])
         return {
             "keys": self.plain_keys,
             "items": self.items,

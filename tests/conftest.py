@@ -12,7 +12,7 @@ from strandweave.tables import Workspace  # noqa: E402
 @pytest.fixture(scope="session")
 def spark(tmp_path_factory):
     folder = str(tmp_path_factory.mktemp("shared"))
-    session = local_session(8, **{"spark.checkpoint.dir": folder})
+    session = local_session(8, **{"spark.checkpoint.dir": folder, "spark.sql.shuffle.partitions": "4"})
     session.sparkContext.setLogLevel("ERROR")
     yield session
     session.stop()
