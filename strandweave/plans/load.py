@@ -185,9 +185,20 @@ class Load:
         return costs.cost_pip_bridge(self.new_pip_rows, self.dictionary("mana_pip"))
 
     def items(self, tables: Iterable[str] = tuple(LIST_COLUMNS)) -> DataFrame:
-        """Bridges of delimited columns, in stored form."""
-        columns = {table: LIST_COLUMNS[table].column for table in tables}
-        return multivalue.item_bridge(self.kept, columns, self.dictionaries(columns))
+        """Bridges of delimited columns, in stored form. Lists whose dictionaries fit one
+        broadcast together share a pass; the others share a second one, which shuffles."""
+        tables = list(tables)
+        self.prepare(tables)
+        small: list[str] = []
+        for table in sorted(tables, key=lambda table: self._dictionaries[table].size):
+            if self.dictionaries([*small, table]).fits_broadcast():
+                small.append(table)
+        groups = [group for group in (small, [table for table in tables if table not in small]) if group]
+        parts = []
+        for group in groups:
+            columns = {table: LIST_COLUMNS[table].column for table in group}
+            parts.append(multivalue.item_bridge(self.kept, columns, self.dictionaries(group)))
+        return reduce(DataFrame.unionByName, parts)
 
     def bridge(self, column: ListColumn) -> DataFrame:
         return bridge_of(self.items([column.table]), column)
