@@ -21,8 +21,10 @@ RECORDS, SPLITS = "records", "splits"
 
 def header_schema(spark: SparkSession, path: str) -> T.StructType:
     """All-text schema named by the first file's header, names stripped."""
-    first = min(spark.read.format("text").load(path).inputFiles())
-    header = spark.read.options(header=False, multiLine=True, **_FORMAT).csv(first).head()
+    first = min(spark.read.format("text").load(path).inputFiles(), default=None)
+    header = first and spark.read.options(header=False, multiLine=True, **_FORMAT).csv(first).head()
+    if not header:
+        raise ValueError(f"no header in {path}")
     names = [("" if name is None else name).strip() for name in header]
     if "" in names or len(set(names)) < len(names):
         raise ValueError(f"header names must be distinct and not empty: {names}")

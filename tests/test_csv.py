@@ -16,6 +16,8 @@ def test_header_names_are_stripped(spark, tmp_path):
     assert header_schema(spark, path).names == ["uuid", "Name", "x,y"]
     with pytest.raises(ValueError, match="distinct"):
         header_schema(spark, write(tmp_path / "bad", a="u, u\n1,2\n"))
+    with pytest.raises(ValueError, match="no header"):
+        header_schema(spark, write(tmp_path / "empty", a=""))
 
 
 def test_fields(spark, tmp_path):
