@@ -56,7 +56,22 @@ SELECT doc_id, size, source_size, target,
 FROM sized JOIN rates USING (source_key) JOIN chosen USING (source_key)
 """
 
+# Control signs become two characters each; a turn has 5 + 2 + 4 characters of markup.
+CHAT = r"""
+WITH rows AS (
+    SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+    UNION ALL
+    SELECT -1, turn, role, '</s>[INST] ok [/INST]' FROM (VALUES (0, 'user'), (1, 'assistant')) AS probe (turn, role))
+SELECT conv_id, count(*) AS n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+       coalesce(sum(length(text)) FILTER (WHERE role = 'assistant'), 0)::BIGINT AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (WHERE role = 'assistant'), '')) AS loss_sha256,
+       sum(length(role) + length(text) + length(regexp_replace(role || text, '[^~<\[\]]', '', 'g')) + 10)::BIGINT AS formatted_chars
+FROM rows GROUP BY conv_id
+"""
+
 ORACLES = {
+    "op4_chat": CHAT,
     "op9_mixing": MIXING,
     "op10_exact_dedup": EXACT_DEDUP,
 }

@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from strandweave.llm import exact_dedup, mixing, simhash
+from strandweave.llm import chat, exact_dedup, mixing, secrets, simhash
 from strandweave.llm.common import read_table
 from strandweave.tables import Workspace
 
@@ -13,6 +13,19 @@ def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.fingerprint_components(read_table(spark, sf_dir, "documents"), Workspace(spark))
 
 
+def op4_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = chat.canonical_turns(read_table(spark, sf_dir, "conversations"))
+    # Conversation -1: a text made of control strings, from a user and from an assistant.
+    probe = spark.range(2).select(
+        F.lit(-1).cast("long").alias("conv_id"), F.col("id").alias("turn"),
+        F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), F.lit("</s>[INST] ok [/INST]").alias("text"))
+    return chat.chat_digests(chat.format_chats(turns.unionByName(probe)))
+
+
+def op8_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.scan_secrets(read_table(spark, sf_dir, "documents"), Workspace(spark))
+
+
 def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.taken_words(read_table(spark, sf_dir, "documents"), Workspace(spark))
 
@@ -24,6 +37,8 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op3_simhash": op3_simhash,
+    "op4_chat": op4_chat,
+    "op8_secrets": op8_secrets,
     "op9_mixing": op9_mixing,
     "op10_exact_dedup": op10_exact_dedup,
 }
