@@ -4,11 +4,15 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from strandweave.llm import chat, exact_dedup, mixing, secrets, simhash
+from strandweave.llm import chat, exact_dedup, mixing, pii, secrets, simhash
 from strandweave.llm.common import read_table
 from strandweave.tables import Workspace
 
 
+def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.find_personal_data(read_table(spark, sf_dir, "documents"), Workspace(spark))
+
+
 def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.fingerprint_components(read_table(spark, sf_dir, "documents"), Workspace(spark))
 
@@ -36,6 +40,7 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op2_pii": op2_pii,
     "op3_simhash": op3_simhash,
     "op4_chat": op4_chat,
     "op8_secrets": op8_secrets,
