@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from strandweave.llm import chat, exact_dedup, mixing, pii, secrets, simhash
+from strandweave.llm import chat, exact_dedup, mixing, pii, quality, secrets, simhash
 from strandweave.llm.common import read_table
 from strandweave.tables import Workspace
 
@@ -26,6 +26,10 @@ def op4_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.chat_digests(chat.format_chats(turns.unionByName(probe)))
 
 
+def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.score_documents(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
 def op8_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.scan_secrets(read_table(spark, sf_dir, "documents"), Workspace(spark))
 
@@ -43,6 +47,7 @@ QUERIES = {
     "op2_pii": op2_pii,
     "op3_simhash": op3_simhash,
     "op4_chat": op4_chat,
+    "op6_quality": op6_quality,
     "op8_secrets": op8_secrets,
     "op9_mixing": op9_mixing,
     "op10_exact_dedup": op10_exact_dedup,
