@@ -4,11 +4,18 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from strandweave.llm import chat, exact_dedup, mixing, pii, quality, secrets, simhash
+from strandweave.llm import chat, exact_dedup, mixing, packing, pii, quality, secrets, simhash
 from strandweave.llm.common import read_table
 from strandweave.tables import Workspace
 
 
+def tokenizer_path() -> str:
+    """The vocabulary that the packing query is fixed to; it is installed on every machine."""
+    import public_tokenizers
+
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
 def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.find_personal_data(read_table(spark, sf_dir, "documents"), Workspace(spark))
 
@@ -26,6 +33,11 @@ def op4_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.chat_digests(chat.format_chats(turns.unionByName(probe)))
 
 
+def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    packed = packing.pack(read_table(spark, sf_dir, "documents"), Workspace(spark), tokenizer_path())
+    return packed.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
+
+
 def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score_documents(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
 
@@ -47,6 +59,7 @@ QUERIES = {
     "op2_pii": op2_pii,
     "op3_simhash": op3_simhash,
     "op4_chat": op4_chat,
+    "op5_packing": op5_packing,
     "op6_quality": op6_quality,
     "op8_secrets": op8_secrets,
     "op9_mixing": op9_mixing,
