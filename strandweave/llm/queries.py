@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from strandweave.llm import chat, exact_dedup, mixing, packing, pii, quality, secrets, simhash
+from strandweave.llm import ann, chat, exact_dedup, html_text, mixing, packing, pii, quality, secrets, simhash
 from strandweave.llm.common import read_table
 from strandweave.tables import Workspace
 
@@ -16,6 +16,10 @@ def tokenizer_path() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+def op1_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract_pages(read_table(spark, sf_dir, "pages"))
+
+
 def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.find_personal_data(read_table(spark, sf_dir, "documents"), Workspace(spark))
 
@@ -42,6 +46,10 @@ def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score_documents(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
 
 
+def op7_nn_descent(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.nearest(read_table(spark, sf_dir, "embeddings"), Workspace(spark))
+
+
 def op8_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.scan_secrets(read_table(spark, sf_dir, "documents"), Workspace(spark))
 
@@ -56,11 +64,13 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_html": op1_html,
     "op2_pii": op2_pii,
     "op3_simhash": op3_simhash,
     "op4_chat": op4_chat,
     "op5_packing": op5_packing,
     "op6_quality": op6_quality,
+    "op7_nn_descent": op7_nn_descent,
     "op8_secrets": op8_secrets,
     "op9_mixing": op9_mixing,
     "op10_exact_dedup": op10_exact_dedup,
