@@ -13,6 +13,8 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from functools import reduce
+from operator import add
 
 import numpy as np
 import pandas as pd
@@ -27,10 +29,12 @@ TREES = 6
 PER_MEMBER = 10
 ROUNDS = 6
 SETTLED = 0.02
-BEAM = 48
-FOLLOWED = 12
-HOPS = 8
+BEAM = 256
+FOLLOWED = 48
+HOPS = 7
 ENTRIES = 8
+UNROLLED = 128
+SENT_BYTES = 16 * 1024 * 1024
 
 
 def usable(vector: str) -> Column:
@@ -40,7 +44,11 @@ def usable(vector: str) -> Column:
     return v.isNotNull() & F.coalesce(finite, F.lit(False)) & F.coalesce(F.exists(v, lambda x: x != 0), F.lit(False))
 
 
-def inner_product(a: str, b: str) -> Column:
+def inner_product(a: str, b: str, dimension: int) -> Column:
+    """In double precision, component by component; written out so that it is compiled."""
+    if dimension <= UNROLLED:
+        terms = (F.get(a, i).cast("double") * F.get(b, i).cast("double") for i in range(dimension))
+        return reduce(add, terms, F.lit(0.0))
     products = F.zip_with(a, b, lambda x, y: x.cast("double") * y.cast("double"))
     return F.aggregate(products, F.lit(0.0), lambda total, x: total + x)
 
@@ -179,28 +187,31 @@ def _vectors(embeddings: DataFrame, workspace: Workspace, keep: int) -> tuple[Da
 
 def _walk(queries: DataFrame, nodes: DataFrame, graph: DataFrame, workspace: Workspace) -> DataFrame:
     """(query, node, score): the best nodes of each query node, itself included."""
+    asked = workspace.save(queries.select("query", F.col("vector").alias("wanted")), "asked")
+    if not asked.rows:
+        return queries.select("query", F.col("query").alias("node"), F.lit(0.0).alias("score"))
     ways = workspace.write(graph.select("u", "v").unionByName(graph.select(F.col("v").alias("u"), F.col("u").alias("v"))).distinct(), "ways")
-    vectors = nodes.select("node", "vector")
-    wanted = queries.select("query", F.col("vector").alias("wanted"))
-    entries = nodes.select("node").orderBy(F.xxhash64("node"), "node").limit(ENTRIES)  # the same few for every query
+    dimension = asked.df.select(F.size("wanted")).head()[0]
+    # The queries' vectors are sent to all tasks only while they are measured to be small.
+    small = asked.rows * dimension * 8 <= SENT_BYTES and asked.rows <= asked.max_rows
+    wanted = F.broadcast(asked.df) if small else asked.df
+    entries = [row.node for row in nodes.select("node").orderBy(F.xxhash64("node"), "node").limit(ENTRIES).collect()]
 
     def scored(candidates: DataFrame) -> DataFrame:
-        near = candidates.join(vectors, "node").join(wanted, "query")
-        return near.select("query", "node", inner_product("vector", "wanted").alias("score"))
+        near = candidates.join(nodes.select("node", "vector"), "node").join(wanted, "query")
+        return near.select("query", "node", inner_product("vector", "wanted", dimension).alias("score"), F.lit(False).alias("followed"))
 
-    own = queries.select("query", F.col("query").alias("node"))
-    start = queries.select("query", F.explode(F.array_distinct(F.concat(F.array("query"), F.lit([row.node for row in entries.collect()])))).alias("node")) \
-        if not queries.isEmpty() else own
-    beam = workspace.write(scored(start).withColumn("followed", F.lit(False)), "beam")
+    start = asked.df.select("query", F.explode(F.array_distinct(F.concat(F.array("query"), F.array(*[F.lit(e).cast("long") for e in entries])))).alias("node"))
+    beam = workspace.write(scored(start), "beam")
     order = Window.partitionBy("query").orderBy(F.desc("score"), "node")
     for _ in range(HOPS):
         waiting = beam.where("not followed").withColumn("_n", F.row_number().over(order)).where(F.col("_n") <= FOLLOWED).select("query", "node")
-        waiting = workspace.write(waiting, "waiting")
-        if waiting.isEmpty():
+        waiting = workspace.save(waiting, "waiting")
+        if not waiting.rows:
             break
-        reached = waiting.join(ways, waiting["node"] == ways["u"]).select("query", F.col("v").alias("node")).distinct()
-        fresh = scored(reached.join(beam.select("query", "node"), ["query", "node"], "left_anti")).withColumn("followed", F.lit(False))
-        marked = beam.join(waiting.withColumn("now", F.lit(True)), ["query", "node"], "left").select(
+        reached = waiting.df.join(ways, waiting.df["node"] == ways["u"]).select("query", F.col("v").alias("node")).distinct()
+        fresh = scored(reached.join(beam.select("query", "node"), ["query", "node"], "left_anti"))
+        marked = beam.join(waiting.df.withColumn("now", F.lit(True)), ["query", "node"], "left").select(
             "query", "node", "score", (F.col("followed") | F.coalesce("now", F.lit(False))).alias("followed"))
         ranked = marked.unionByName(fresh).withColumn("_n", F.row_number().over(order))
         beam = workspace.write(ranked.where(F.col("_n") <= BEAM).drop("_n"), "beam")

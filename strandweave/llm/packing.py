@@ -239,7 +239,7 @@ def pack(docs: DataFrame, workspace: Workspace, tokenizer: str, end_id: int = EN
     pieces = spark.read.parquet(path)
 
     short = pieces.where(F.col("length") < window).select("piece", "length", F.shiftright("piece", 33).alias("task"), F.ceil(F.col("length") / step).cast("int").alias("units"))
-    within = Window.partitionBy("task", "units").orderBy("piece")
+    within = Window.partitionBy("task", "units").orderBy(F.xxhash64("piece"), "piece")  # copies that follow each other part
     ranked = workspace.write(short.withColumn("place", F.row_number().over(within) - 1), "ranked")
     counts = workspace.write(ranked.groupBy("task", "units").agg(F.count(F.lit(1)).alias("n")), "counts")
     # One row per length: the histogram has window / step numbers, whatever the corpus.
