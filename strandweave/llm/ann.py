@@ -22,16 +22,16 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from strandweave.tables import Workspace
 
-DEGREE = 24
+DEGREE = 28
 REVERSE = 20
 BLOCK = 64
-TREES = 6
-PER_MEMBER = 10
+TREES = 10
+PER_MEMBER = 12
 ROUNDS = 6
 SETTLED = 0.02
-BEAM = 256
+BEAM = 224
 FOLLOWED = 48
-HOPS = 7
+HOPS = 5
 ENTRIES = 8
 UNROLLED = 128
 SENT_BYTES = 16 * 1024 * 1024
