@@ -182,7 +182,10 @@ _STAGING_NULLS = (
 )
 ORACLES["dq_unique"] = with_(STAGING) + """
     SELECT 'staging.uuid' AS rule, count(*) AS violations FROM (SELECT uuid FROM stg GROUP BY uuid HAVING count(*) > 1)
-    UNION ALL SELECT 'artist.artist_name', 0 UNION ALL SELECT 'mana_cost.mana_cost_text', 0"""
+    UNION ALL SELECT 'artist.artist_name', count(*) FROM (
+        SELECT artist_name FROM (SELECT DISTINCT coalesce(artist, 'UNKNOWN') AS artist_name FROM stg) GROUP BY 1 HAVING count(*) > 1)
+    UNION ALL SELECT 'mana_cost.mana_cost_text', count(*) FROM (
+        SELECT t FROM (SELECT DISTINCT upper("manaCost") AS t FROM stg WHERE "manaCost" IS NOT NULL) GROUP BY 1 HAVING count(*) > 1)"""
 ORACLES["dq_not_null"] = with_(STAGING) + " UNION ALL ".join(
     f"""SELECT 'not null staging.{c}' AS rule, count(*) AS violations FROM stg WHERE "{c}" IS NULL"""
     for c in _STAGING_NULLS
@@ -221,6 +224,11 @@ _RULES = [
     *[f"unique {table}" for table in UNIQUE_PAIRS],
     *[f"reference {child}.{column}" for child, column, _ in REFERENCES],
 ]
+ORACLES["ordinals_assigned"] = """SELECT o_orderkey, row_number() OVER (ORDER BY o_orderdate, o_orderkey) - 1 AS row_ord FROM orders"""
+ORACLES["load_rejected"] = with_(STAGING) + """
+    SELECT row_ord, CASE WHEN row_ord % 97 = 0 THEN 'no uuid' WHEN row_ord % 89 = 0 THEN 'power out of range'
+        ELSE 'manaCost out of range' END AS reason
+    FROM stg WHERE row_ord % 97 = 0 OR row_ord % 89 = 0 OR row_ord % 83 = 0"""
 ORACLES["model_integrity"] = "SELECT unnest([{}]) AS rule, CAST(0 AS bigint) AS violations".format(
     ", ".join(f"'{rule}'" for rule in _RULES)
 )
@@ -229,11 +237,13 @@ ORACLES["stream_running_total"] = """SELECT event_type,
 ORACLES["stream_get_or_insert"] = "SELECT DISTINCT user_id FROM events WHERE user_id IS NOT NULL"
 ORACLES["stream_tokens"] = f"""SELECT DISTINCT trim(item, ' ') AS item
     FROM (SELECT unnest(string_split_regex(props, '{SPLIT}')) AS item FROM events)"""
-ORACLES["html_tag_pips"] = """SELECT token, count(*) AS uses, min(page_id * 1048576 + pos) AS first_seen
+ORACLES["html_tag_pips"] = """SELECT token, count(*) AS uses, min({'o': page_id, 'p': pos}).o AS first_owner,
+        CAST(min({'o': page_id, 'p': pos}).p AS integer) AS first_pos
     FROM (SELECT page_id, unnest(range(len(l))) AS pos, unnest(l) AS token
           FROM (SELECT page_id, regexp_extract_all(html, '<([^>]+)>', 1) AS l FROM pages))
     GROUP BY token"""
-ORACLES["doc_tokens"] = f"""SELECT token, count(*) AS uses, min(doc_id * 1048576 + pos) AS first_seen
+ORACLES["doc_tokens"] = f"""SELECT token, count(*) AS uses, min({{'o': doc_id, 'p': pos}}).o AS first_owner,
+        CAST(min({{'o': doc_id, 'p': pos}}).p AS integer) AS first_pos
     FROM (SELECT doc_id, unnest(range(len(l))) AS pos, trim(unnest(l), ' ') AS token
           FROM (SELECT doc_id, string_split_regex("text", '{SPLIT}') AS l FROM documents))
     GROUP BY token"""

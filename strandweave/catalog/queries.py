@@ -8,12 +8,13 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from strandweave.fixed import ROW_ORD, STAGING_COLUMNS
-from strandweave.functions import brace_tokens, first_seen_id, list_tokens
+from strandweave.functions import brace_tokens, list_tokens
 from strandweave.functions.sql import register_sql_functions
 from strandweave.operators import costs, quality
 from strandweave.operators.aggregates import joined_names
 from strandweave.operators.first_wins import first_rows
-from strandweave.plans.load import Load, load_batch
+from strandweave.operators.ordinals import assign_ordinals
+from strandweave.plans.load import Load, load_batch, rejected_records
 from strandweave.plans.model import PROFILE_VIEW, Model, bridge_of, open_model
 from strandweave.plans import profile as profiles
 from strandweave.plans.profile import PROFILE_LISTS, card_profile, profile
@@ -185,22 +186,49 @@ def planned_profile(batch: Load) -> DataFrame:
 QUERIES["card_profile"] = lambda spark, sf_dir: planned_profile(load(spark, sf_dir))
 
 
+def loaded_model(spark: SparkSession, sf_dir: str) -> Model:
+    workspace = Workspace(spark)
+    store = SegmentStore(spark, workspace.folder("store"))
+    load_batch(store, staging(spark, sf_dir), workspace, replace=True)
+    return open_model(spark, store, workspace)
+
+
 @query
 def profile_by_id(spark, sf_dir):
-    return planned_profile(load(spark, sf_dir)).where("card_id = 1")
+    """One card of the published model; the filter reaches every scan."""
+    return card_profile(loaded_model(spark, sf_dir)).where("card_id = 1")
 
 
 @query
 def profile_by_cost(spark, sf_dir):
     """The stored total as a filter."""
-    return planned_profile(load(spark, sf_dir)).where("cmc >= 8")
+    return card_profile(loaded_model(spark, sf_dir)).where("cmc >= 8")
 
 
-def loaded_model(spark: SparkSession, sf_dir: str) -> Model:
+@query
+def ordinals_assigned(spark, sf_dir):
+    """Orders numbered by date, then key."""
+    orders = given(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate")
+    return assign_ordinals(orders, ["o_orderdate", "o_orderkey"], Workspace(spark)).select("o_orderkey", ROW_ORD)
+
+
+# Records made unfit for a load: what is broken follows from the ordinal.
+BROKEN = {
+    "uuid": "case when row_ord % 97 = 0 then null else uuid end",
+    "power": "case when row_ord % 89 = 0 then '99999999999' else power end",
+    "manaCost": "case when row_ord % 83 = 0 then '{99999999999}' else manaCost end",
+}
+
+
+@query
+def load_rejected(spark, sf_dir):
+    """What a load diverts, and why."""
     workspace = Workspace(spark)
     store = SegmentStore(spark, workspace.folder("store"))
-    load_batch(store, staging(spark, sf_dir), workspace, replace=True)
-    return open_model(spark, store, workspace)
+    records = staging(spark, sf_dir)
+    broken = records.select(*[F.expr(BROKEN[c]).alias(c) if c in BROKEN else F.col(c) for c in records.columns])
+    load_batch(store, broken, workspace, divert=True)
+    return rejected_records(store).select(ROW_ORD, "reason")
 
 
 @query
@@ -357,10 +385,17 @@ def stream_incremental_load(spark, sf_dir):
 
 
 def _token_counts(frame: DataFrame, owner: str, tokens) -> DataFrame:
+    """Uses of every token, and where it is first seen: owner and position.
+
+    Both places are taken by one minimum over a number of fixed width, which any 64-bit owner fits.
+    """
     rows = frame.select(owner, F.posexplode(tokens).alias("pos", "token"))
-    return rows.groupBy("token").agg(
-        F.count(F.lit(1)).alias("uses"), F.min(first_seen_id(F.col(owner), F.col("pos"))).alias("first_seen")
-    )
+    wide = F.lit(1 << 31).cast("decimal(10,0)")
+    place = (F.col(owner).cast("decimal(19,0)") * wide + F.col("pos")).cast("decimal(38,0)")
+    counted = rows.groupBy("token").agg(F.count(F.lit(1)).alias("uses"), F.min(place).alias("place"))
+    owner_of = F.floor(F.col("place") / wide).cast("long")
+    first_pos = F.pmod("place", wide.cast("decimal(38,0)")).cast("int")
+    return counted.select("token", "uses", owner_of.alias("first_owner"), first_pos.alias("first_pos"))
 
 
 @query

@@ -49,6 +49,21 @@ def total_cost(text: Column) -> Column:
     return integer(F.coalesce(total, F.lit(0).cast("long")).cast("string"))
 
 
+def stat_problem(text: Column) -> Column:
+    """True for a printed number that is no integer of the stored kind."""
+    return text.rlike(fixed.SIGNED_INTEGER) & text.try_cast("int").isNull()
+
+
+def cost_problem(text: Column) -> Column:
+    """True for a cost text of which a pip, or the total, is out of range."""
+    symbols = F.transform(brace_tokens(text), pip_symbol)
+    large = F.exists(symbols, lambda s: s.rlike(fixed.UNSIGNED_INTEGER) & s.try_cast("int").isNull())
+    values = F.transform(symbols, lambda s: F.when(s == "X", 0).otherwise(F.coalesce(
+        F.when(s.rlike(fixed.UNSIGNED_INTEGER), s.try_cast("int")), F.lit(1))).cast("long"))
+    total = F.aggregate(values, F.lit(0).cast("long"), lambda sum_, v: sum_ + v)
+    return large | (total > 2147483647)
+
+
 def _is_variable(text: Column) -> Column:
     return text.isin("X", "x")
 

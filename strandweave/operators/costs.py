@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from strandweave.fixed import ROW_ORD
 from strandweave.functions import brace_tokens, first_seen_id, integer, pip_cost, pip_symbol, total_cost
+from strandweave.functions.ordinals import POSITION_BITS
 from strandweave.operators.lookup import Lookup, attach
 from strandweave.tables import Table
 
@@ -32,11 +33,11 @@ def cost_dimension(keys: DataFrame, records: DataFrame, column: str) -> DataFram
     return cost_rows(keys).unionByName(null_costs(records, column))
 
 
-def pip_rows(keys: DataFrame) -> DataFrame:
+def pip_rows(keys: DataFrame, bits: int = POSITION_BITS) -> DataFrame:
     """Every pip of every distinct cost text, repeats kept."""
     tokens = keys.select(F.col("id").alias("mana_cost_id"), F.posexplode(brace_tokens(F.col("key"))).alias("pos", "token"))
     return tokens.select(
-        first_seen_id(F.col("mana_cost_id"), F.col("pos")).alias("mana_cost_mana_pip_id"),
+        first_seen_id(F.col("mana_cost_id"), F.col("pos"), bits).alias("mana_cost_mana_pip_id"),
         "mana_cost_id",
         pip_symbol(F.col("token")).alias("mana_pip_symbol"),
     )

@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from strandweave.fixed import ROW_ORD
 from strandweave.functions import first_seen_id, list_tokens, stat_flags, stat_value
+from strandweave.functions.ordinals import POSITION_BITS
 from strandweave.operators.lookup import known
 from strandweave.tables import Table
 
@@ -42,10 +43,10 @@ def list_rows(records: DataFrame, columns: Mapping[str, str], distinct: bool = F
     return rows.select(ROW_ORD, "table", F.posexplode(items).alias("pos", "key"))
 
 
-def list_keys(records: DataFrame, columns: Mapping[str, str], offset: int = 0) -> DataFrame:
+def list_keys(records: DataFrame, columns: Mapping[str, str], offset: int = 0, bits: int = POSITION_BITS) -> DataFrame:
     """Key rows of delimited columns."""
     rows = list_rows(records, columns)
-    return rows.select("table", "key", first_seen_id(F.col(ROW_ORD), F.col("pos") + offset).alias("place"))
+    return rows.select("table", "key", first_seen_id(F.col(ROW_ORD), F.col("pos") + offset, bits).alias("place"))
 
 
 def stat_key(column: str, numeric_star: bool = False) -> tuple[Column, Column]:

@@ -18,8 +18,17 @@ from strandweave.tables import Table, Workspace
 
 
 def first_ordinals(records: DataFrame, key: str) -> DataFrame:
-    """One row per key with its smallest ordinal and its number of records."""
-    return records.groupBy(key).agg(F.min(ROW_ORD).alias(ROW_ORD), F.count(F.lit(1)).alias("copies"))
+    """One row per key with its smallest ordinal and its number of records, ``placed`` ones among them."""
+    return records.groupBy(key).agg(
+        F.min(ROW_ORD).alias(ROW_ORD), F.count(F.lit(1)).alias("copies"), F.count(ROW_ORD).alias("placed"))
+
+
+def check_ordinals(records: DataFrame) -> None:
+    """Every record needs an ordinal of its own; anything else would leave the winner to chance."""
+    repeated = records.groupBy(ROW_ORD).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > 1)
+    row = repeated.select(ROW_ORD).head(1)
+    if row:
+        raise ValueError(f"{ROW_ORD} {row[0][0]} belongs to several records; assign_ordinals gives each its own")
 
 
 def first_rows(records: DataFrame, key: str) -> DataFrame:
@@ -57,8 +66,14 @@ class Selection:
         return joined.select(ROW_ORD, value.alias(result))
 
 
-def select_first(records: DataFrame, key: str, workspace: Workspace, existing: DataFrame | None = None) -> Selection:
-    """Find winners: a stored key (column ``key`` of ``existing``) first, then the smallest ordinal."""
+def select_first(records: DataFrame, key: str, workspace: Workspace, existing: DataFrame | None = None,
+                 checked: bool = False) -> Selection:
+    """Find winners: a stored key (column ``key`` of ``existing``) first, then the smallest ordinal.
+
+    Null and repeated ordinals are errors; ``checked`` says that they cannot repeat.
+    """
+    if not checked:
+        check_ordinals(records)
     firsts = first_ordinals(records, key)
     if existing is None:
         firsts = workspace.write(firsts.withColumn("is_new", F.lit(True)), "firsts")
@@ -66,12 +81,15 @@ def select_first(records: DataFrame, key: str, workspace: Workspace, existing: D
         firsts = workspace.write(_mark_new(workspace.save(firsts, "found"), existing, key), "firsts")
     contested = F.expr("copies > 1 OR NOT is_new")
     size = F.octet_length(key) + 16
-    total, new, keys, key_bytes = firsts.agg(
+    total, placed, new, keys, key_bytes = firsts.agg(
         F.coalesce(F.sum("copies"), F.lit(0)),
+        F.coalesce(F.sum("placed"), F.lit(0)),
         F.count_if("is_new"),
         F.count_if(contested),
         F.coalesce(F.sum(F.when(contested, size)), F.lit(0)),
     ).head()
+    if placed < total:
+        raise ValueError(f"{total - placed} records have no {ROW_ORD}")
     winners = firsts.where("is_new").select(ROW_ORD)
     loser_count = total - new
     losers = None
@@ -85,7 +103,7 @@ def _mark_new(found: Table, existing: DataFrame, key: str) -> DataFrame:
     stored = known(existing.select(key), found, [key]).withColumn("stored", F.lit(True))
     if found.fits_broadcast():
         stored = F.broadcast(stored)  # a subset of the measured keys
-    return found.df.join(stored, key, "left").select(key, ROW_ORD, "copies", F.col("stored").isNull().alias("is_new"))
+    return found.df.join(stored, key, "left").select(key, ROW_ORD, "copies", "placed", F.col("stored").isNull().alias("is_new"))
 
 
 def _losers(records: DataFrame, contested: Table, key: str) -> DataFrame:

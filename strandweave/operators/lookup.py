@@ -1,10 +1,12 @@
 """Attach ids by natural key, or attributes by id, without skewed shuffles.
 
 A lookup table that measures small is broadcast.  A larger one is joined in two steps:
-its most frequent keys (at most ``HEAVY_KEYS`` rows of bounded length, so always small)
-are broadcast, and only the rows that found nothing there keep their key for the
-shuffled join.  The others are spread evenly, so that no key can fill one partition:
-a key outside the heaviest k holds at most 1/(k+1) of the rows.
+its most frequent keys (at most ``HEAVY_KEYS`` rows) are broadcast, and only the rows that
+found nothing there keep their key for the shuffled join.  The others are spread evenly, so
+that no key can fill one partition: a key outside the heaviest k holds at most 1/(k+1) of
+the rows.  Heavy texts are ranked, sent and met by a digest of fixed width, so their length
+does not matter; rows whose values are longer than ``HEAVY_VALUE_BYTES`` are not sent, which
+bounds what is.
 """
 
 from __future__ import annotations
@@ -17,7 +19,7 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 from strandweave.tables import Table
 
 HEAVY_KEYS = 1024
-HEAVY_KEY_BYTES = 1024
+HEAVY_VALUE_BYTES = 16 * 1024
 SPREAD = 1 << 16
 
 
@@ -45,15 +47,25 @@ def attach(facts: DataFrame, lookups: Sequence[Lookup], spread_by: str) -> DataF
     return result
 
 
+def _short(key: Column, data_type: T.DataType) -> Column:
+    """A key of fixed width that is equal when the keys are."""
+    return F.sha2(key, 256) if isinstance(data_type, T.StringType) else key
+
+
 def heavy_keys(facts: DataFrame, key: str, count: int = HEAVY_KEYS) -> DataFrame:
-    """The most frequent keys, at most ``count`` of them (a merge of bounded top lists)."""
-    keys = facts.select(key).where(F.col(key).isNotNull())
-    if isinstance(facts.schema[key].dataType, T.StringType):
-        keys = keys.where(F.octet_length(key) <= HEAVY_KEY_BYTES)
+    """The most frequent keys in short form, at most ``count`` of them (a merge of bounded top lists)."""
+    short = _short(F.col(key), facts.schema[key].dataType).alias(key)
+    keys = facts.where(F.col(key).isNotNull()).select(short)
     counted = keys.groupBy(key).agg(F.count(F.lit(1)).alias("n"))
     return counted.orderBy(F.desc("n"), F.col(key)).limit(count).select(key)
 
 
+def _value_bytes(dim: DataFrame, lookup: Lookup) -> Column:
+    texts = [F.coalesce(F.octet_length(column), F.lit(0)) for column in lookup.values.values()
+             if isinstance(dim.schema[column].dataType, T.StringType)]
+    return sum(texts, F.lit(0))
+
+
 def _side(dim: DataFrame, lookup: Lookup, key_name: str, prefix: str = "") -> DataFrame:
     columns = [F.col(column).alias(prefix + name) for name, column in lookup.values.items()]
     return dim.select(F.col(lookup.dim_key).alias(key_name), *columns)
@@ -70,15 +82,18 @@ def _attach_large(result: DataFrame, facts: DataFrame, lookup: Lookup, index: in
     heavy_prefix, cold_prefix = f"_h{index}_", f"_c{index}_"
 
     keys = heavy_keys(facts, lookup.key).select(F.col(lookup.key).alias(heavy_name))
-    heavy = lookup.dim.df.join(F.broadcast(keys), F.col(lookup.dim_key) == F.col(heavy_name), "left_semi")
-    heavy_side = F.broadcast(_side(heavy, lookup, heavy_name, heavy_prefix))
-    tagged = result.join(heavy_side, F.col(lookup.key) == F.col(heavy_name), "left")
+    dim, data_type = lookup.dim.df, result.schema[lookup.key].dataType
+    dim_short = _short(F.col(lookup.dim_key), dim.schema[lookup.dim_key].dataType)
+    heavy = dim.where(_value_bytes(dim, lookup) <= HEAVY_VALUE_BYTES).join(F.broadcast(keys), dim_short == F.col(heavy_name), "left_semi")
+    sent = [F.col(column).alias(heavy_prefix + name) for name, column in lookup.values.items()]
+    heavy_side = F.broadcast(heavy.select(dim_short.alias(heavy_name), *sent))
+    tagged = result.join(heavy_side, _short(F.col(lookup.key), data_type) == F.col(heavy_name), "left")
 
     # Rows already answered, or without a key, get a filler instead. A filler that happens
     # to equal a real key does no harm: the heavy side's answer is used, see below.
     answered = F.col(heavy_name).isNotNull()
     searching = F.col(lookup.key).isNotNull() & ~answered
-    filler = _filler(result.schema[lookup.key].dataType, spread_by)
+    filler = _filler(data_type, spread_by)
     tagged = tagged.withColumn(cold_name, F.when(searching, F.col(lookup.key)).otherwise(filler))
     cold_side = _side(lookup.dim.df, lookup, joined_name, cold_prefix)
     joined = tagged.join(cold_side, F.col(cold_name) == F.col(joined_name), "left")

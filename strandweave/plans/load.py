@@ -7,18 +7,20 @@ and stored keys keep their ids.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable, Mapping
+from collections.abc import Callable, Iterable, Mapping, Sequence
 from functools import cached_property, partial, reduce
-from operator import or_
 from threading import RLock
 
 from pyspark.sql import Column, DataFrame, functions as F
 
 from strandweave.fixed import ROW_ORD
 from strandweave.functions import first_seen_id, stat_value
+from strandweave.functions.ordinals import POSITION_BITS, bits_for, ordinal_limit
+from strandweave.functions.text import cost_problem, stat_problem
 from strandweave.operators import costs, dimensions, multivalue
-from strandweave.operators.first_wins import Selection, select_first
+from strandweave.operators.first_wins import Selection, check_ordinals, select_first
 from strandweave.operators.lookup import Lookup, attach, not_stored
+from strandweave.operators.ordinals import assign_ordinals
 from strandweave.plans.model import bridge_of
 from strandweave.plans.schema import (
     KEY_COLUMNS,
@@ -42,8 +44,10 @@ class Load:
     """One batch of staging rows. Parts are planned when asked for; shared ones are saved once."""
 
     def __init__(self, records: DataFrame, workspace: Workspace, existing: Mapping[str, DataFrame] | None = None,
-                 numeric_power_star: bool = False):
+                 numeric_power_star: bool = False, position_bits: int = POSITION_BITS, checked: bool = False):
         self.records = records
+        self.position_bits = position_bits
+        self.checked = checked
         self.workspace = workspace
         self.existing = existing
         self.numeric_power_star = numeric_power_star
@@ -58,7 +62,7 @@ class Load:
         stored = None
         if self.existing is not None:
             stored = self.existing["card"].select(F.col("card_uuid").alias("uuid"))
-        return select_first(self.records, "uuid", self.workspace, stored)
+        return select_first(self.records, "uuid", self.workspace, stored, self.checked)
 
     @cached_property
     def kept(self) -> DataFrame:
@@ -108,10 +112,10 @@ class Load:
         if single:
             rows.append(dimensions.column_keys(self.records, single))
         if lists:
-            rows.append(dimensions.list_keys(self.kept, lists))
+            rows.append(dimensions.list_keys(self.kept, lists, bits=self.position_bits))
         if SET.table in single:
             # Items of a kept record's set column come after its whole value.
-            rows.append(dimensions.list_keys(self.kept, {SET.table: SET.column}, offset=1))
+            rows.append(dimensions.list_keys(self.kept, {SET.table: SET.column}, 1, self.position_bits))
         return rows
 
     def _key_and_place(self, table: str) -> tuple[Column, Column]:
@@ -120,7 +124,7 @@ class Load:
             return dimensions.stat_key(STAT_COLUMNS[table], star)
         if table == "mana_cost":
             return F.upper("manaCost"), F.col(ROW_ORD)
-        place = first_seen_id(F.col(ROW_ORD), 0) if table == SET.table else F.col(ROW_ORD)
+        place = first_seen_id(F.col(ROW_ORD), 0, self.position_bits) if table == SET.table else F.col(ROW_ORD)
         return KEY_COLUMNS[table].value(), place
 
     def _save_dictionaries(self, key_rows: DataFrame, tables: list[str]) -> None:
@@ -156,7 +160,7 @@ class Load:
     @property
     def new_pip_rows(self) -> DataFrame:
         """Pips of cost texts seen for the first time; known texts are not parsed again."""
-        return costs.pip_rows(self.new_keys("mana_cost"))
+        return costs.pip_rows(self.new_keys("mana_cost"), self.position_bits)
 
     def new_keys(self, table: str) -> DataFrame:
         return self.dictionary(table).df.where("is_new")
@@ -297,16 +301,47 @@ def stored_keys(existing: Mapping[str, DataFrame], tables: Iterable[str]) -> Dat
 
 
 REQUIRED_INPUT = ("uuid", "setCode", "rarity")
+REJECTED = "rejected"
+
+
+def rejection() -> Column:
+    """Why a record cannot be loaded; null if it can."""
+    reason = F
+    for column in REQUIRED_INPUT:
+        reason = reason.when(F.col(column).isNull(), f"no {column}")
+    for column in STAT_COLUMNS.values():
+        reason = reason.when(stat_problem(F.col(column)), f"{column} out of range")
+    return reason.when(cost_problem(F.col("manaCost")), "manaCost out of range")
+
+
+def _longest() -> Column:
+    """Upper bound of the items in any cell of a record: its separators and braces, and one more."""
+    cells = [column.column for column in LIST_COLUMNS.values()] + [SET.column]
+    sizes = [F.char_length(c) - F.char_length(F.replace(F.col(c), F.lit(","), F.lit(""))) for c in cells]
+    pips = F.char_length("manaCost") - F.char_length(F.replace(F.col("manaCost"), F.lit("{"), F.lit("")))
+    return F.greatest(*[F.coalesce(size, F.lit(0)) for size in (*sizes, pips)]) + 2
+
+
+def rejected_records(store: SegmentStore) -> DataFrame:
+    """Diverted records of all published batches with the reason; empty columns if there are none."""
+    manifest = store.manifest()
+    names = [segment for segment in (manifest or {}).get("segments", []) if store.has(segment, REJECTED)]
+    if not names:
+        return store.spark.createDataFrame([], f"{ROW_ORD} bigint, uuid string, reason string")
+    return reduce(partial(DataFrame.unionByName, allowMissingColumns=True), [store.read_segment(name, REJECTED) for name in names])
 
 
 def load_batch(store: SegmentStore, records: DataFrame, workspace: Workspace, replace: bool = False,
-               batch: str | None = None, numeric_power_star: bool = False, divert: bool = False) -> bool:
+               batch: str | None = None, numeric_power_star: bool = False, divert: bool = False,
+               order_by: Sequence[Column | str] = (), checked: bool = False) -> bool:
     """Load ``records`` into ``store`` and publish, all or nothing.
 
     ``replace`` starts the model anew.  ``batch`` names the batch: one already published is
-    skipped (returns False), so a repeated delivery changes nothing.  Records whose ordinals
-    do not continue those stored are moved behind them, in their own order.  A record without
-    key, set or rarity fails the load; with ``divert`` it goes to the segment's ``rejected``.
+    skipped (returns False), so a repeated delivery changes nothing.  Records without ordinals
+    get them in the order of ``order_by``.  Given ordinals must be one per record, which is
+    tested unless ``checked`` says so; those that do not continue the stored ones are moved
+    behind them, in their own order.  A record without key, set or rarity, or with a number
+    out of range, fails the load; with ``divert`` it goes to ``rejected_records``.
     """
     manifest = store.manifest()
     if manifest and batch is not None and batch in manifest["batches"]:
@@ -315,27 +350,41 @@ def load_batch(store: SegmentStore, records: DataFrame, workspace: Workspace, re
     if manifest and not replace:
         existing = {name: store.read(manifest, name, schema) for name, schema in STORED.items()}
 
-    missing = reduce(or_, (F.col(column).isNull() for column in REQUIRED_INPUT))
-    low, high, bad = records.agg(F.min(ROW_ORD), F.max(ROW_ORD), F.count_if(missing)).head()
+    if ROW_ORD not in records.columns:
+        if not order_by:
+            raise ValueError(f"records have no {ROW_ORD}; give order_by, the order in which the first of a key wins")
+        records, checked = assign_ordinals(records, order_by, workspace, ROW_ORD), True
+    reason = rejection()
+    low, high, placed, total, bad, example, longest = records.agg(
+        F.min(ROW_ORD), F.max(ROW_ORD), F.count(ROW_ORD), F.count(F.lit(1)), F.count(reason), F.min(reason), F.max(_longest())).head()
+    if placed < total:
+        raise ValueError(f"{total - placed} records have no {ROW_ORD}; nothing was loaded")
     if bad and not divert:
-        raise ValueError(f"{bad} records lack one of {', '.join(REQUIRED_INPUT)}; nothing was loaded")
+        raise ValueError(f"{bad} records cannot be loaded ({example}); nothing was loaded")
+    if not checked:
+        check_ordinals(records)
+    bits = bits_for(longest or 0, manifest.get("position_bits", POSITION_BITS) if existing else POSITION_BITS)
     next_ord = manifest["next_ord"] if existing else 0
     if low is not None:
-        if low < next_ord:
-            records = records.withColumn(ROW_ORD, F.col(ROW_ORD) + F.lit(next_ord - low))
+        if low < next_ord or high >= ordinal_limit(bits):
+            records = records.withColumn(ROW_ORD, F.col(ROW_ORD) - F.lit(low) + F.lit(next_ord))
             high += next_ord - low
+        if high >= ordinal_limit(bits):  # sparse ordinals: close the gaps
+            dense = assign_ordinals(records.withColumnRenamed(ROW_ORD, "given_ord"), ["given_ord"], workspace, ROW_ORD)
+            records = dense.drop("given_ord").withColumn(ROW_ORD, F.col(ROW_ORD) + F.lit(next_ord))
+            high = next_ord + total - 1
         next_ord = high + 1
 
     segment = store.new_segment()
     if bad:
-        store.write(segment, "rejected", records.where(missing))
-        records = records.where(~missing)
-    load = Load(records, workspace, existing, numeric_power_star)
+        store.write(segment, REJECTED, records.withColumn("reason", reason).where("reason IS NOT NULL"))
+        records = records.where(reason.isNull())
+    load = Load(records, workspace, existing, numeric_power_star, bits, checked=True)
     plans = load.stored()
 
     def write(table: str) -> None:
         store.write(segment, table, plans[table](), STORED_PARTITION.get(table, ()))
 
     run_together(store.spark, {table: partial(write, table) for table in STORED})
-    store.publish(segment, manifest, replace, next_ord, batch, load.new_sizes())
+    store.publish(segment, manifest, replace, next_ord, batch, load.new_sizes(), {"position_bits": bits})
     return True

@@ -44,7 +44,8 @@ class SegmentStore:
         return json.loads(self.spark.read.text(path, wholetext=True).head()[0])
 
     def publish(self, segment: str, after: dict | None = None, replace: bool = False, next_ord: int = 0,
-                batch: str | None = None, sizes: Mapping[str, Sequence[int]] | None = None) -> None:
+                batch: str | None = None, sizes: Mapping[str, Sequence[int]] | None = None,
+                extra: Mapping[str, object] | None = None) -> None:
         """Make ``segment`` visible. Fails if another load published since ``after`` was read.
 
         ``sizes`` are (rows, bytes) the segment adds to tables; the manifest keeps their sums.
@@ -62,6 +63,7 @@ class SegmentStore:
             "batches": [*after["batches"], batch] if batch is not None else after["batches"],
             "next_ord": next_ord,
             "sizes": totals,
+            **(extra or {}),
         }
         filesystem = self._filesystem()
         draft = self._path("manifests", f".{uuid.uuid4().hex}")
@@ -88,6 +90,14 @@ class SegmentStore:
     def write(self, segment: str, table: str, df: DataFrame, partition_by: Sequence[str] = ()) -> None:
         df.write.partitionBy(*partition_by).parquet(self._folder(table, segment))
 
+    def has(self, segment: str, table: str) -> bool:
+        """Whether a segment holds any rows' folder of ``table``; some tables are written only when needed."""
+        return self._filesystem().exists(self._path("tables", table, f"segment={segment}"))
+
+    def drop(self, segment: str, table: str) -> None:
+        """Delete a segment's scratch table."""
+        self._filesystem().delete(self._path("tables", table, f"segment={segment}"), True)
+
     def read_segment(self, segment: str, table: str) -> DataFrame:
         return self.spark.read.parquet(self._folder(table, segment))
 

@@ -8,12 +8,9 @@ makes table sizes known, so a broadcast is chosen on a measured size.
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Callable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
-from functools import cache
-
 from pyspark import inheritable_thread_target
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F, types as T
 
@@ -63,19 +60,10 @@ class Table:
         return rows <= self.max_rows and size <= self.max_bytes
 
 
-@cache
-def _local_folder() -> str:
-    return tempfile.mkdtemp(prefix="strandweave-")
-
-
 def shared_folder(spark: SparkSession) -> str:
-    """The cluster's checkpoint folder; a temporary one only in local mode, if none is set."""
+    """The cluster's checkpoint folder; if none is set, one in the warehouse, which is shared too."""
     root = spark.conf.get("spark.checkpoint.dir", None)
-    if root:
-        return root
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder all executors can reach")
-    return _local_folder()
+    return root or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_runs"
 
 
 class Workspace:

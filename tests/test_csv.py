@@ -64,6 +64,21 @@ def test_split_files(spark, tmp_path, workspace):
         spark.conf.set("spark.sql.files.maxPartitionBytes", before)
 
 
+def test_headers_of_all_files_must_agree(spark, tmp_path, workspace):
+    path = write(tmp_path / "in", a="x,y\n1,2\n", b="y,x\n10,20\n")
+    with pytest.raises(Exception, match="CSV header does not conform"):
+        stage_csv(spark, path, SegmentStore(spark, workspace.folder("staging")))
+
+
+def test_staging_is_read_by_a_plain_scan(spark, tmp_path, workspace):
+    path = write(tmp_path / "in", **{f"f{i}": f" k , v\n{i},x\n" for i in range(30)})
+    store = SegmentStore(spark, workspace.folder("staging"))
+    plan = stage_csv(spark, path, store)._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan and "Exchange" not in plan
+    assert [row.k for row in read_staging(store).orderBy("row_ord").collect()] == [str(i) for i in sorted(range(30), key=str)]
+    assert read_staging(store).columns == ["row_ord", "k", "v"]
+
+
 def test_staging_is_replaced(spark, tmp_path, workspace):
     store = SegmentStore(spark, workspace.folder("staging"))
     stage_csv(spark, write(tmp_path / "one", a="k,v\n1,2\n"), store)

@@ -2,9 +2,10 @@
 
 import pytest
 from emulator import LISTS, Emulator
-from records import frame, random_records, record
+from records import SCHEMA, frame, random_records, record
 
 from strandweave import Load, SegmentStore, Workspace, card_profile, load_batch, open_model
+from strandweave.plans.load import rejected_records
 from strandweave.plans.schema import LIST_COLUMNS
 
 RECORDS = random_records(400)
@@ -130,15 +131,80 @@ def test_bad_record_loads_nothing(spark, workspace):
     assert store.manifest() is None
     load_batch(store, frame(spark, [good, bad]), workspace, divert=True)
     assert [r.card_uuid for r in open_model(spark, store)["card"].collect()] == ["a"]
-    rejected = store.read_segment(store.manifest()["segments"][0], "rejected").collect()
-    assert [r.uuid for r in rejected] == ["b"]
+    assert [(r.uuid, r.reason) for r in rejected_records(store).collect()] == [("b", "no rarity")]
+
+
+def test_all_bad_records_are_diverted(spark, workspace):
+    store = SegmentStore(spark, workspace.folder("store"))
+    assert rejected_records(store).collect() == []
+    records = [
+        record("a"), record("b", power="99999999999"), record("c", toughness="-99999999999"), record("d", manaCost="{99999999999}"),
+        record("e", manaCost="{2147483647}{2}"), record("f", manaCost="{2147483647}", power="-2147483648"), record(None),
+    ]
+    load_batch(store, frame(spark, records), workspace, divert=True)
+    reasons = {r.uuid: r.reason for r in rejected_records(store).collect()}
+    assert reasons == {"b": "power out of range", "c": "toughness out of range", "d": "manaCost out of range", "e": "manaCost out of range", None: "no uuid"}
+    assert sorted(r.card_uuid for r in open_model(spark, store)["card"].collect()) == ["a", "f"]
+    load_batch(store, frame(spark, [record("g")]), workspace)
+    assert rejected_records(store).count() == 5
+
+
+@pytest.mark.parametrize("max_rows", [500_000, 0])
+@pytest.mark.parametrize("change, problem", [({0: None}, "have no row_ord"), ({0: 3}, "belongs to several")])
+def test_ordinals_must_tell_records_apart(spark, max_rows, change, problem):
+    """However many losers there are, records that no order tells apart are never loaded."""
+    rows = [(change.get(i, i), *r.values()) for i, r in enumerate(record(f"u{i % 3}") for i in range(9))]
+    records = spark.createDataFrame(rows, SCHEMA)
+    scratch = Workspace(spark, max_rows=max_rows)
+    with pytest.raises(ValueError, match=problem):
+        Load(records, scratch).status().collect()
+    store = SegmentStore(spark, scratch.folder("store"))
+    with pytest.raises(ValueError, match=problem):
+        load_batch(store, records, scratch)
+    assert store.manifest() is None
+
+
+def test_ordinals_are_assigned_on_request(spark, workspace):
+    records = frame(spark, [record("u", name=n) for n in "cab"] + [record("v", name="z")]).drop("row_ord")
+    store = SegmentStore(spark, workspace.folder("store"))
+    with pytest.raises(ValueError, match="order_by"):
+        load_batch(store, records, workspace)
+    load_batch(store, records, workspace, order_by=["name"])
+    load_batch(store, records.where("name = 'z'").replace("v", "w"), workspace, order_by=["name"])
+    cards = open_model(spark, store)["card"].orderBy("card_id").collect()
+    assert [(r.card_id, r.card_name) for r in cards] == [(0, "a"), (3, "z"), (4, "z")]
+
+
+def test_ordinals_of_any_size(spark, workspace):
+    """Far and sparse ordinals, as Spark's own numbering gives, keep their order."""
+    store = SegmentStore(spark, workspace.folder("store"))
+    far = frame(spark, [record(u) for u in "abc"], start=2**43)
+    sparse = spark.createDataFrame([(i << 50, *record(u).values()) for i, u in enumerate("defd")], SCHEMA)
+    load_batch(store, far, workspace)
+    load_batch(store, sparse, workspace)
+    cards = open_model(spark, store)["card"].orderBy("card_id").collect()
+    assert [(r.card_id, r.card_uuid) for r in cards] == list(enumerate("abcdef"))
+
+
+def test_a_cell_of_a_million_items(spark, workspace):
+    """Position bits follow the longest cell, and never fall below those in use."""
+    store = SegmentStore(spark, workspace.folder("store"))
+    load_batch(store, frame(spark, [record("a", types="T0")]), workspace)
+    size = 2**20 + 2
+    load_batch(store, frame(spark, [record("b", types=",".join(f"T{i}" for i in range(size)))]), workspace)
+    assert store.manifest()["position_bits"] == 21
+    load_batch(store, frame(spark, [record("c", types="T1,last")]), workspace)
+    model = open_model(spark, store)
+    ids = {r.card_type_name: r.card_type_id for r in model["card_type"].where("card_type_name in ('T0', 'T1', 'T1048577', 'last')").collect()}
+    assert sorted(ids, key=ids.get) == ["T0", "T1", "T1048577", "last"]
+    assert model["card_type"].count() == size + 1 and store.manifest()["position_bits"] == 21
 
 
 def test_number_out_of_range_fails(spark, workspace):
     store = SegmentStore(spark, workspace.folder("store"))
     load_batch(store, frame(spark, [record("a")]), workspace)
     before = store.manifest()
-    with pytest.raises(Exception, match="integer out of range"):
+    with pytest.raises(ValueError, match="manaCost out of range"):
         load_batch(store, frame(spark, [record("b", manaCost="{99999999999}")]), workspace)
     assert store.manifest() == before
 

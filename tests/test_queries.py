@@ -7,9 +7,9 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry_points
+from strandweave.catalog import ORACLES, QUERIES
 
 FOLDER = "/root/testdata/sf0.001"
-from strandweave.catalog import ORACLES, QUERIES  # noqa: E402
 TYPES = {"bigint": "BIGINT", "int": "INTEGER", "string": "VARCHAR", "boolean": "BOOLEAN", "double": "DOUBLE"}
 
 pytestmark = pytest.mark.skipif(not os.path.isdir(FOLDER), reason="test tables are not here")
