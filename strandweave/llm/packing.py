@@ -14,7 +14,12 @@ per task, so a length that a third of all documents share is spread like any oth
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import gc
+import json
+import re
+import sys
+from array import array
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 from functools import cache
 
@@ -30,23 +35,85 @@ MOST_PIECES = 6
 ROUNDS = 3
 END_ID = 2
 CACHE_WORDS = 200_000
+# Letters below the combining marks, whose lower case is one letter each, then signs.
+_LETTERS_AND_SIGNS = re.compile("((?:(?![\u0130\u0250-\U0010ffff])[^\\W\\d_])+)([!-/:-@\\[-^`{-~\u00a1-\u00a9\u00ab\u00ac\u00ae-\u00b1\u00b6-\u00b8\u00bb\u00bf]*)")
 GROUP_CHARS = 1 << 20
-BULK = 4096
+BULK = 256
+
+
+# The steps of a tokenizer whose words can be encoded apart.
+_NORMAL = ["NFC", "Replace", "Lowercase"]
+_PARTING = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+
+
+def _parts_words(config: dict) -> bool:
+    steps = (config.get("normalizer") or {}).get("normalizers", [])
+    cuts = (config.get("pre_tokenizer") or {}).get("pretokenizers", [])
+    return (
+        [step["type"] for step in steps] == _NORMAL and len(cuts) == 2
+        and cuts[0].get("pattern") == {"Regex": _PARTING} and cuts[0].get("invert") is True
+        and cuts[1]["type"] == "ByteLevel" and not cuts[1].get("add_prefix_space") and not cuts[1].get("use_regex")
+    )
+
+
+assert sys.byteorder == "little" and array("I").itemsize == 4
 
 
 class Encoder:
     """Token ids of texts, word by word: the tokenizer never joins signs across a blank.
 
-    Words met before are looked up in two generations of bounded tables.
+    Words met before are looked up in two generations of bounded tables.  A new word that is
+    letters and then signs has the ids of its lower-case letters and of its signs, which the
+    tokenizer's model gives without the steps before it.  All this holds for tokenizers that
+    lower the case, drop blanks and part letters from signs; others encode each text plainly.
     """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
+        from tokenizers.pre_tokenizers import ByteLevel
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.by_word = _parts_words(json.loads(self.tokenizer.to_str()))
+        self.model = self.tokenizer.model
+        self.sign = {}
+        level = ByteLevel(add_prefix_space=False, use_regex=False)
+        for code in range(0x21, 0x250):
+            self.sign[code] = level.pre_tokenize_str(chr(code))[0][0]
         self.young: dict[str, bytes] = {"": b""}
         self.old: dict[str, bytes] = {}
 
+    def _missing(self, words: Iterable[str]) -> list[str]:
+        """Of ``words`` those in neither table; known ones of the old table move to the young."""
+        missing = []
+        for word in words:
+            if word not in self.young:
+                known = self.old.get(word)
+                if known is None:
+                    missing.append(word)
+                else:
+                    self.young[word] = known
+        return missing
+
+    def _learn_parts(self, words: list[str]) -> None:
+        """Encode ``words``, by their parts where they have some."""
+        parted, letters, signs, whole = [], [], [], []
+        match = _LETTERS_AND_SIGNS.fullmatch
+        for word in words:
+            found = match(word)
+            if found and (first := found[1]).isalpha():
+                parted.append(word)
+                letters.append(first.lower())
+                signs.append(found[2])
+            else:
+                whole.append(word)
+        tokenize, sign, young = self.model.tokenize, self.sign, self.young
+        for part in self._missing({*letters, *signs}):
+            tokens = tokenize(part if part.isascii() else part.translate(sign))
+            young[part] = array("I", [token.id for token in tokens]).tobytes()
+        self._learn(sorted(whole))
+        for word, first, last in zip(parted, letters, signs):
+            young[word] = young[first] + young[last]
+
     def _learn(self, words: list[str]) -> None:
         for at in range(0, len(words), BULK):
             part = words[at:at + BULK]
@@ -63,16 +130,11 @@ class Encoder:
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """The ids of each text, four bytes each, little-endian."""
+        if not self.by_word:
+            encoded = self.tokenizer.encode_batch(texts, add_special_tokens=False)
+            return [np.array(e.ids, dtype="<u4").tobytes() for e in encoded]
         split = [text.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ") for text in texts]
-        missing = []
-        for word in {word for words in split for word in words}:
-            if word not in self.young:
-                known = self.old.get(word)
-                if known is None:
-                    missing.append(word)
-                else:
-                    self.young[word] = known
-        self._learn(sorted(missing))
+        self._learn_parts(self._missing({word for words in split for word in words}))
         ids = [b"".join(map(self.young.__getitem__, words)) for words in split]
         if len(self.young) > CACHE_WORDS:
             self.old, self.young = self.young, {"": b""}
@@ -105,12 +167,14 @@ def windows_of(text: Column, tokenizer: str, end_id: int = END_ID, window: int =
         for batch in batches:
             found = []
             for group in _groups(batch):
+                gc.disable()  # a search for cycles would go through all known words, and none has one
                 for ids in encoder.encode(group):
                     ids += end
                     found.append([ids[k:k + width] for k in range(0, len(ids), width)])
+                gc.enable()
             yield pd.Series(found, dtype=object)
 
-    return cut(text)
+    return cut.asNondeterministic()(text)  # never to be computed twice for its two uses
 
 
 def combinations(units: int, most: int = MOST_PIECES) -> list[dict[int, int]]:

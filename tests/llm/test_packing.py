@@ -27,6 +27,22 @@ def test_encoder_equals_the_tokenizer():
     assert encoder.encode(texts) == encoder.encode(texts)
 
 
+def test_letters_and_signs_of_many_kinds():
+    plain, draw = Tokenizer.from_file(PATH), random.Random(3)
+    signs = "aZéÉßñÑçùÿŒœĲĳŸſǅ.,!?'\"-_¿¡«»·²½ªº©°§¶\u00ad\u0301İŉǰ\xa0İ1"
+    texts = [" ".join("".join(draw.choices(signs, k=draw.randrange(1, 6))) for _ in range(30)) for _ in range(2000)]
+    for text, ids in zip(texts, packing.Encoder(PATH).encode(texts)):
+        assert np.frombuffer(ids, "<u4").tolist() == plain.encode(text, add_special_tokens=False).ids, text
+
+
+def test_a_tokenizer_of_another_kind_encodes_plainly():
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    plain, encoder = Tokenizer.from_file(path), packing.Encoder(path)
+    assert not encoder.by_word
+    for text, ids in zip(TEXTS, encoder.encode(TEXTS)):
+        assert np.frombuffer(ids, "<u4").tolist() == plain.encode(text, add_special_tokens=False).ids
+
+
 def checked(spark, docs, window=4096, step=16):
     """Every id in exactly one piece, sequences gapless and not too long; returns the share of padding."""
     plain = Tokenizer.from_file(PATH)
