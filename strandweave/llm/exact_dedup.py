@@ -10,11 +10,10 @@ by the texts themselves.
 from __future__ import annotations
 
 from collections.abc import Callable
-from contextlib import contextmanager
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
-from strandweave.llm.common import BLANKS, located, text_or_empty
+from strandweave.llm.common import BLANKS, located, settings, text_or_empty
 from strandweave.operators.lookup import Lookup, attach
 from strandweave.tables import Workspace
 
@@ -37,22 +36,6 @@ def sha256(text: Column) -> Column:
     return F.sha2(text, 256)
 
 
-@contextmanager
-def _settings(spark: SparkSession, values: dict[str, str]):
-    """Settings that a stream takes over as it starts."""
-    before = {key: spark.conf.get(key, None) for key in values}
-    for key, value in values.items():
-        spark.conf.set(key, value)
-    try:
-        yield
-    finally:
-        for key, value in before.items():
-            if value is None:
-                spark.conf.unset(key)
-            else:
-                spark.conf.set(key, value)
-
-
 def _first() -> Column:
     """Greater for the row that stays: most code points, then smallest id, null last."""
     return F.struct("n_chars", F.col("doc_id").isNotNull().alias("has_id"), F.bitwise_not("doc_id").alias("inverse_id"), "file", "row", "doc_id")
@@ -69,7 +52,7 @@ def stream_groups(seen: DataFrame, folder: str, workspace: Workspace, files_per_
         # A batch that runs again replaces what it wrote.
         changes.select("digest", "best", "group_size").write.mode("overwrite").parquet(f"{emitted}/batch={batch}")
 
-    with _settings(spark, STATE):
+    with settings(spark, STATE):  # a stream takes them over as it starts
         query = (
             state.writeStream.outputMode("update").foreachBatch(keep).trigger(availableNow=True)
             .option("checkpointLocation", workspace.folder("stream")).start()

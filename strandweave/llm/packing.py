@@ -27,6 +27,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from strandweave.llm.common import SMALL_BATCHES, settings
 from strandweave.tables import Workspace
 
 WINDOW = 4096
@@ -296,10 +297,11 @@ def pack(docs: DataFrame, workspace: Workspace, tokenizer: str, end_id: int = EN
     cut = docs.select("doc_id", windows_of(F.col("text"), tokenizer, end_id, window).alias("parts"))
     total = F.aggregate("parts", F.lit(0).cast("long"), lambda n, part: n + F.octet_length(part))
     path = workspace.folder("windows")
-    cut.select("doc_id", (total / 4).cast("long").alias("doc_tokens"), F.posexplode("parts").alias("k", "ids")).select(
+    numbered = cut.select("doc_id", (total / 4).cast("long").alias("doc_tokens"), F.posexplode("parts").alias("k", "ids")).select(
         F.monotonically_increasing_id().alias("piece"), "doc_id", "doc_tokens", (F.col("k").cast("long") * window).alias("start"),
-        (F.octet_length("ids") / 4).cast("long").alias("length"), "ids",
-    ).write.option("compression", "zstd").parquet(path)
+        (F.octet_length("ids") / 4).cast("long").alias("length"), "ids")
+    with settings(spark, SMALL_BATCHES):
+        numbered.write.option("compression", "zstd").parquet(path)
     pieces = spark.read.parquet(path)
 
     short = pieces.where(F.col("length") < window).select("piece", "length", F.shiftright("piece", 33).alias("task"), F.ceil(F.col("length") / step).cast("int").alias("units"))

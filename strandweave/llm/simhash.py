@@ -21,7 +21,7 @@ import pandas as pd
 import xxhash
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from strandweave.llm.common import located, look_up
+from strandweave.llm.common import SMALL_BATCHES, located, look_up, settings
 from strandweave.llm.components import components
 from strandweave.tables import Workspace
 
@@ -142,7 +142,9 @@ def near_groups(docs: DataFrame, workspace: Workspace, words: int = SHINGLE_WORD
 
 
 def _near_groups(source: DataFrame, workspace: Workspace, words: int, crowded: int) -> DataFrame:
-    prints = workspace.write(source.select("file", "row", F.col("doc.doc_id").alias("doc_id"), with_fingerprint(F.col("doc.text"), words).alias("bits")), "prints")
+    marked = source.select("file", "row", F.col("doc.doc_id").alias("doc_id"), with_fingerprint(F.col("doc.text"), words).alias("bits"))
+    with settings(source.sparkSession, SMALL_BATCHES):
+        prints = workspace.write(marked, "prints")
     distinct = workspace.write(prints.groupBy("bits").agg(F.min("doc_id").alias("least_id")), "distinct")
     roots = components(links(distinct, workspace, crowded), workspace)
     rooted = look_up(distinct, roots.withColumnRenamed("node", "bits"), "bits", {"root": "root"}, "least_id", workspace)
