@@ -22,6 +22,7 @@ CPUS = os.environ.get("BENCH_CPUS", "8")
 HEADLINE = (
     "card_profile", "incremental_load", "doc_tokens", "html_tag_pips", "fact_cards", "first_wins_cards",
     "load_status", "bridge_ability", "agg_subtypes", "name_set_bridge", "identity_within", "cost_totals",
+    "profile_by_id", "profile_view", "model_integrity", "ordinals_assigned", "load_rejected", "stream_incremental_load",
     "dq_not_null", "dq_fk", "dq_pairs", "csv_roundtrip", "stream_running_total", "stream_get_or_insert", "stream_tokens",
 )
 

@@ -5,9 +5,8 @@ from __future__ import annotations
 from collections.abc import Mapping
 from functools import cached_property, reduce
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from strandweave.operators import quality
 from strandweave.plans.schema import (
     KEY_COLUMNS,
     LIST_COLUMNS,
@@ -67,25 +66,74 @@ class Model:
         profile.withColumnRenamed("card_id", column_name("card_id", prefix)).createOrReplaceTempView(PROFILE_VIEW)
 
     def violations(self) -> DataFrame:
-        """Every integrity rule with the number of rows that break it."""
-        checks = [
-            quality.missing_counts(self[table], columns, f"{table}.") for table, columns in REQUIRED.items()
-        ]
-        checks += [
-            quality.violations(f"unique {table}.{column}", quality.repeated_keys(self[table], [column]))
-            for table, column in UNIQUE.items()
-        ]
-        checks += [
-            quality.violations(f"unique {table}", quality.repeated_keys(self[table], list(columns)))
-            for table, columns in UNIQUE_PAIRS.items()
-        ]
-        checks += [
-            quality.violations(
-                f"reference {child}.{column}", quality.dangling_references(self[child], column, self[parent], column)
-            )
-            for child, column, parent in REFERENCES
-        ]
-        return reduce(DataFrame.unionByName, checks)
+        """Every integrity rule with the number of rows that break it.
+
+        Each table is read once and gives a row per key, reference and id, and one per null it
+        should not hold; one shuffle of these, reduced in the tasks, settles all rules.
+        """
+        marks = reduce(DataFrame.unionByName, [
+            rows for rows in (_marks(name, df) for name, df in self.tables.items()) if rows is not None])
+        settled = marks.groupBy("space", "key").agg(
+            F.count(F.lit(1)).alias("n"), F.max("is_parent").alias("is_parent"), F.bit_or("users").alias("users"))
+        kind, rule = F.substring("space", 1, 1), F.substring("space", 3, 1000)
+        dangling = [F.when((F.col("space") == f"r {parent}") & ~F.col("is_parent") & (F.col("users").bitwiseAND(1 << place) != 0), name)
+                    for parent, names in _users().items() for place, name in enumerate(names)]
+        broken = settled.select(F.explode(F.array(
+            F.when(kind == "n", F.struct(F.concat(F.lit("not null "), rule).alias("rule"), F.col("n").alias("rows"))),
+            F.when((kind == "u") & (F.col("n") > 1), F.struct(F.concat(F.lit("unique "), rule).alias("rule"), F.lit(1).cast("long").alias("rows"))),
+            *[F.when(name.isNotNull(), F.struct(F.concat(F.lit("reference "), name).alias("rule"), F.lit(1).cast("long").alias("rows"))) for name in dangling],
+        )).alias("b")).where("b IS NOT NULL")
+        counted = broken.groupBy("b.rule").agg(F.sum("b.rows").alias("violations"))
+        spark = marks.sparkSession
+        rules = spark.range(1).select(F.explode(F.array(*[F.lit(name) for name in _rules()])).alias("rule"))
+        return rules.join(counted, "rule", "left").select("rule", F.coalesce("violations", F.lit(0).cast("long")).alias("violations"))
+
+
+def _rules() -> list[str]:
+    return [
+        *[f"not null {table}.{column}" for table, columns in REQUIRED.items() for column in columns],
+        *[f"unique {table}.{column}" for table, column in UNIQUE.items()],
+        *[f"unique {table}" for table in UNIQUE_PAIRS],
+        *[f"reference {child}.{column}" for child, column, _ in REFERENCES],
+    ]
+
+
+def _users() -> dict[str, list[str]]:
+    """The references to each parent table; a reference's place is its bit."""
+    users: dict[str, list[str]] = {}
+    for child, column, parent in REFERENCES:
+        users.setdefault(parent, []).append(f"{child}.{column}")
+    return users
+
+
+def _marks(table: str, df: DataFrame) -> DataFrame | None:
+    """(space, key, is_parent, users) of one table, in one pass; null where nothing is to be said."""
+
+    def mark(space: str, key: Column, is_parent: bool = False, users: int = 0) -> Column:
+        return F.struct(F.lit(space).alias("space"), key.alias("key"), F.lit(is_parent).alias("is_parent"), F.lit(users).cast("long").alias("users"))
+
+    def text(column: str) -> Column:
+        return F.col(column).cast("string")
+
+    marks = [F.when(F.col(column).isNull(), mark(f"n {table}.{column}", F.lit(""))) for column in REQUIRED.get(table, ())]
+    if table in UNIQUE:
+        column = UNIQUE[table]
+        marks.append(F.when(F.col(column).isNotNull(), mark(f"u {table}.{column}", text(column))))
+    if table in UNIQUE_PAIRS:
+        first, second = UNIQUE_PAIRS[table]
+        pair = F.to_json(F.struct(F.col(first).alias("a"), F.col(second).alias("b")))
+        marks.append(F.when(F.col(first).isNotNull() & F.col(second).isNotNull(), mark(f"u {table}", pair)))
+    users = _users()
+    for child, column, parent in REFERENCES:
+        if child == table:
+            bit = 1 << users[parent].index(f"{child}.{column}")
+            marks.append(F.when(F.col(column).isNotNull(), mark(f"r {parent}", text(column), users=bit)))
+    if table in users:
+        own = next(column for _, column, parent in REFERENCES if parent == table)
+        marks.append(mark(f"r {table}", text(own), is_parent=True))
+    if not marks:
+        return None
+    return df.select(F.explode(F.array(*marks)).alias("m")).where("m IS NOT NULL").select("m.*")
 
 
 def bridge_of(items: DataFrame, column: ListColumn) -> DataFrame:

@@ -1,6 +1,8 @@
 from records import frame, record
 
+from strandweave import SegmentStore, load_batch, open_model
 from strandweave.operators import quality
+from strandweave.plans.model import Model
 
 
 def rows(df):
@@ -24,3 +26,27 @@ def test_review_and_orphans(spark):
     dim = spark.createDataFrame([(1, "a"), (2, "b")], "id long, k string")
     fact = spark.createDataFrame([(1,), (1,), (None,)], "fk long")
     assert rows(quality.orphans(dim, "id", fact, "fk")) == [(2, "b")]
+
+
+def test_rules_of_a_broken_model(spark, workspace):
+    """Each table is scanned once, rows meet in one shuffle, and every kind of fault is counted."""
+    store = SegmentStore(spark, workspace.folder("store"))
+    load_batch(store, frame(spark, [record("a", manaCost="{1}{G}", types="T,U"), record("b", types="T", keywords="k")]), workspace)
+    model = open_model(spark, store, workspace)
+    sound = {row.rule: row.violations for row in model.violations().collect()}
+    assert len(sound) > 60 and set(sound.values()) == {0}
+
+    def more(table, *rows):
+        return model[table].unionByName(spark.createDataFrame(rows, model[table].schema))
+
+    tables = dict(model.tables)
+    tables["artist"] = more("artist", (90, "UNKNOWN"), (91, None), (92, None))
+    tables["card_type_bridge"] = more("card_type_bridge", (0, 77), (0, 77), (55, 77), (1, None))
+    tables["rarity"] = model["rarity"].where("false")
+    broken = Model(tables, workspace, {}).violations()
+    assert {row.rule: row.violations for row in broken.collect() if row.violations} == {
+        "unique artist.artist_name": 1, "not null artist.artist_name": 2, "unique card_type_bridge": 1, "not null card_type_bridge.card_type_id": 1,
+        "reference card_type_bridge.card_type_id": 1, "reference card_type_bridge.card_id": 1, "reference card.rarity_id": 1,
+    }
+    plan = model.violations()._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan parquet") <= 25 and plan.count("Exchange hashpartitioning") <= 3
