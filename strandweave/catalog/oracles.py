@@ -168,6 +168,7 @@ PROFILE = ",\n".join((
 ORACLES["card_profile"] = with_(PROFILE) + "SELECT * FROM profile"
 ORACLES["incremental_load"] = ORACLES["card_profile"]
 ORACLES["stream_incremental_load"] = ORACLES["card_profile"]
+ORACLES["compacted_profile"] = ORACLES["card_profile"]
 ORACLES["profile_by_id"] = with_(PROFILE) + "SELECT * FROM profile WHERE card_id = 1"
 ORACLES["profile_by_cost"] = with_(PROFILE) + "SELECT * FROM profile WHERE cmc >= 8"
 ORACLES["profile_view"] = (

@@ -14,7 +14,7 @@ from strandweave.operators import costs, quality
 from strandweave.operators.aggregates import joined_names
 from strandweave.operators.first_wins import first_rows
 from strandweave.operators.ordinals import assign_ordinals
-from strandweave.plans.load import Load, load_batch, rejected_records
+from strandweave.plans.load import Load, compact_model, load_batch, rejected_records
 from strandweave.plans.model import PROFILE_VIEW, Model, bridge_of, open_model
 from strandweave.plans import profile as profiles
 from strandweave.plans.profile import PROFILE_LISTS, card_profile, profile
@@ -258,6 +258,19 @@ def incremental_load(spark, sf_dir):
     return card_profile(open_model(spark, store, workspace))
 
 
+@query
+def compacted_profile(spark, sf_dir):
+    """Three batches, merged into one segment; profile of the result."""
+    workspace = Workspace(spark)
+    store = SegmentStore(spark, workspace.folder("store"))
+    records = staging(spark, sf_dir)
+    third = records.agg((F.max(ROW_ORD) / 3).cast("long") + 1).head()[0]
+    for part in range(3):
+        load_batch(store, records.where(F.floor(F.col(ROW_ORD) / third) == part), workspace, batch=str(part))
+    compact_model(store)
+    return card_profile(open_model(spark, store, workspace))
+
+
 # -- integrity --------------------------------------------------------------------------------------------
 
 

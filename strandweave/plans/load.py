@@ -331,6 +331,18 @@ def rejected_records(store: SegmentStore) -> DataFrame:
     return reduce(partial(DataFrame.unionByName, allowMissingColumns=True), [store.read_segment(name, REJECTED) for name in names])
 
 
+def compact_model(store: SegmentStore) -> None:
+    """Merge the segments of all published batches into one; ids and contents stay."""
+    tables = {name: (schema, STORED_PARTITION.get(name, ())) for name, schema in STORED.items()}
+    rejected = rejected_records(store)
+    if "setCode" in rejected.columns:
+        tables[REJECTED] = (rejected.schema, ())
+        for segment in store.manifest()["segments"]:
+            if not store.has(segment, REJECTED):
+                store.write(segment, REJECTED, rejected.where("false"))
+    store.compact(tables)
+
+
 def load_batch(store: SegmentStore, records: DataFrame, workspace: Workspace, replace: bool = False,
                batch: str | None = None, numeric_power_star: bool = False, divert: bool = False,
                order_by: Sequence[Column | str] = (), checked: bool = False) -> bool:

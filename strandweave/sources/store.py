@@ -12,6 +12,7 @@ import uuid
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 
 class SegmentStore:
@@ -65,6 +66,11 @@ class SegmentStore:
             "sizes": totals,
             **(extra or {}),
         }
+        self._put(content)
+
+    def _put(self, content: Mapping[str, object]) -> None:
+        """Write a manifest as its version; fails if there is one already."""
+        version = content["version"]
         filesystem = self._filesystem()
         draft = self._path("manifests", f".{uuid.uuid4().hex}")
         stream = filesystem.create(draft, False)
@@ -101,12 +107,27 @@ class SegmentStore:
     def read_segment(self, segment: str, table: str) -> DataFrame:
         return self.spark.read.parquet(self._folder(table, segment))
 
-    def read(self, manifest: dict, table: str, schema: str) -> DataFrame:
+    def read(self, manifest: dict, table: str, schema: str | StructType) -> DataFrame:
         """All rows of a table that ``manifest`` lists, as one scan."""
         folders = [self._folder(table, segment) for segment in manifest["segments"]]
         reader = self.spark.read.schema(schema).option("basePath", f"{self.root}/tables/{table}")
         return reader.parquet(*folders).drop("segment")
 
+    def compact(self, tables: Mapping[str, tuple[str | StructType, Sequence[str]]]) -> None:
+        """Merge all segments into one and publish it; ``tables`` gives schema and partition columns.
+
+        What readers see does not change.  Spark sizes the files: small pieces of a partition
+        are put together and large ones split.  A load published meanwhile makes this fail.
+        """
+        manifest = self.manifest()
+        if manifest is None or len(manifest["segments"]) < 2:
+            return
+        segment = self.new_segment()
+        for table, (schema, partition_by) in tables.items():
+            rows = self.read(manifest, table, schema)
+            self.write(segment, table, rows.hint("rebalance", *partition_by), partition_by)
+        self._put({**manifest, "version": manifest["version"] + 1, "segments": [segment]})
+
     def vacuum(self) -> None:
         """Delete segments the current manifest does not list; no reader may be using them."""
         manifest = self.manifest()

@@ -5,7 +5,7 @@ from emulator import LISTS, Emulator
 from records import SCHEMA, frame, random_records, record
 
 from strandweave import Load, SegmentStore, Workspace, card_profile, load_batch, open_model
-from strandweave.plans.load import rejected_records
+from strandweave.plans.load import compact_model, rejected_records
 from strandweave.plans.schema import LIST_COLUMNS
 
 RECORDS = random_records(400)
@@ -221,6 +221,21 @@ def test_replace_and_conflict(spark, workspace):
     assert open_model(spark, store)["card"].count() == 1
 
 
+def test_compaction_changes_nothing_to_see(spark, workspace):
+    store = SegmentStore(spark, workspace.folder("store"))
+    for batch in ([record("a", types="T,U")], [record("b", types="U,V"), record(None)], [record("a"), record("c", types="W")]):
+        load_batch(store, frame(spark, batch), workspace, divert=True)
+    before = {name: sorted(map(str, df.collect())) for name, df in open_model(spark, store).tables.items()}
+    rejected = rejected_records(store).collect()
+    compact_model(store)
+    store.vacuum()
+    assert len(store.manifest()["segments"]) == 1 and len(rejected) == 1
+    assert {name: sorted(map(str, df.collect())) for name, df in open_model(spark, store).tables.items()} == before
+    assert [r.reason for r in rejected_records(store).collect()] == ["no uuid"]
+    load_batch(store, frame(spark, [record("d", types="V")]), workspace)
+    assert sorted(r.card_uuid for r in open_model(spark, store)["card"].collect()) == ["a", "b", "c", "d"]
+
+
 def test_empty_batch(spark, workspace):
     store = SegmentStore(spark, workspace.folder("store"))
     load_batch(store, frame(spark, [record("a")]), workspace)
