@@ -22,16 +22,16 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from strandweave.tables import Workspace
 
-DEGREE = 28
-REVERSE = 20
+DEGREE = 32
+REVERSE = 24
 BLOCK = 64
 TREES = 10
-PER_MEMBER = 12
-ROUNDS = 6
+PER_MEMBER = 14
+ROUNDS = 7
 SETTLED = 0.02
-BEAM = 224
+BEAM = 256
 FOLLOWED = 48
-HOPS = 5
+HOPS = 7
 ENTRIES = 8
 UNROLLED = 128
 SENT_BYTES = 16 * 1024 * 1024
