@@ -32,9 +32,17 @@ IMPLIED_END = {
 }
 BARRIERS = frozenset({"table", "td", "th", "caption", "button", "html", "body"})
 _BLANKS = re.compile(r"[ \t\n\r\f]+")
-_HIDING = re.compile(r"(?:^|;)\s*(?:display\s*:\s*none|visibility\s*:\s*(?:hidden|collapse))\s*(?:!important\s*)?(?:;|$)", re.I)
-_RULE = re.compile(r"([^{}]+)\{([^{}]*)\}")
-_SIMPLE = re.compile(r"([a-z][a-z0-9]*)?(?:([.#])([A-Za-z0-9_-]+))?")
+_COMMENT = re.compile(r"/\*.*?(?:\*/|$)", re.S)
+_TOKEN = re.compile(r""""[^"]*"|'[^']*'|[{};]""")
+_COMPOUND = re.compile(r"(\*|[A-Za-z][A-Za-z0-9-]*)?((?:[.#][A-Za-z0-9_-]+)*)")
+_FEATURE = re.compile(r"\(\s*(?:(min|max)-)?(width|height)\s*:\s*([0-9.]+)(px|r?em)?\s*\)")
+_RANGE = re.compile(r"\(\s*(width|height)\s*(<=?|>=?|=)\s*([0-9.]+)(px|r?em)?\s*\)")
+# A page is seen on a desktop screen.
+SCREEN = {"width": 1280, "height": 800}
+FEATURES = frozenset("(color) (hover) (hover:hover) (any-hover:hover) (pointer:fine) (any-pointer:fine) (orientation:landscape) (prefers-color-scheme:light) (prefers-reduced-motion:no-preference) (scripting:enabled) (update:fast) (grid:0)".split())
+DISPLAYS = frozenset(
+    "none block inline inline-block flex inline-flex grid inline-grid table inline-table table-row table-cell table-caption table-row-group table-header-group table-footer-group table-column table-column-group list-item contents flow flow-root ruby initial unset inherit revert revert-layer".split())
+VISIBILITIES = frozenset("visible hidden collapse initial unset inherit revert revert-layer".split())
 
 
 class Node:
@@ -112,27 +120,141 @@ class TreeBuilder(HTMLParser):
         self.open[-1].children.append(data)
 
 
-def _hidden_rules(sheets: list[str]) -> set[tuple[str, str, str]]:
-    """Simple selectors (tag, kind, name) that style sheets hide."""
-    rules = set()
-    for sheet in sheets:
-        for selectors, body in _RULE.findall(re.sub(r"/\*.*?\*/", "", sheet, flags=re.S)):
-            if _HIDING.search(body):
-                for selector in selectors.split(","):
-                    simple = _SIMPLE.fullmatch(selector.strip())
-                    if simple and selector.strip():
-                        rules.add(tuple(part or "" for part in simple.groups()))
-    return rules
+def _on_screen(query: str) -> bool:
+    """Whether a media query list holds on a desktop screen; what is unknown does not."""
+    return not query.strip() or any(_holds(one.strip()) for one in query.lower().split(","))
+
+
+def _holds(query: str) -> bool:
+    turned = re.match(r"not\s+(?=[a-z])", query)
+    for part in re.split(r"\s+and\s+", re.sub(r"^(?:not|only)\s+(?=[a-z])", "", query)):
+        if not any(_part_holds(one) for one in re.split(r"\s+or\s+", part)):
+            return bool(turned)
+    return not turned
+
+
+def _part_holds(part: str) -> bool:
+    part = part.strip()
+    if part.startswith("not"):
+        return part[3:].strip().startswith("(") and not _part_holds(part[3:])
+    feature, ranged = _FEATURE.fullmatch(part), _RANGE.fullmatch(part)
+    if feature:
+        bound, name, number, unit = feature.groups()
+        sign = {"min": ">=", "max": "<=", None: "="}[bound]
+    elif ranged:
+        name, sign, number, unit = ranged.groups()
+    else:
+        return part in ("all", "screen") or re.sub(r"\s+", "", part) in FEATURES
+    if number.count(".") > 1 or number == ".":
+        return False
+    here, there = SCREEN[name], float(number) * (16 if unit in ("em", "rem") else 1)
+    return {"<": here < there, "<=": here <= there, ">": here > there, ">=": here >= there, "=": here == there}[sign]
 
 
-def _hidden(node: Node, rules: set[tuple[str, str, str]]) -> bool:
+def _declared(body: str) -> dict[str, tuple[bool, str]]:
+    """(important, value) of display and visibility; the last valid one counts, important ones first."""
+    found: dict[str, tuple[bool, str]] = {}
+    for one in _COMMENT.sub(" ", body).split(";"):
+        name, colon, value = one.partition(":")
+        name = name.strip().lower()
+        if not colon or name not in ("display", "visibility"):
+            continue
+        value, mark, word = value.strip().lower().partition("!")
+        value, important = value.strip(), word.strip() == "important"
+        known = DISPLAYS if name == "display" else VISIBILITIES
+        if value and (important or not mark) and all(part in known for part in value.split()) and (important or not found.get(name, (False,))[0]):
+            found[name] = (important, value)
+    return found
+
+
+class Rules:
+    """Style rules for display and visibility: selectors of one element, by tag, classes and id."""
+
+    def __init__(self, sheets: list[tuple[str, str]]):
+        self.by_key: dict[str, list[tuple]] = {}
+        self.number = 0
+        for media, sheet in sheets:
+            if _on_screen(media):
+                self._read(_COMMENT.sub(" ", sheet))
+
+    def _read(self, sheet: str) -> None:
+        blocks: list[tuple[str, str]] = []  # kind of the open blocks (group, rule, other) and a rule's selectors
+        last, body = 0, ""
+        for match in _TOKEN.finditer(sheet):
+            sign = match.group()
+            if len(sign) > 1:
+                continue
+            before = sheet[last:match.start()]
+            inside = blocks[-1][0] if blocks else "group"
+            if sign == "{":
+                last, head = match.end(), before.strip()
+                word, _, rest = head.partition(" ") if not head.lower().startswith("@media(") else ("@media", "", head[6:])
+                word = word.lower()
+                if inside != "group":
+                    blocks.append(("other", ""))
+                elif word == "@media":
+                    blocks.append(("group" if _on_screen(rest) else "other", ""))
+                elif word in ("@layer", "@supports") and not re.match(r"not\b", rest.strip(), re.I):
+                    blocks.append(("group", ""))
+                elif head.startswith("@"):
+                    blocks.append(("other", ""))
+                else:
+                    blocks.append(("rule", head))
+                    body = ""
+            elif sign == "}":
+                last = match.end()
+                if inside == "rule":
+                    self._add(blocks[-1][1], body + before)
+                if blocks:
+                    blocks.pop()
+            elif inside == "rule":
+                body += before + ";"
+                last = match.end()
+            elif inside != "group" or before.strip().startswith("@"):
+                last = match.end()  # a statement such as @import
+        if blocks and blocks[-1][0] == "rule":
+            self._add(blocks[-1][1], body + sheet[last:])  # the end of the sheet closes what is open
+
+    def _add(self, selectors: str, body: str) -> None:
+        declared = _declared(body)
+        self.number += 1
+        for selector in selectors.split(",") if declared else ():
+            selector = selector.strip()
+            match = _COMPOUND.fullmatch(selector)
+            if not match or not selector:
+                continue
+            tag, names = (match[1] or "*").lower(), re.findall(r"[.#][^.#]+", match[2])
+            weight = sum(10_000 if name[0] == "#" else 100 for name in names) + (tag != "*")
+            self.by_key.setdefault(names[0] if names else tag, []).append((tag, frozenset(names), weight, self.number, declared))
+
+    def of(self, node: Node) -> dict[str, str]:
+        """The values of display and visibility that the page's author gives an element."""
+        a, best = node.attributes, {}
+        if self.by_key:
+            names = {"." + name for name in a.get("class", "").split()} | ({"#" + a["id"]} if "id" in a else set())
+            for key in (*names, node.tag, "*"):
+                for tag, wanted, weight, number, declared in self.by_key.get(key, ()):
+                    if tag in ("*", node.tag) and wanted <= names:
+                        for name, (important, value) in declared.items():
+                            best[name] = max(best.get(name, ()), (important, False, weight, number, value))
+        if "style" in a:
+            for name, (important, value) in _declared(a["style"]).items():
+                best[name] = max(best.get(name, ()), (important, True, 0, 0, value))
+        return {name: found[-1] for name, found in best.items()}
+
+
+def _shown(node: Node, rules: Rules, visible: bool) -> tuple[bool, bool]:
+    """Whether an element is laid out, and whether its own text is visible."""
     a = node.attributes
-    if node.tag in UNSEEN or "hidden" in a or (node.tag == "input") or (node.tag == "dialog" and "open" not in a) or _HIDING.search(a.get("style", "")):
-        return True
-    if not rules:
-        return False
-    names = [("", ""), *((".", name) for name in a.get("class", "").split()), *([("#", a["id"])] if "id" in a else [])]
-    return any((tag, *name) in rules for tag in ("", node.tag) for name in names if tag or name[0])
+    if node.tag in UNSEEN or node.tag == "input":
+        return False, False
+    given = rules.of(node) if rules.by_key or "style" in a else {}
+    display, visibility = given.get("display", "revert"), given.get("visibility", "inherit")
+    if display.startswith("revert"):  # the browser's own rules
+        display = "none" if "hidden" in a or (node.tag == "dialog" and "open" not in a) else "block"
+    if visibility in ("visible", "initial", "hidden", "collapse"):
+        visible = visibility in ("visible", "initial")
+    return display != "none", visible
 
 
 class Sheet:
@@ -225,27 +347,31 @@ def visible_text(html: str | None) -> str:
     while stack:
         node = stack.pop()
         if node.tag == "style":
-            sheets.append("".join(c for c in node.children if isinstance(c, str)))
-        stack += [c for c in node.children if not isinstance(c, str)]
-    rules = _hidden_rules(sheets)
+            sheets.append((node.attributes.get("media", ""), "".join(c for c in node.children if isinstance(c, str))))
+        stack += [c for c in reversed(node.children) if not isinstance(c, str)]  # sheets in the page's order
+    rules = Rules(sheets)
 
     page = Sheet()
     flows = [page]  # innermost last: the page, then a cell of a table, and so on
     lists: list[list] = []  # [ordered, next number] of open lists
     tables: list[dict] = []
     verbatim = 0
-    walk: list[tuple] = [("open", builder.root)]
+    walk: list[tuple] = [("open", builder.root, True)]
     while walk:
-        what, node = walk.pop()
+        what, node, visible = walk.pop()
         flow = flows[-1]
         if what == "text":
-            (flow.write_preformatted if verbatim else flow.write)(node)
+            if visible:
+                (flow.write_preformatted if verbatim else flow.write)(node)
             continue
         if what == "open":
             tag = node.tag
-            if _hidden(node, rules):
+            laid_out, visible = _shown(node, rules, visible)
+            if not laid_out:
                 continue
             if tag == "br":
+                if not visible:
+                    continue
                 flow.end_line(forced=True) if flow.line or flow.lines and not flow.apart else None
                 continue
             if tag in BLOCKS:
@@ -270,8 +396,8 @@ def visible_text(html: str | None) -> str:
                 tables[-1]["rows"].append([])
             elif tag in ("td", "th") and tables:
                 flows.append(Sheet())
-            walk.append(("close", node))
-            walk += [("text" if isinstance(child, str) else "open", child) for child in reversed(node.children)
+            walk.append(("close", node, visible))
+            walk += [("text" if isinstance(child, str) else "open", child, visible) for child in reversed(node.children)
                      if not (tag in ("table", "tr", "tbody", "thead", "tfoot") and isinstance(child, str) and not child.strip(" \t\n\r\f"))]
             continue
         tag = node.tag

@@ -48,3 +48,19 @@ def test_edge_pages(spark):
     pages = spark.createDataFrame([(1, None, None, "t", 1), (None, "u", "<p>x", None, None), (2, "u", "", "", 2), (2, "u", "", "", 2)], schema)
     assert sorted((r.page_id or 0, r.text) for r in extract_pages(pages).collect()) == [(0, "x"), (1, ""), (2, ""), (2, "")]
     assert extract_pages(pages.where("false")).collect() == []
+
+
+STYLED = [
+    ("@media print { body, nav { display:none } }", "<body><nav>a</nav><p class=x>b", "a\n\nb"), ("@media screen and (max-width: 600px){.x{display:none}} p{color:red}", "<p class=x>b", "b"),
+    ("@media screen{@media (min-width:40em){.x{display:none}}}", "<p class=x>b<p>c", "c"), ("@import 'a{b'; @media not print{.x{display:none}}", "<p class=x>b<p>c", "c"),
+    (".x{display:none} .x{display:block}", "<p class=x>b", "b"), ("#i{display:block} .x{display:none}", "<p class=x id=i>b<p class=x>c", "b"),
+    (".x{display:none !important} p.x{display:block}", "<p class=x style='display:block'>b<p>c", "c"), (".x{display:none}", "<p class=x style='display:block'>b<p class=x>c", "b"),
+    (".x{visibility:hidden} b{visibility:visible}", "<p class=x>a <b>b</b> c", "b"), (".x{display:none} b{display:inline}", "<p class=x>a <b>b</b></p>c", "c"),
+    ("@font-face{src:x} @keyframes k{from{display:none}} .x.y{display:none}", "<p class=x>a<p class='y x'>b", "a"), ("p{display:nonesuch}", "<p hidden style='display:block'>a<p hidden>b", "a"),
+]
+
+
+@pytest.mark.parametrize("sheet, body, wanted", STYLED, ids=range(len(STYLED)))
+def test_style_rules_as_on_a_screen(sheet, body, wanted):
+    assert visible_text(f"<style>{sheet}</style>{body}") == wanted
+    assert visible_text(f"<style media=print>*{{display:none}}</style><style>{sheet}</style>{body}") == wanted
