@@ -18,7 +18,15 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 # Fixed values of the HTML standard: elements by their role.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-UNSEEN = frozenset("head title script style template noscript iframe object datalist noframes audio video canvas svg math area".split())
+UNSEEN = frozenset("head title script style template noscript iframe object datalist noframes audio video canvas area annotation annotation-xml mphantom".split())
+# Inside svg only the text of these is drawn, and nothing of those.
+DRAWN = frozenset({"text", "foreignobject"})
+UNDRAWN = frozenset("desc metadata defs symbol clippath mask pattern marker".split())
+IN_HEAD = frozenset("base basefont bgsound link meta title noscript noframes style script template".split())
+# Elements of svg and math whose content is HTML again, and the HTML elements that end svg and math.
+HTML_INSIDE = frozenset("foreignobject desc annotation-xml mi mo mn ms mtext".split())
+BREAKOUT = frozenset(
+    "b big blockquote body br center code dd div dl dt em embed h1 h2 h3 h4 h5 h6 head hr i img li listing menu meta nobr ol p pre ruby s small span strong strike sub sup table tt u ul var".split())
 APART = frozenset("p h1 h2 h3 h4 h5 h6 ul ol dl table blockquote pre figure hr fieldset menu".split())
 BLOCKS = APART | frozenset(
     "html body div section article header footer nav main aside address li dt dd form details summary figcaption legend caption center dialog tr thead tbody tfoot option".split())
@@ -58,6 +66,7 @@ class TreeBuilder(HTMLParser):
         self.root = Node("#root", {})
         self.open = [self.root]
         self.count: dict[str, int] = {}
+        self.begun = False  # the body has begun
 
     def _pop_to(self, depth: int) -> None:
         for node in self.open[depth:]:
@@ -81,8 +90,20 @@ class TreeBuilder(HTMLParser):
     def handle_starttag(self, tag, attrs):
         if tag in ("html", "body") and self.count.get(tag):
             return
-        if tag not in ("head", "html") and self.count.get("head") and (tag in BLOCKS or tag in ("a", "b", "i", "span", "img")):
-            self._end_implied({"head"}, frozenset())  # the head ends where the body begins
+        if tag == "head" and (self.begun or self.count.get("head")):
+            return
+        foreign = self._foreign()
+        if foreign and tag in BREAKOUT:
+            self._pop_to(foreign)
+            foreign = 0
+        if tag not in ("head", "html") and tag not in IN_HEAD and not foreign:
+            # The head ends where the body begins; an unclosed title or script ends at a block.
+            blocks = tag in BLOCKS or tag in ("a", "b", "i", "span", "img")
+            if self.count.get("head") and (self.open[-1].tag == "head" or blocks and not (self.count.get("noscript") or self.count.get("template"))):
+                self._end_implied({"head"}, frozenset())
+            self.begun |= not self.count.get("head")
+        if foreign:
+            return self._push(tag, {name: value or "" for name, value in attrs})
         if tag in CLOSES_PARAGRAPH:
             self._end_implied({"p"}, BARRIERS)
         if tag in IMPLIED_END:
@@ -101,8 +122,21 @@ class TreeBuilder(HTMLParser):
         self.count[tag] = self.count.get(tag, 0) + 1
         return node
 
+    def _foreign(self) -> int:
+        """Depth of the svg or math element around the next tag, or 0 where tags are HTML."""
+        if self.count.get("svg") or self.count.get("math"):
+            for depth in range(len(self.open) - 1, 0, -1):
+                tag = self.open[depth].tag
+                if tag in ("svg", "math"):
+                    return depth
+                if tag in HTML_INSIDE:
+                    return 0
+        return 0
+
     def handle_startendtag(self, tag, attrs):
-        self.handle_starttag(tag, attrs)  # a slash closes nothing in HTML
+        node = self.handle_starttag(tag, attrs)
+        if node and self.open[-1] is node and (tag in ("svg", "math") or self._foreign()):
+            self._pop_to(len(self.open) - 1)  # a slash closes nothing in HTML, but does in svg and math
 
     def handle_endtag(self, tag):
         if tag == "p" and not self.count.get("p"):
@@ -117,6 +151,10 @@ class TreeBuilder(HTMLParser):
                 return  # an end tag inside a cell ends nothing outside it
 
     def handle_data(self, data):
+        if data.strip(" \t\n\r\f"):
+            if self.open[-1].tag == "head":
+                self._pop_to(len(self.open) - 1)
+            self.begun |= not self.count.get("head")
         self.open[-1].children.append(data)
 
 
@@ -356,19 +394,24 @@ def visible_text(html: str | None) -> str:
     lists: list[list] = []  # [ordered, next number] of open lists
     tables: list[dict] = []
     verbatim = 0
-    walk: list[tuple] = [("open", builder.root, True)]
+    walk: list[tuple] = [("open", builder.root, True, False, True)]  # visible; inside svg; where text is drawn
     while walk:
-        what, node, visible = walk.pop()
+        what, node, visible, drawing, drawn = walk.pop()
         flow = flows[-1]
         if what == "text":
-            if visible:
+            if visible and drawn:
                 (flow.write_preformatted if verbatim else flow.write)(node)
             continue
         if what == "open":
             tag = node.tag
             laid_out, visible = _shown(node, rules, visible)
-            if not laid_out:
+            if not laid_out or drawing and tag in UNDRAWN:
                 continue
+            if tag == "svg":
+                drawing, drawn = True, False
+            elif drawing and tag in DRAWN:
+                drawing, drawn = tag == "text", True
+                flow.blank = True
             if tag == "br":
                 if not visible:
                     continue
@@ -396,11 +439,13 @@ def visible_text(html: str | None) -> str:
                 tables[-1]["rows"].append([])
             elif tag in ("td", "th") and tables:
                 flows.append(Sheet())
-            walk.append(("close", node, visible))
-            walk += [("text" if isinstance(child, str) else "open", child, visible) for child in reversed(node.children)
+            walk.append(("close", node, visible, drawing, drawn))
+            walk += [("text" if isinstance(child, str) else "open", child, visible, drawing, drawn) for child in reversed(node.children)
                      if not (tag in ("table", "tr", "tbody", "thead", "tfoot") and isinstance(child, str) and not child.strip(" \t\n\r\f"))]
             continue
         tag = node.tag
+        if drawing and tag in DRAWN:
+            flow.blank = True
         if tag in ("td", "th") and tables:
             flow.end_line()
             cell = flows.pop()

@@ -64,3 +64,17 @@ STYLED = [
 def test_style_rules_as_on_a_screen(sheet, body, wanted):
     assert visible_text(f"<style>{sheet}</style>{body}") == wanted
     assert visible_text(f"<style media=print>*{{display:none}}</style><style>{sheet}</style>{body}") == wanted
+
+
+HEADS = [
+    ("<head><title>t</title>Hello <strong>world</strong><br>x", "Hello world\nx"), ("<html><head><meta charset=a>\n<em>a</em> b", "a b"), ("<head><title>t</title><video></video>a", "a"),
+    ("<head><style>p{color:red}</style> \n <link><script>x</script></head>a", "a"), ("<head><noscript><img src=x>n</noscript><title>t</title></head>a", "a"), ("a <head> b", "a b"),
+    ("<p>a<svg width=1 />b</p>c", "ab\n\nc"), ("<p>a <svg><path d=x /><circle r=1 /></svg> b", "a b"), ("<svg><title>t</title><text>one</text><g><text>two</text></g>no<defs><text>no</text></defs></svg>", "one two"),
+    ("<math><mi>x</mi><mo>=</mo><mn>1</mn><annotation>tex</annotation></math> a", "x=1 a"), ("<math/>a", "a"), ("<svg><path><p>a", "a"), ("<div/>a</div>b", "a\nb"),
+    ("<svg><foreignObject><p>a</p></foreignObject></svg>b", "a\n\nb"), ("<svg><desc>d</desc><style>x</style><a><text>l</text></a></svg>", "l"),
+]
+
+
+@pytest.mark.parametrize("html, wanted", HEADS, ids=range(len(HEADS)))
+def test_end_of_head_and_foreign_elements(html, wanted):
+    assert visible_text(html) == wanted
