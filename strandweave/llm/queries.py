@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from strandweave.llm import ann, chat, exact_dedup, html_text, mixing, packing, pii, quality, secrets, simhash
+from strandweave.llm import ann, chat, exact_dedup, html_text, mixing, packing, pii, quality, secrets, simhash, token_counts
 from strandweave.llm.common import read_table
 from strandweave.tables import Workspace
 
@@ -63,6 +63,10 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", "keep_id", "group_size", "kept", rows["digest"].alias("text_sha256"))
 
 
+def op13_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.count_tokens(read_table(spark, sf_dir, "documents"), tokenizer_path())
+
+
 QUERIES = {
     "op1_html": op1_html,
     "op2_pii": op2_pii,
@@ -74,4 +78,5 @@ QUERIES = {
     "op8_secrets": op8_secrets,
     "op9_mixing": op9_mixing,
     "op10_exact_dedup": op10_exact_dedup,
+    "op13_token_counts": op13_token_counts,
 }
