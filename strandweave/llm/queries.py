@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from strandweave.llm import ann, chat, exact_dedup, html_text, mixing, packing, pii, quality, secrets, simhash, token_counts
+from strandweave.llm import alignment, ann, chat, exact_dedup, html_text, mixing, packing, pii, quality, secrets, simhash, token_counts
 from strandweave.llm.common import read_table
 from strandweave.tables import Workspace
 
@@ -16,6 +16,13 @@ def tokenizer_path() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+def aligned_paths() -> tuple[str, str]:
+    """The vocabularies A and B that the alignment query is fixed to."""
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
+
+
 def op1_html(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.extract_pages(read_table(spark, sf_dir, "pages"))
 
@@ -63,6 +70,10 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", "keep_id", "group_size", "kept", rows["digest"].alias("text_sha256"))
 
 
+def op11_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.align_documents(read_table(spark, sf_dir, "documents"), Workspace(spark), *aligned_paths())
+
+
 def op13_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(read_table(spark, sf_dir, "documents"), tokenizer_path())
 
@@ -78,5 +89,6 @@ QUERIES = {
     "op8_secrets": op8_secrets,
     "op9_mixing": op9_mixing,
     "op10_exact_dedup": op10_exact_dedup,
+    "op11_alignment": op11_alignment,
     "op13_token_counts": op13_token_counts,
 }
