@@ -70,7 +70,31 @@ SELECT conv_id, count(*) AS n_turns,
 FROM rows GROUP BY conv_id
 """
 
+HARD_NEGATIVES = """
+WITH usable AS (
+    SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+           list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS codes
+    FROM embeddings
+    WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+      AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scores AS (
+    SELECT a.vec_id AS anchor_id, r.vec_id, a.label = r.label AS same, list_dot_product(a.codes, r.codes)::BIGINT AS score
+    FROM usable AS a JOIN usable AS r ON a.vec_id <> r.vec_id
+    WHERE a.vec_id % 50 = 0),
+positives AS (
+    SELECT anchor_id, vec_id AS positive_id, score AS positive_score
+    FROM scores WHERE same
+    QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5)
+SELECT anchor_id, positive_id,
+       row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id)::INTEGER AS rank,
+       vec_id AS negative_id, positive_score, score AS negative_score
+FROM positives JOIN scores USING (anchor_id)
+WHERE NOT same AND 50 * positive_score <= 100 * score AND 100 * score <= 95 * positive_score
+QUALIFY row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id) <= 3
+"""
+
 ORACLES = {
+    "op12_hard_negatives": HARD_NEGATIVES,
     "op4_chat": CHAT,
     "op9_mixing": MIXING,
     "op10_exact_dedup": EXACT_DEDUP,

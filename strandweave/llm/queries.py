@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from strandweave.llm import alignment, ann, chat, exact_dedup, html_text, mixing, packing, pii, quality, secrets, simhash, token_counts
+from strandweave.llm import alignment, ann, chat, exact_dedup, hard_negatives, html_text, mixing, packing, pii, quality, secrets, simhash, token_counts
 from strandweave.llm.common import read_table
 from strandweave.tables import Workspace
 
@@ -74,6 +74,10 @@ def op11_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return alignment.align_documents(read_table(spark, sf_dir, "documents"), Workspace(spark), *aligned_paths())
 
 
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hard_negatives.mine_hard_negatives(read_table(spark, sf_dir, "embeddings"), Workspace(spark))
+
+
 def op13_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(read_table(spark, sf_dir, "documents"), tokenizer_path())
 
@@ -90,5 +94,6 @@ QUERIES = {
     "op9_mixing": op9_mixing,
     "op10_exact_dedup": op10_exact_dedup,
     "op11_alignment": op11_alignment,
+    "op12_hard_negatives": op12_hard_negatives,
     "op13_token_counts": op13_token_counts,
 }
