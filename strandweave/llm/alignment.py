@@ -15,11 +15,14 @@ grows with the corpus is broadcast.
 
 from __future__ import annotations
 
+import gc
 import hashlib
 import json
 import re
 from collections.abc import Iterator
 from functools import cache
+from itertools import chain
+from typing import NamedTuple
 
 import numpy as np
 import pandas as pd
@@ -32,7 +35,8 @@ from strandweave.tables import Workspace
 CHUNK_CHARS = 4 << 20
 MEMO_UNITS = 150_000
 BULK = 1 << 14
-_UNEVEN = re.compile(r"[\s᠎]{2}|\A[\s᠎]|[\s᠎]\Z")
+_UNEVEN = re.compile(r" (?:(?=[\s᠎])|(?<=[\s᠎] ))")
+_EDGE = re.compile(r"[\s᠎]")
 _PART = re.compile(r"(?<=[^\s᠎]) (?=[^\s᠎])")
 
 
@@ -72,6 +76,9 @@ class Vocabularies:
         self.same = np.array([same.get(x, -1) for x in self.a_bytes], dtype=np.int64)
         self.a_sizes = np.array([len(x) for x in self.a_bytes], dtype=np.int64)
         self.b_sizes = np.array([len(x) for x in self.b_bytes], dtype=np.int64)
+        # The text of a group of one A token and the B token of the same bytes.
+        self.a_text = [str(i) for i in range(len(self.a_bytes))]
+        self.same_text = [f"{i}|{j}" for i, j in enumerate(self.same.tolist())]
         # A pair is one number: the A id times the number of B ids, plus the B id.
         self.width = len(self.b_bytes)
         self.pair = np.dtype("<u4" if len(self.a_bytes) * self.width <= 1 << 32 else "<i8")
@@ -85,7 +92,8 @@ class Vocabularies:
         """The text without its parting spaces; each unit is encoded with a space in front."""
         if not self.parts:
             return [text]
-        return _PART.split(text) if _UNEVEN.search(text) else text.split(" ")
+        uneven = _EDGE.match(text[0]) or _EDGE.match(text[-1]) or _UNEVEN.search(text)
+        return _PART.split(text) if uneven else text.split(" ")
 
     def encode(self, units: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """A ids and their numbers per unit, B ids and theirs."""
@@ -93,8 +101,8 @@ class Vocabularies:
         a = np.array(encoded.ids, dtype=np.int64)
         n_a = np.bincount(np.array(encoded.word_ids, dtype=np.int64), minlength=len(units))
         lists = self.b.encode(units, num_threads=1)
-        n_b = np.array([len(one) for one in lists], dtype=np.int64)
-        return a, n_a, np.array([i for one in lists for i in one], dtype=np.int64), n_b
+        n_b = np.array(list(map(len, lists)), dtype=np.int64)
+        return a, n_a, np.fromiter(chain.from_iterable(lists), dtype=np.int64, count=int(n_b.sum())), n_b
 
 
 def _starts(counts: np.ndarray) -> np.ndarray:
@@ -106,22 +114,23 @@ def _spread(starts: np.ndarray, counts: np.ndarray) -> np.ndarray:
     return np.arange(counts.sum()) + np.repeat(starts - _starts(counts), counts)
 
 
-class Unit:
-    """What a unit adds to a document: numbers of tokens, groups and links, its pairs, its groups in text."""
+class Unit(NamedTuple):
+    """What a unit adds to a document: numbers of tokens and groups, its pairs, its groups in text."""
 
-    __slots__ = ("n_a", "n_b", "n_groups", "pairs", "text")
-
-    def __init__(self, n_a: int, n_b: int, n_groups: int, pairs: bytes, text: str):
-        self.n_a, self.n_b, self.n_groups, self.pairs, self.text = n_a, n_b, n_groups, pairs, text
+    n_a: int
+    n_b: int
+    n_groups: int
+    pairs: bytes
+    text: str
 
 
 def align(vocabularies: Vocabularies, units: list[str]) -> list[Unit | None]:
     """Each unit's groups and links; None if its tokens' bytes are not the unit's."""
     a, n_a, b, n_b = vocabularies.encode(units)
-    wanted = np.array([len(unit.encode()) + 1 for unit in units], dtype=np.int64)
-    a_joined, b_joined = b"".join(map(vocabularies.a_bytes.__getitem__, a)), b"".join(map(vocabularies.b_bytes.__getitem__, b))
+    plain = (" " + " ".join(units)).encode()
+    wanted = np.array(list(map(len, units if plain.isascii() else map(str.encode, units))), dtype=np.int64) + 1
+    a_joined, b_joined = b"".join(map(vocabularies.a_bytes.__getitem__, a.tolist())), b"".join(map(vocabularies.b_bytes.__getitem__, b.tolist()))
     a_unit, b_unit = np.repeat(np.arange(len(units)), n_a), np.repeat(np.arange(len(units)), n_b)
-    plain = b"".join(b" " + unit.encode() for unit in units)
     good = np.ones(len(units), dtype=bool)
     if not a_joined == plain == b_joined:
         sizes = [np.bincount(u, weights=s[ids], minlength=len(units)).astype(np.int64) for u, s, ids in (
@@ -133,7 +142,8 @@ def align(vocabularies: Vocabularies, units: list[str]) -> list[Unit | None]:
         keep_a, keep_b = good[a_unit], good[b_unit]
         a, b, a_unit, b_unit = a[keep_a], b[keep_b], a_unit[keep_a], b_unit[keep_b]
     a_ends, b_ends = np.cumsum(vocabularies.a_sizes[a]), np.cumsum(vocabularies.b_sizes[b])
-    ends = np.intersect1d(a_ends, b_ends)
+    both = np.searchsorted(b_ends, a_ends)
+    ends = a_ends[b_ends[np.minimum(both, len(b_ends) - 1)] == a_ends] if len(a_ends) else a_ends
     a_group, b_group = np.searchsorted(ends, a_ends), np.searchsorted(ends, b_ends)
     of_a, of_b = np.bincount(a_group, minlength=len(ends)), np.bincount(b_group, minlength=len(ends))
     begin_a, begin_b = _starts(of_a), _starts(of_b)
@@ -143,19 +153,24 @@ def align(vocabularies: Vocabularies, units: list[str]) -> list[Unit | None]:
     links = np.bincount(np.repeat(a_unit, repeats), minlength=len(units))
     groups = np.bincount(group_unit, minlength=len(units))
     n_a, n_b = np.bincount(a_unit, minlength=len(units)).tolist(), np.bincount(b_unit, minlength=len(units)).tolist()
-    a_text, b_text, single = list(map(str, a.tolist())), list(map(str, b.tolist())), ((of_a == 1) & (of_b == 1)).tolist()
-    shown = [
-        f"{a_text[i]}|{b_text[j]}" if one else f"{','.join(a_text[i:i + n])}|{','.join(b_text[j:j + m])}"
-        for i, n, j, m, one in zip(begin_a.tolist(), of_a.tolist(), begin_b.tolist(), of_b.tolist(), single)
-    ]
+    first_a, of_same = a[begin_a], np.zeros(len(ends), dtype=bool)
+    of_same[:] = (of_a == 1) & (of_b == 1)
+    of_same[of_same] = vocabularies.same[first_a[of_same]] == b[begin_b[of_same]]
+    shown = list(map(vocabularies.same_text.__getitem__, first_a.tolist()))
+    other = np.flatnonzero(~of_same)
+    a_text, b_text = list(map(vocabularies.a_text.__getitem__, a.tolist())), b.tolist()
+    for g, i, n, j, m in zip(*(x.tolist() for x in (other, begin_a[other], of_a[other], begin_b[other], of_b[other]))):
+        shown[g] = f"{','.join(a_text[i:i + n])}|{','.join(map(str, b_text[j:j + m]))}"
     data, found, size = pairs.astype(vocabularies.pair).tobytes(), [], vocabularies.pair.itemsize
     link, first = (size * _starts(links)).tolist(), _starts(groups).tolist()
-    for k, (ok, n, count) in enumerate(zip(good.tolist(), groups.tolist(), links.tolist())):
-        at, begin = first[k], link[k]
-        found.append(Unit(n_a[k], n_b[k], n, data[begin:begin + size * count], ";".join(shown[at:at + n])) if ok else None)
+    for ok, at, n, begin, count, x, y in zip(good.tolist(), first, groups.tolist(), link, (size * links).tolist(), n_a, n_b):
+        found.append(Unit(x, y, n, data[begin:begin + count], shown[at] if n == 1 else ";".join(shown[at:at + n])) if ok else None)
     return found
 
 
+NOTHING = Unit(0, 0, 0, b"", "")
+
+
 class Aligner:
     """Units of texts, from two generations of bounded tables or aligned anew."""
 
@@ -164,11 +179,12 @@ class Aligner:
         self.young: dict[str, Unit | None] = {}
         self.old: dict[str, Unit | None] = {}
 
-    def learn(self, split: list[list[str]]) -> None:
+    def look_up(self, units: list[str]) -> list[Unit | None]:
+        """What ``align`` gives for each of these different units."""
         if len(self.young) > MEMO_UNITS:
             self.old, self.young = self.young, {}
         missing = []
-        for unit in set().union(*split).difference(self.young):
+        for unit in set(units).difference(self.young):
             if unit in self.old:
                 self.young[unit] = self.old[unit]
             else:
@@ -176,6 +192,7 @@ class Aligner:
         for at in range(0, len(missing), BULK):
             part = missing[at:at + BULK]
             self.young.update(zip(part, align(self.vocabularies, part)))
+        return list(map(self.young.__getitem__, units))
 
 
 @cache
@@ -194,25 +211,34 @@ def chunk_rows(aligner: Aligner, ids: list, texts: list[str], regular: np.ndarra
     """
     v = aligner.vocabularies
     split = [v.units(text) if text else [] for text in texts]
-    aligner.learn(split)
-    known, rows, local, table, owner, uses = aligner.young, [], {}, [], [], []
+    distinct = list(set().union(*split))
+    found = aligner.look_up(distinct)
+    local = dict(zip(distinct, range(len(distinct))))
+    bad = np.array([unit is None for unit in found], dtype=bool)
+    table = [unit or NOTHING for unit in found]
+    shown, numbers = [unit.text for unit in table], np.array([unit[:3] for unit in table], dtype=np.int64).reshape(-1, 3)
+    rows, owner, uses = [], [], []
     for k, units in enumerate(split):
-        found = list(map(known.__getitem__, units))
-        if not units or None in found:
-            rows.append((ids[k], 0, 0, 0, ""))
-            continue
-        digest = hashlib.sha256(";".join([u.text for u in found]).encode()).hexdigest()
-        rows.append((ids[k], sum([u.n_a for u in found]), sum([u.n_b for u in found]), sum([u.n_groups for u in found]), digest))
-        for unit in set(units).difference(local):
-            local[unit] = len(table)
-            table.append(known[unit].pairs)
-        uses.append(np.fromiter(map(local.__getitem__, units), dtype=np.int64, count=len(units)))
-        owner.append(np.full(len(units), k, dtype=np.int64))
+        if units:
+            places = list(map(local.__getitem__, units))
+            used = np.array(places, dtype=np.int64)
+            if not bad[used].any():
+                digest = hashlib.sha256(";".join(map(shown.__getitem__, places)).encode()).hexdigest()
+                rows.append((ids[k], *numbers[used].sum(axis=0).tolist(), digest))
+                uses.append(used)
+                owner.append(np.full(len(used), k, dtype=np.int64))
+                continue
+        rows.append((ids[k], 0, 0, 0, ""))
     if not uses:
         return [(*row, 0, b"", b"") for row in rows], (b"", b"")
-    sizes, pairs = np.array([len(x) // v.pair.itemsize for x in table], dtype=np.int64), np.frombuffer(b"".join(table), dtype=v.pair)
+    # Units of texts that do not align count nowhere.
+    uses, owner = np.concatenate(uses), np.concatenate(owner)
+    kept = np.zeros(len(table), dtype=bool)
+    kept[uses] = True
+    data = [unit.pairs if keep else b"" for unit, keep in zip(table, kept.tolist())]
+    sizes, pairs = np.array(list(map(len, data)), dtype=np.int64) // v.pair.itemsize, np.frombuffer(b"".join(data), dtype=v.pair)
     values, places = np.unique(pairs, return_inverse=True)
-    owned, repeats = np.unique(np.concatenate(owner) * len(table) + np.concatenate(uses), return_counts=True)
+    owned, repeats = np.unique(owner * len(table) + uses, return_counts=True)
     doc, unit = np.divmod(owned, len(table))
     n = sizes[unit]
     keys = np.repeat(doc, n) * len(values) + places[_spread(_starts(sizes)[unit], n)]
@@ -246,7 +272,9 @@ def _chunks(a_path: str, b_path: str):
         ids, texts, size = [], [], 0
 
         def flush():
+            gc.disable()  # a search for cycles would go through all known units, and none has one
             rows, (pairs, docs) = chunk_rows(aligner, ids, texts, regular)
+            gc.enable()
             out = [(number, False, i, n_a, n_b, n_groups, n_links, digest, p, t) for i, n_a, n_b, n_groups, digest, n_links, p, t in rows]
             return _frame([*out, (number, True, None, 0, 0, 0, 0, "", pairs, docs)])
 
