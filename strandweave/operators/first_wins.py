@@ -8,6 +8,7 @@ no copy count can skew that join either.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, functions as F
@@ -66,10 +67,11 @@ class Selection:
         return joined.select(ROW_ORD, value.alias(result))
 
 
-def select_first(records: DataFrame, key: str, workspace: Workspace, existing: DataFrame | None = None,
-                 checked: bool = False) -> Selection:
+def select_first(records: DataFrame, key: str, workspace: Workspace,
+                 existing: DataFrame | Callable[[DataFrame], DataFrame] | None = None, checked: bool = False) -> Selection:
     """Find winners: a stored key (column ``key`` of ``existing``) first, then the smallest ordinal.
 
+    ``existing`` may be a function from the batch's keys to the stored keys that can equal them.
     Null and repeated ordinals are errors; ``checked`` says that they cannot repeat.
     """
     if not checked:
@@ -78,7 +80,9 @@ def select_first(records: DataFrame, key: str, workspace: Workspace, existing: D
     if existing is None:
         firsts = workspace.write(firsts.withColumn("is_new", F.lit(True)), "firsts")
     else:
-        firsts = workspace.write(_mark_new(workspace.save(firsts, "found"), existing, key), "firsts")
+        found = workspace.save(firsts, "found")
+        stored = existing(found.df.select(key)) if callable(existing) else existing
+        firsts = workspace.write(_mark_new(found, stored, key), "firsts")
     contested = F.expr("copies > 1 OR NOT is_new")
     size = F.octet_length(key) + 16
     total, placed, new, keys, key_bytes = firsts.agg(

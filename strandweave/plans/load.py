@@ -19,6 +19,7 @@ from strandweave.functions.ordinals import POSITION_BITS, bits_for, ordinal_limi
 from strandweave.functions.text import cost_problem, stat_problem
 from strandweave.operators import costs, dimensions, multivalue
 from strandweave.operators.first_wins import Selection, check_ordinals, select_first
+from strandweave.operators.key_index import BUCKETS, CARD_SPACE, INDEX, INDEX_PARTITION, INDEX_SCHEMA, NAME_SET_SPACE, KeyIndex, index_rows, pair_key
 from strandweave.operators.lookup import Lookup, attach, not_stored
 from strandweave.operators.ordinals import assign_ordinals
 from strandweave.plans.model import bridge_of
@@ -44,8 +45,10 @@ class Load:
     """One batch of staging rows. Parts are planned when asked for; shared ones are saved once."""
 
     def __init__(self, records: DataFrame, workspace: Workspace, existing: Mapping[str, DataFrame] | None = None,
-                 numeric_power_star: bool = False, position_bits: int = POSITION_BITS, checked: bool = False):
+                 numeric_power_star: bool = False, position_bits: int = POSITION_BITS, checked: bool = False,
+                 index: KeyIndex | None = None):
         self.records = records
+        self.index = index
         self.position_bits = position_bits
         self.checked = checked
         self.workspace = workspace
@@ -60,10 +63,16 @@ class Load:
     @cached_property
     def selection(self) -> Selection:
         stored = None
-        if self.existing is not None:
+        if self.index is not None:
+            stored = self._stored_cards
+        elif self.existing is not None:
             stored = self.existing["card"].select(F.col("card_uuid").alias("uuid"))
         return select_first(self.records, "uuid", self.workspace, stored, self.checked)
 
+    def _stored_cards(self, uuids: DataFrame) -> DataFrame:
+        wanted = uuids.select(F.lit(CARD_SPACE).alias("space"), F.col("uuid").alias("key"))
+        return self.index.near(wanted).where(F.col("space") == CARD_SPACE).select(F.col("key").alias("uuid"))
+
     @cached_property
     def kept(self) -> DataFrame:
         """Records that become cards. Written once if selecting them takes a shuffle; long
@@ -140,7 +149,7 @@ class Load:
             found_table = self.workspace.table(found)
         else:
             found_table = self.workspace.save(found, "found")
-            stored = stored_keys(self.existing, tables)
+            stored = self._stored_keys(found_table.df, tables)
         resolved = self.workspace.write(dimensions.resolve(found_table, stored), "dictionary", ["table"])
 
         size = F.octet_length("key") + _NUMBER_BYTES
@@ -157,6 +166,13 @@ class Load:
             self._new_sizes[table] = (row.new_rows, row.new_bytes) if row else (0, 0)
             self._dictionaries[table] = self.workspace.table(rows, (row.rows, row.bytes) if row else (0, 0))
 
+    def _stored_keys(self, found: DataFrame, tables: list[str]) -> DataFrame:
+        """(table, key, id) that can equal a key of ``found``; all of them without an index."""
+        if self.index is None:
+            return stored_keys(self.existing, tables)
+        near = self.index.near(found.select(F.col("table").alias("space"), "key"))
+        return near.where(F.col("space").isin(tables)).withColumnRenamed("space", "table")
+
     @property
     def new_pip_rows(self) -> DataFrame:
         """Pips of cost texts seen for the first time; known texts are not parsed again."""
@@ -207,12 +223,28 @@ class Load:
     def bridge(self, column: ListColumn) -> DataFrame:
         return bridge_of(self.items([column.table]), column)
 
-    def name_sets(self) -> DataFrame:
-        pairs = multivalue.name_set_bridge(self.kept, "name", SET.column, self.dictionary(SET.table))
+    @cached_property
+    def new_name_sets(self) -> DataFrame:
+        """Pairs of a card name and a set that are not stored yet; saved, as two tables take them."""
+        pairs = self.workspace.save(multivalue.name_set_bridge(self.kept, "name", SET.column, self.dictionary(SET.table)), "name-sets")
         if self.existing is None:
-            return pairs
-        pairs = self.workspace.save(pairs, "name-sets")
-        return not_stored(pairs, self.existing["card_name_set_bridge"], ["card_name", "set_id"])
+            return pairs.df
+        if self.index is None:
+            return not_stored(pairs, self.existing["card_name_set_bridge"], ["card_name", "set_id"])
+        keyed = pairs.with_df(pairs.df.withColumn("key", pair_key("card_name", "set_id")))
+        near = self.index.near(keyed.df.select(F.lit(NAME_SET_SPACE).alias("space"), "key"))
+        return not_stored(keyed, near.where(F.col("space") == NAME_SET_SPACE), ["key"]).drop("key")
+
+    def name_sets(self) -> DataFrame:
+        with self._lock:
+            return self.new_name_sets
+
+    def index_keys(self) -> DataFrame:
+        """(space, key, id) of every key this batch adds."""
+        dimensions_new = self.dictionaries((*RECORD_TABLES, "mana_pip")).df.where("is_new AND key IS NOT NULL")
+        cards = self.kept.select(F.lit(CARD_SPACE).alias("space"), F.col("uuid").alias("key"), F.col(ROW_ORD).alias("id"))
+        pairs = self.name_sets().select(F.lit(NAME_SET_SPACE).alias("space"), pair_key("card_name", "set_id").alias("key"), F.col("set_id").alias("id"))
+        return dimensions_new.select(F.col("table").alias("space"), "key", "id").unionByName(cards).unionByName(pairs)
 
     def card_costs(self) -> DataFrame:
         """Cards with only the columns the profile reads: id, name, cost id."""
@@ -331,9 +363,17 @@ def rejected_records(store: SegmentStore) -> DataFrame:
     return reduce(partial(DataFrame.unionByName, allowMissingColumns=True), [store.read_segment(name, REJECTED) for name in names])
 
 
+def stored_index(store: SegmentStore, manifest: dict) -> KeyIndex | None:
+    """The access path to a model's keys; none if it was published before there was one."""
+    buckets = manifest.get("key_buckets")
+    return KeyIndex(store.read(manifest, INDEX, INDEX_SCHEMA), buckets) if buckets else None
+
+
 def compact_model(store: SegmentStore) -> None:
     """Merge the segments of all published batches into one; ids and contents stay."""
     tables = {name: (schema, STORED_PARTITION.get(name, ())) for name, schema in STORED.items()}
+    if (store.manifest() or {}).get("key_buckets"):
+        tables[INDEX] = (INDEX_SCHEMA, INDEX_PARTITION)
     rejected = rejected_records(store)
     if "setCode" in rejected.columns:
         tables[REJECTED] = (rejected.schema, ())
@@ -345,7 +385,7 @@ def compact_model(store: SegmentStore) -> None:
 
 def load_batch(store: SegmentStore, records: DataFrame, workspace: Workspace, replace: bool = False,
                batch: str | None = None, numeric_power_star: bool = False, divert: bool = False,
-               order_by: Sequence[Column | str] = (), checked: bool = False) -> bool:
+               order_by: Sequence[Column | str] = (), checked: bool = False, key_buckets: int = BUCKETS) -> bool:
     """Load ``records`` into ``store`` and publish, all or nothing.
 
     ``replace`` starts the model anew.  ``batch`` names the batch: one already published is
@@ -353,7 +393,9 @@ def load_batch(store: SegmentStore, records: DataFrame, workspace: Workspace, re
     get them in the order of ``order_by``.  Given ordinals must be one per record, which is
     tested unless ``checked`` says so; those that do not continue the stored ones are moved
     behind them, in their own order.  A record without key, set or rarity, or with a number
-    out of range, fails the load; with ``divert`` it goes to ``rejected_records``.
+    out of range, fails the load; with ``divert`` it goes to ``rejected_records``.  A new model's
+    keys are laid out in ``key_buckets`` buckets, and later batches read only those they touch
+    (0: no such layout, and every batch scans all stored keys).
     """
     manifest = store.manifest()
     if manifest and batch is not None and batch in manifest["batches"]:
@@ -391,12 +433,17 @@ def load_batch(store: SegmentStore, records: DataFrame, workspace: Workspace, re
     if bad:
         store.write(segment, REJECTED, records.withColumn("reason", reason).where("reason IS NOT NULL"))
         records = records.where(reason.isNull())
-    load = Load(records, workspace, existing, numeric_power_star, bits, checked=True)
+    buckets = manifest.get("key_buckets", 0) if existing else key_buckets
+    index = stored_index(store, manifest) if existing else None
+    load = Load(records, workspace, existing, numeric_power_star, bits, checked=True, index=index)
     plans = load.stored()
 
     def write(table: str) -> None:
         store.write(segment, table, plans[table](), STORED_PARTITION.get(table, ()))
 
-    run_together(store.spark, {table: partial(write, table) for table in STORED})
-    store.publish(segment, manifest, replace, next_ord, batch, load.new_sizes(), {"position_bits": bits})
+    writes = {table: partial(write, table) for table in STORED}
+    if buckets:
+        writes[INDEX] = lambda: store.write(segment, INDEX, index_rows(load.index_keys(), buckets), INDEX_PARTITION)
+    run_together(store.spark, writes)
+    store.publish(segment, manifest, replace, next_ord, batch, load.new_sizes(), {"position_bits": bits, "key_buckets": buckets})
     return True
