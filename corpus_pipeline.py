@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from strandweave.llm import exact_dedup, mixing, near_copies, packing, quality
+from strandweave.llm import exact_dedup, mixing, packing, quality, simhash
 from strandweave.llm.common import read_table
 from strandweave.llm.queries import tokenizer_path
 from strandweave.tables import Workspace
@@ -27,8 +27,8 @@ def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies: five-word shingles, Jaccard 0.8 or more."""
-    return near_copies.drop_near_copies(docs, Workspace(spark))
+    """One document of each component of fingerprints: shingles of three words, two bits or fewer apart."""
+    return simhash.drop_near_duplicates(docs, Workspace(spark))
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
