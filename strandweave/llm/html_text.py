@@ -39,6 +39,7 @@ IMPLIED_END = {
     "tfoot": ({"thead", "tbody", "tfoot", "tr", "td", "th", "caption"}, {"table"}),
 }
 BARRIERS = frozenset({"table", "td", "th", "caption", "button", "html", "body"})
+_WHOLE = re.compile("-?[0-9]{1,9}")
 _BLANKS = re.compile(r"[ \t\n\r\f]+")
 _COMMENT = re.compile(r"/\*.*?(?:\*/|$)", re.S)
 _TOKEN = re.compile(r""""[^"]*"|'[^']*'|[{};]""")
@@ -68,6 +69,14 @@ class TreeBuilder(HTMLParser):
         self.count: dict[str, int] = {}
         self.begun = False  # the body has begun
 
+    def parse_marked_section(self, i: int, report: int = 1) -> int:
+        """``<![...`` is a comment up to the next ``>``, as in browsers."""
+        end = self.rawdata.find(">", i)
+        return end + 1 if end >= 0 else -1
+
+    def unknown_decl(self, data: str) -> None:
+        """Nothing to show."""
+
     def _pop_to(self, depth: int) -> None:
         for node in self.open[depth:]:
             self.count[node.tag] -= 1
@@ -344,34 +353,46 @@ class Sheet:
             self.end_line(forced=True)
 
 
+def _number(text: str, default: int) -> int:
+    """A whole number in decimal digits, as attributes give it; anything else is ``default``."""
+    return int(text) if _WHOLE.fullmatch(text) else default
+
+
 def _wide(node: Node, name: str) -> int:
-    value = node.attributes.get(name, "1").strip()
-    return max(1, min(int(value), 1000)) if value.isdigit() and len(value) < 6 else 1
+    return max(1, min(_number(node.attributes.get(name, "1").strip(), 1), 1000))
 
 
 def _align(rows: list[list[tuple[int, int, list[str]]]]) -> list[str]:
-    """Cells (columns, rows, lines) to lines: a column is as wide as its widest cell."""
-    grid: dict[tuple[int, int], list[str]] = {}
-    busy: set[tuple[int, int]] = set()
+    """Cells (columns, rows, lines) to lines: a column is as wide as its widest cell.
+
+    Columns that a wider cell covers and in which none begins take no room, so a cell costs the
+    same whatever it spans.
+    """
+    grid: list[dict[int, list[str]]] = []
+    above: list[tuple[int, int, int]] = []  # columns that cells of earlier rows still cover: begin, end, first free row
     for r, cells in enumerate(rows):
-        c = 0
+        above = sorted(cover for cover in above if cover[2] > r)
+        grid.append({})
+        c, k, fresh = 0, 0, []
         for columns, down, lines in cells:
-            while (r, c) in busy:
-                c += 1
-            grid[r, c] = lines
-            busy.update((r + i, c + j) for i in range(min(down, len(rows) - r)) for j in range(columns))
+            while k < len(above) and above[k][0] <= c:
+                c = max(c, above[k][1])
+                k += 1
+            grid[r][c] = lines
+            if down > 1:
+                fresh.append((c, c + columns, r + down))
             c += columns
-    if not grid:
-        return []
-    count = 1 + max(c for _, c in grid)
-    width = [0] * count
-    for (_, c), lines in grid.items():
-        width[c] = max([width[c], *map(len, lines)])
+        above += fresh
+    begins = sorted({c for row in grid for c in row})
+    width = dict.fromkeys(begins, 0)
+    for row in grid:
+        for c, lines in row.items():
+            width[c] = max([width[c], *map(len, lines)])
+    wide = [c for c in begins if width[c]]
     out = []
-    for r in range(len(rows)):
-        of = [grid.get((r, c), []) for c in range(count)]
-        for k in range(max(map(len, of), default=0)):
-            padded = [(lines[k] if k < len(lines) else "").ljust(w) for lines, w in zip(of, width) if w]
+    for row in grid:
+        for k in range(max(map(len, row.values()), default=0)):
+            padded = [(row[c][k] if c in row and k < len(row[c]) else "").ljust(width[c]) for c in wide]
             out.append("  ".join(padded).rstrip())
     return out
 
@@ -421,11 +442,11 @@ def visible_text(html: str | None) -> str:
                 flow.end_line()
                 flow.apart |= tag in APART and not (tag in ("ul", "ol", "menu") and lists)
             if tag in ("ul", "ol", "menu"):
-                start = node.attributes.get("start", "1")
-                lists.append([tag == "ol", int(start) if start.lstrip("-").isdigit() and len(start) < 10 else 1])
+                lists.append([tag == "ol", _number(node.attributes.get("start", "1").strip(), 1)])
                 flow.indent += 2
             elif tag == "li":
                 here = lists[-1] if lists else [False, 1]
+                here[1] = _number(node.attributes.get("value", "").strip(), here[1])
                 flow.mark = f"{here[1]}. " if here[0] else "- "
                 here[1] += 1
             elif tag == "dd" or tag == "blockquote":
@@ -440,7 +461,10 @@ def visible_text(html: str | None) -> str:
             elif tag in ("td", "th") and tables:
                 flows.append(Sheet())
             walk.append(("close", node, visible, drawing, drawn))
-            walk += [("text" if isinstance(child, str) else "open", child, visible, drawing, drawn) for child in reversed(node.children)
+            children = node.children
+            if tag == "details" and "open" not in node.attributes:  # closed: its summary is all that shows
+                children = [child for child in children if not isinstance(child, str) and child.tag == "summary"][:1]
+            walk += [("text" if isinstance(child, str) else "open", child, visible, drawing, drawn) for child in reversed(children)
                      if not (tag in ("table", "tr", "tbody", "thead", "tfoot") and isinstance(child, str) and not child.strip(" \t\n\r\f"))]
             continue
         tag = node.tag
@@ -488,5 +512,7 @@ def extract_pages(pages: DataFrame) -> DataFrame:
     """page_id, url and the visible text of every page; nothing is shuffled.
 
     A null or empty page gives an empty text, repeated rows repeat, an empty table gives no rows.
+    Malformed markup is read as browsers read it: numbers that are none count as one, unknown
+    declarations are comments, open elements end with the page.
     """
     return pages.select("page_id", "url", rendered(F.col("html")).alias("text"))

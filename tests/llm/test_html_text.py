@@ -1,4 +1,6 @@
+import random
 import re
+import time
 from html import unescape
 
 import pytest
@@ -78,3 +80,28 @@ HEADS = [
 @pytest.mark.parametrize("html, wanted", HEADS, ids=range(len(HEADS)))
 def test_end_of_head_and_foreign_elements(html, wanted):
     assert visible_text(html) == wanted
+
+
+def test_odd_numbers_and_declarations():
+    assert visible_text('<ol start="--5"><li>a<li>b</ol>') == "1. a\n2. b"
+    assert visible_text('<ol start="-2"><li>a<li value="7">b<li>c</ol>') == "-2. a\n7. b\n8. c"
+    assert visible_text('<table><tr><td colspan="²">a<td rowspan="x">b</table>') == "a  b"
+    assert visible_text("a<![foo[x]]>b<![if IE]>c<![endif]>d") == "abcd"
+    assert visible_text("<details><summary>s</summary>hidden</details><details open><summary>t</summary>shown</details>").split() == ["s", "t", "shown"]
+
+
+def test_wide_cells_cost_no_more():
+    began = time.perf_counter()
+    cells = "".join(f'<tr><td colspan=1000 rowspan={k % 3 + 1}>c{k}<td>d{k}' for k in range(4000))
+    text = visible_text(f"<table>{cells}</table>")
+    assert text.count("\n") == 3999 and time.perf_counter() - began < 10
+    assert visible_text("<table><tr><td rowspan=2>a<td>b<tr><td>c<tr><td colspan=2>d</table>") == "a  b\n   c\nd"
+
+
+def test_any_markup_gives_a_text():
+    draw = random.Random(8)
+    parts = ["<", ">", "</", "/>", "<!", "<![", "<!--", "-->", "]]>", "<?", "&", "&#", ";", "=", '"', "'", " ", "\n", "a", "9", "²", "table", "tr", "td",
+             "<td colspan=", "<ol start=", "<li>", "<svg>", "<math>", "<select>", "<script>", "<style>", "{", "}", "@media ", ".a", ":", "display:none",
+             "<p class=a>", "</p>", "<details>", "<pre>", "<br>", "<![CDATA[", "\x00", "\U0001f600", "<template>", "<plaintext>", "<frameset>"]
+    for _ in range(20_000):
+        assert isinstance(visible_text("".join(draw.choices(parts, k=draw.randrange(1, 25)))), str)
