@@ -161,7 +161,11 @@ def fingerprint_components(docs: DataFrame, workspace: Workspace, **options) ->
 
 
 def drop_near_duplicates(docs: DataFrame, workspace: Workspace, words: int = SHINGLE_WORDS, crowded: int = CROWDED) -> DataFrame:
-    """``docs``, all columns kept, with the row of the least id of each component only."""
+    """``docs``, all columns kept, with the row of the least id of each component only.
+
+    Null and empty texts are equal and one of them stays.  Rows without an id come last in the
+    order; of rows that repeat the first in place stays.  An empty table gives no rows.
+    """
     source = located(docs, workspace)
     found = workspace.write(_near_groups(source, workspace, words, crowded), "near")
     # The first row of a component: least id, then place; reduced in the tasks, so no group is gathered.
