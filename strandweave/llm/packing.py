@@ -19,7 +19,7 @@ import json
 import re
 import sys
 from array import array
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import cache
 
@@ -35,10 +35,10 @@ STEP = 16
 MOST_PIECES = 6
 ROUNDS = 3
 END_ID = 2
-CACHE_WORDS = 200_000
+CACHE_WORDS = 400_000
 # Letters below the combining marks, whose lower case is one letter each, then signs.
 _LETTERS_AND_SIGNS = re.compile("((?:(?![\u0130\u0250-\U0010ffff])[^\\W\\d_])+)([!-/:-@\\[-^`{-~\u00a1-\u00a9\u00ab\u00ac\u00ae-\u00b1\u00b6-\u00b8\u00bb\u00bf]*)")
-GROUP_CHARS = 1 << 20
+GROUP_CHARS = 1 << 22
 BULK = 256
 
 
@@ -83,16 +83,15 @@ class Encoder:
         self.young: dict[str, bytes] = {"": b""}
         self.old: dict[str, bytes] = {}
 
-    def _missing(self, words: Iterable[str]) -> list[str]:
+    def _missing(self, words: set[str]) -> list[str]:
         """Of ``words`` those in neither table; known ones of the old table move to the young."""
         missing = []
-        for word in words:
-            if word not in self.young:
-                known = self.old.get(word)
-                if known is None:
-                    missing.append(word)
-                else:
-                    self.young[word] = known
+        for word in words.difference(self.young):
+            known = self.old.get(word)
+            if known is None:
+                missing.append(word)
+            else:
+                self.young[word] = known
         return missing
 
     def _learn_parts(self, words: list[str]) -> None:
@@ -135,7 +134,7 @@ class Encoder:
             encoded = self.tokenizer.encode_batch(texts, add_special_tokens=False)
             return [np.array(e.ids, dtype="<u4").tobytes() for e in encoded]
         split = [text.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ") for text in texts]
-        self._learn_parts(self._missing({word for words in split for word in words}))
+        self._learn_parts(self._missing(set().union(*split)))
         ids = [b"".join(map(self.young.__getitem__, words)) for words in split]
         if len(self.young) > CACHE_WORDS:
             self.old, self.young = self.young, {"": b""}
