@@ -235,6 +235,10 @@ ORACLES["model_integrity"] = "SELECT unnest([{}]) AS rule, CAST(0 AS bigint) AS
 )
 ORACLES["stream_running_total"] = """SELECT event_type,
     round(CAST(sum(CAST(value AS decimal(18,4))) AS double), 4) AS total FROM events GROUP BY event_type"""
+ORACLES["stream_total_updates"] = """SELECT event_type, sum(units) / 10000.0::double AS total, count(*) AS users
+    FROM (SELECT event_type, CAST(round(coalesce(value, 0) * 10000) AS bigint) AS units FROM events WHERE user_id IS NOT NULL
+          QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY event_id DESC) = 1)
+    GROUP BY event_type"""
 ORACLES["stream_get_or_insert"] = "SELECT DISTINCT user_id FROM events WHERE user_id IS NOT NULL"
 ORACLES["stream_tokens"] = f"""SELECT DISTINCT trim(item, ' ') AS item
     FROM (SELECT unnest(string_split_regex(props, '{SPLIT}')) AS item FROM events)"""

@@ -22,7 +22,7 @@ from strandweave.plans.schema import COLOR, LIST_COLUMNS, ListColumn
 from strandweave.plans.synthetic import staging_from_orders
 from strandweave.sources.csv import stage_csv
 from strandweave.sources.store import SegmentStore
-from strandweave.streaming import first_keys, latest_totals, list_items, load_stream, running_totals, write_totals
+from strandweave.streaming import changes, current_totals, first_keys, latest_totals, list_items, load_stream, running_totals, write_changes, write_totals
 from strandweave.tables import Table, Workspace
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -367,6 +367,22 @@ def stream_running_total(spark, sf_dir):
     return latest.select("event_type", F.round(F.col("total").cast("double"), 4).alias("total"))
 
 
+@query
+def stream_total_updates(spark, sf_dir):
+    """Users as rows that events update: each counts with its last event, under that event's type.
+
+    The events come in three micro-batches, dealt by their numbers, so later ones meet earlier ones and overtake them.
+    """
+    workspace = Workspace(spark)
+    incoming, path, checkpoint = (workspace.folder(name) for name in ("incoming", "totals", "checkpoint"))
+    events = given(spark, sf_dir, "events")
+    for part in (1, 2, 0):
+        events.where(F.col("event_id") % 3 == part).write.mode("append").parquet(incoming)
+        stream = spark.readStream.schema(events.schema).parquet(incoming)
+        write_changes(changes(stream, "user_id", "event_id", "event_type", F.col("value")), path, checkpoint, fold=2).awaitTermination()
+    return current_totals(spark, path).select(F.col("group").alias("event_type"), F.col("total").cast("double").alias("total"), F.col("rows").alias("users"))
+
+
 @query
 def stream_get_or_insert(spark, sf_dir):
     return _finish(first_keys(event_stream(spark, sf_dir), "user_id"), Workspace(spark))

@@ -1,8 +1,13 @@
+import os
+from decimal import Decimal
+
 from emulator import Emulator
 from records import frame, random_records
 
 from strandweave import SegmentStore, card_profile, load_batch, open_model
-from strandweave.streaming import first_keys, latest_totals, list_items, load_stream, running_totals, write_totals
+from strandweave.streaming import (
+    changes, current_totals, first_keys, latest_totals, list_items, load_stream, running_totals, vacuum_changes, write_changes, write_totals,
+)
 from pyspark.sql import functions as F
 
 
@@ -22,6 +27,36 @@ def test_running_totals_over_batches(spark, workspace):
     assert spark.read.parquet(out).where("batch = 1").count() == 1
 
 
+def test_totals_follow_updates_and_moves(spark, workspace):
+    folder, out, checkpoint = (workspace.folder(name) for name in ("in", "out", "checkpoint"))
+    schema = "k string, at long, g string, v decimal(10,2)"
+    batches = [
+        [("a", 1, "x", 10), ("b", 1, "x", 5), ("a", 3, "x", 7), (None, 1, "x", 99)],
+        [("a", 2, "z", 100), ("b", 2, "y", 6)],  # a's change comes too late; b moves from x to y
+        [("a", 4, "x", -1), ("c", 1, None, 2), ("c", 2, None, None)],
+        [("b", 3, "y", 1)],
+        [("a", 5, "y", 2)],  # the last row leaves x
+    ]
+    last, wanted = {}, []
+    for rows in batches:
+        for k, at, g, v in rows:
+            if k is not None and at > last.get(k, (0,))[0]:
+                last[k] = at, g, v or 0
+        totals = {}
+        for _, g, v in last.values():
+            totals[g] = (totals.get(g, (0, 0))[0] + v, totals.get(g, (0, 0))[1] + 1)
+        wanted.append(totals)
+    for rows, totals in zip(batches, wanted):
+        drop(spark.createDataFrame([(k, at, g, None if v is None else Decimal(v)) for k, at, g, v in rows], schema), folder)
+        stream = spark.readStream.schema(schema).parquet(folder)
+        write_changes(changes(stream, "k", "at", "g", F.col("v")), out, checkpoint, fold=2).awaitTermination()
+        assert {r.group: (r.total, r.rows) for r in current_totals(spark, out).collect()} == totals
+    vacuum_changes(spark, out)
+    assert {r.group: (r.total, r.rows) for r in current_totals(spark, out).collect()} == wanted[-1] == {"y": (3, 2), None: (0, 1)}
+    # Sums replace what they hold: two batches of changes are left, the one the sums end with and the last.
+    assert len(os.listdir(f"{out}/changes")) == 2 and len(os.listdir(f"{out}/sums")) == 1
+
+
 def run(frame, workspace, checkpoint, out):
     writer = frame.writeStream.option("checkpointLocation", checkpoint).option("path", out).format("parquet")
     writer.trigger(availableNow=True).start().awaitTermination()
