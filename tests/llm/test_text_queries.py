@@ -24,7 +24,7 @@ def engine():
 def test_all_are_registered():
     assert QUERIES.keys() | {"pipeline"} <= entry_points.queries().keys()
     assert ORACLES.keys() <= entry_points.oracle_sql().keys()
-    assert sorted(int(name[2:].split("_")[0]) for name in QUERIES) == list(range(1, 11))
+    assert sorted(int(name[2:].split("_")[0]) for name in QUERIES) == list(range(1, 14))
 
 
 @pytest.mark.parametrize("name", sorted(ORACLES))
@@ -40,6 +40,8 @@ def test_sql(spark, engine, name):
     ("op2_pii", ["doc_id", "n_email", "n_ip", "n_card", "n_phone", "base_sha256", "spans"], "documents"),
     ("op3_simhash", ["doc_id", "fingerprint", "component_id"], "documents"),
     ("op6_quality", ["doc_id", "held_out", "score", "predicted"], "documents"),
+    ("op11_alignment", ["doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256"], "documents"),
+    ("op13_token_counts", ["doc_id", "n_bytes", "n_tokens", "over_limit"], "documents"),
     ("op8_secrets", ["doc_id", "n_assign", "n_access", "n_hex", "base_sha256", "spans"], "documents"),
 ])
 def test_a_row_for_each_row(spark, name, columns, table):
