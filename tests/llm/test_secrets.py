@@ -56,9 +56,31 @@ def test_a_value_that_many_owners_hold_is_an_example(spark):
     assert (of[50].n_live, of[50].n_example) == (1, 0) and of[51].spans == "opaque:0:20"
 
 
-def test_many_repositories_of_one_owner_are_an_example_too(spark):
-    docs = spark.createDataFrame([(i, f"{RANDOM} x", "o") for i in range(20)], "doc_id bigint, text string, source string")
-    assert {r.spans for r in scan_secrets(docs, Workspace(spark)).collect()} == {""}
+def test_copies_of_one_owner_stay_live_and_those_of_two_are_an_example(spark):
+    rows = [(i, f"{RANDOM} x", "o") for i in range(40)] + [(100 + i, f"{RANDOM[::-1]} x", f"p{i % 2}") for i in range(20)]
+    rows += [(200 + i, f"{RANDOM[:-1]}Z", f"p{i % 2}") for i in range(19)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, source string")
+    got = {r.doc_id: r.spans for r in scan_secrets(docs, Workspace(spark)).collect()}
+    assert got == {i: "" if 100 <= i < 200 else "opaque:0:20" for i, _, _ in rows}
+
+
+def test_opaque_tokens_that_base_spans_touch(spark):
+    texts = [f"token={RANDOM}", f"{RANDOM}{'0a' * 12}", f"{'0a' * 12} {RANDOM}", f"{RANDOM}token=abcdefgh", f"{RANDOM} token={KEY} {RANDOM[::-1]}", RANDOM + "/" + KEY]
+    docs = spark.createDataFrame([(i, t, "s") for i, t in enumerate(texts)], "doc_id bigint, text string, source string")
+    got = {r.doc_id: r.spans for r in scan_secrets(docs, Workspace(spark)).collect()}
+    for i, text in enumerate(texts):
+        fixed = base(text)
+        loose = [(m.start(), 3, m.end(), "opaque") for m in OPAQUE.finditer(text) if all(re.search(c, m.group()) for c in ("[0-9]", "[A-Z]", "[a-z]"))]
+        loose = [o for o in loose if not any(b[0] < o[2] and o[0] < b[2] for b in fixed)]
+        assert got[i] == joined(sorted(fixed + loose))
+
+
+def test_a_text_with_very_many_secrets(spark):
+    text = "".join(f"{i:024x} token=t{i:06d}; " for i in range(100_000))
+    docs = spark.createDataFrame([(1, text, "s")], "doc_id bigint, text string, source string")
+    row, = scan_secrets(docs, Workspace(spark)).collect()
+    assert (row.n_hex, row.n_assign, row.n_live) == (100_000, 100_000, 200_000)
+    assert row.base_sha256 == hashlib.sha256(joined(base(text)).encode()).hexdigest()
 
 
 def test_no_documents(spark, no_documents):
