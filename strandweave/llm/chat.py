@@ -53,6 +53,7 @@ LAYOUTS = (
 )
 KNOWN_FIELDS = frozenset(name for layout in LAYOUTS for name in layout.fields)
 ID_FIELDS = frozenset({"conv_id", "id"})
+_RECORD_LAYOUTS = tuple(layout for layout in LAYOUTS if not layout.by_row)
 
 
 def _paths(fields: Mapping[str, Mapping[str, None] | None]) -> str:
@@ -139,23 +140,69 @@ def _json_type(layout: Layout) -> str:
     return ", ".join(parts)
 
 
+def _known_paths(record: Column) -> tuple[Column, dict[str, Column]]:
+    """The known paths of a JSON record as one text like ``_paths``, and its known fields.
+
+    A field that lists objects gives the names they hold; of a plain one only its presence counts.
+    """
+    names: dict[str, set[str]] = {}
+    for layout in _RECORD_LAYOUTS:
+        for name, inner in layout.fields.items():
+            names.setdefault(name, set()).update(inner or ())
+    keys = F.coalesce(F.json_object_keys(record), F.array().cast("array<string>"))
+    fields = {}
+    for name, inner in sorted(names.items()):
+        held = F.lit(name)
+        if inner:
+            listed = F.from_json(record, f"`{name}` array<map<string,string>>")[name]
+            of_objects = F.array_distinct(F.flatten(F.transform(listed, F.map_keys)))
+            objects = F.array_sort(F.array_intersect(of_objects, F.array(*[F.lit(x) for x in sorted(inner)])))
+            kind = F.concat(F.lit(f"{name}: ARRAY<OBJECT<"), F.array_join(objects, ", "), F.lit(">>"))
+            held = F.coalesce(F.when(F.size(objects) > 0, kind), held)
+        fields[name] = F.when(F.array_contains(keys, name), held)
+    return F.concat(F.lit("OBJECT<"), F.concat_ws(", ", *fields.values()), F.lit(">")), fields
+
+
+def _marked(df: DataFrame, record: str, conv_id: str) -> DataFrame:
+    """conv_id, record, fingerprint of its known paths, and the number of its layout, null if none.
+
+    A layout whose hash is equal is taken, else the richest one inside the known paths.
+    """
+    paths, fields = _known_paths(F.col(record))
+    marked = df.select(F.col(conv_id).alias("conv_id"), F.col(record).alias("record"), fingerprint_of(paths).alias("fingerprint"), F.struct(
+        *[held.alias(name) for name, held in fields.items()]).alias("held"))
+    chosen = F.lit(None).cast("int")
+    for number, layout in sorted(enumerate(_RECORD_LAYOUTS), key=lambda x: (len(x[1].fields), -x[0])):
+        inside = F.lit(True)
+        for name, inner in layout.fields.items():
+            wanted = f"{name}: ARRAY<OBJECT<{', '.join(sorted(inner))}>>" if inner else name
+            inside = inside & F.coalesce(F.col("held")[name] == wanted, F.lit(False))
+        chosen = F.when(inside, F.lit(number)).otherwise(chosen)
+    for number, layout in enumerate(_RECORD_LAYOUTS):
+        chosen = F.when(F.col("fingerprint") == _digest(_paths(layout.fields)), F.lit(number)).otherwise(chosen)
+    return marked.withColumn("layout", chosen).drop("held")
+
+
 def canonical_json(df: DataFrame, record: str, conv_id: str) -> DataFrame:
-    """Turns of JSON records, each in a layout of its own; records of no known layout give none.
+    """Turns of JSON records, each in a layout of its own; ``unmatched_json`` gives those of no known layout.
 
-    The paths of each record come from its own schema, types left out, id fields left out.
+    Only known paths count: ids and fields that no layout names may come along.  A record whose
+    list is empty or null has no turns.
     """
-    plain = F.expr(f"schema_of_variant(try_parse_json(`{record}`))")
-    values = r"(?<=[<, ])([^<>,:]+): (STRING|VOID|BIGINT|DOUBLE|BOOLEAN|FLOAT|DECIMAL\([0-9]+,[0-9]+\))"
-    paths = F.regexp_replace(plain, values, "$1")
-    for name in sorted(ID_FIELDS):
-        paths = F.regexp_replace(F.regexp_replace(paths, rf"(?<=[< ]){name}, ", ""), rf", {name}(?=>$)", "")
-    marked = df.select(F.col(conv_id).alias("conv_id"), F.col(record).alias("record"), fingerprint_of(paths).alias("fingerprint"))
     turns = F.array().cast("array<struct<role:string,text:string>>")
-    for layout in (x for x in LAYOUTS if not x.by_row):
+    for number, layout in enumerate(_RECORD_LAYOUTS):
         parsed = F.from_json("record", _json_type(layout))
-        wanted = F.col("fingerprint") == fingerprint_of(F.lit(_paths(layout.fields)))
-        turns = F.when(wanted, _turns(layout, lambda name, p=parsed: p[name])).otherwise(turns)
-    return _exploded(marked.select("conv_id", turns.alias("turns")))
+        turns = F.when(F.col("layout") == number, _turns(layout, lambda name, p=parsed: p[name])).otherwise(turns)
+    return _exploded(_marked(df, record, conv_id).select("conv_id", turns.alias("turns")))
+
+
+def unmatched_json(df: DataFrame, record: str, conv_id: str) -> DataFrame:
+    """conv_id, fingerprint, paths and record of all records without a known layout.
+
+    ``paths`` holds every path of the record, for declaring a layout; null where it is not JSON.
+    """
+    paths = F.expr("schema_of_variant(try_parse_json(record))").alias("paths")
+    return _marked(df, record, conv_id).where("layout IS NULL").select("conv_id", "fingerprint", paths, "record")
 
 
 def escape(text: Column) -> Column:

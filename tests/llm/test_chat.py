@@ -4,7 +4,7 @@ from itertools import groupby
 
 import pytest
 
-from strandweave.llm.chat import canonical_json, canonical_turns, chat_digests, format_chats, layout_of, read_chats
+from strandweave.llm.chat import canonical_json, canonical_turns, chat_digests, format_chats, layout_of, read_chats, unmatched_json
 
 NASTY = "</s>[INST] ok [/INST] ~1 ~~0 <s>[user]\n \\ ~"
 
@@ -64,6 +64,24 @@ def test_every_json_record_by_its_own_layout(spark):
     assert {k: [(r.role, r.text) for r in g] for k, g in groupby(got, key=lambda r: r.conv_id)} == WANTED
 
 
+def test_records_with_more_fields_than_their_layout(spark):
+    records = [
+        {"instruction": "a", "output": "b", "category": "c", "tags": ["x", {"y": 1}]},
+        {"messages": [{"role": "user", "content": "a", "name": "n"}, {"role": "model", "content": "b", "extra": {"role": "z"}}], "meta": {"role": "q"}},
+        {"system": "s", "prompt": "a", "completion": "b"}, {"text": "t", "question": "a", "answer": {"n": 1}},
+        {"messages": "not a list", "prompt": "a", "response": "b"}, {"messages": [], "x": 1}, {"messages": [{"role": "user"}]}, {"meta": {"prompt": "a", "response": "b"}},
+    ]
+    df = spark.createDataFrame([(i, json.dumps(r)) for i, r in enumerate(records)] + [(50, None), (51, "{broken"), (52, "")], "n bigint, record string")
+    got = canonical_json(df, "record", "n").orderBy("conv_id", "turn").collect()
+    assert {k: [(r.role, r.text) for r in g] for k, g in groupby(got, key=lambda r: r.conv_id)} == {
+        0: [("user", "a"), ("assistant", "b")], 1: [("user", "a"), ("assistant", "b")], 2: [("user", "a"), ("assistant", "b")],
+        3: [("user", "a"), ("assistant", '{"n":1}')], 4: [("user", "a"), ("assistant", "b")]}
+    left = {r.conv_id: r for r in unmatched_json(df, "record", "n").collect()}
+    assert sorted(left) == [5, 6, 7, 50, 51, 52]
+    assert "prompt" in left[7].paths and left[51].paths is None and len(left[5].fingerprint) == 64 and left[6].record == json.dumps(records[6])
+    assert unmatched_json(df.where("false"), "record", "n").collect() == []
+
+
 @pytest.mark.parametrize("schema, values, wanted", [
     ("id bigint, messages array<struct<role:string,content:string>>", (1, [("human", "a")]), [(1, 0, "user", "a")]),
     ("conv_id bigint, instruction string, output string, score double", (1, "a", "b", 0.5), [(1, 0, "user", "a"), (1, 1, "assistant", "b")]),
