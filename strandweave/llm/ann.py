@@ -31,7 +31,7 @@ ROUNDS = 7
 SETTLED = 0.02
 BEAM = 256
 FOLLOWED = 48
-HOPS = 7
+INCOMING = 64
 ENTRIES = 8
 UNROLLED = 128
 SENT_BYTES = 16 * 1024 * 1024
@@ -171,18 +171,21 @@ def build_graph(nodes: DataFrame, workspace: Workspace, degree: int = DEGREE, ro
     return graph.drop("fresh")
 
 
-def _vectors(embeddings: DataFrame, workspace: Workspace, keep: int) -> tuple[DataFrame, DataFrame]:
-    """Usable rows, and distinct vectors as nodes with their first ``keep`` ids."""
-    rows = embeddings.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").alias("vector"))
-    rows = rows.where(F.col("vec_id").isNotNull() & usable("vector"))
-    sizes = rows.groupBy(F.size("vector").alias("size")).count().orderBy(F.desc("count"), F.desc("size")).head()
-    rows = workspace.write(rows.where(F.size("vector") == (sizes.size if sizes else 0)).distinct(), "vectors")
+def _nodes(rows: DataFrame, workspace: Workspace, keep: int) -> DataFrame:
+    """Distinct vectors as nodes with their first ``keep`` ids."""
     first = Window.partitionBy("vector").orderBy("vec_id")
     few = rows.withColumn("_n", F.row_number().over(first)).where(F.col("_n") <= keep)
     classes = few.groupBy("vector").agg(F.array_sort(F.collect_list("vec_id")).alias("ids"))
     encode = F.pandas_udf(_encoded, "code binary, factor double")
     nodes = classes.select(F.monotonically_increasing_id().alias("node"), "vector", "ids", encode("vector").alias("x"))
-    return rows, workspace.write(nodes.select("node", "vector", "ids", "x.code", "x.factor"), "nodes")
+    return workspace.write(nodes.select("node", "vector", "ids", "x.code", "x.factor"), "nodes")
+
+
+def _ways(graph: DataFrame) -> DataFrame:
+    """Edges a walk may follow: all that leave a node, and the best that come in, so no node has very many."""
+    best = Window.partitionBy("v").orderBy(F.desc("score"), "u")
+    back = graph.withColumn("_n", F.row_number().over(best)).where(F.col("_n") <= INCOMING)
+    return graph.select("u", "v").unionByName(back.select(F.col("v").alias("u"), F.col("u").alias("v"))).distinct()
 
 
 def _walk(queries: DataFrame, nodes: DataFrame, graph: DataFrame, workspace: Workspace) -> DataFrame:
@@ -190,7 +193,7 @@ def _walk(queries: DataFrame, nodes: DataFrame, graph: DataFrame, workspace: Wor
     asked = workspace.save(queries.select("query", F.col("vector").alias("wanted")), "asked")
     if not asked.rows:
         return queries.select("query", F.col("query").alias("node"), F.lit(0.0).alias("score"))
-    ways = workspace.write(graph.select("u", "v").unionByName(graph.select(F.col("v").alias("u"), F.col("u").alias("v"))).distinct(), "ways")
+    ways = workspace.write(_ways(graph), "ways")
     dimension = asked.df.select(F.size("wanted")).head()[0]
     # The queries' vectors are sent to all tasks only while they are measured to be small.
     small = asked.rows * dimension * 8 <= SENT_BYTES and asked.rows <= asked.max_rows
@@ -204,7 +207,8 @@ def _walk(queries: DataFrame, nodes: DataFrame, graph: DataFrame, workspace: Wor
     start = asked.df.select("query", F.explode(F.array_distinct(F.concat(F.array("query"), F.array(*[F.lit(e).cast("long") for e in entries])))).alias("node"))
     beam = workspace.write(scored(start), "beam")
     order = Window.partitionBy("query").orderBy(F.desc("score"), "node")
-    for _ in range(HOPS):
+    # The last place of a beam only rises, so a node that left it stays out and the walk ends.
+    while True:
         waiting = beam.where("not followed").withColumn("_n", F.row_number().over(order)).where(F.col("_n") <= FOLLOWED).select("query", "node")
         waiting = workspace.save(waiting, "waiting")
         if not waiting.rows:
@@ -222,10 +226,19 @@ def nearest(embeddings: DataFrame, workspace: Workspace, every: int = 20, count:
     """query_id, rank, vec_id, score: of each row whose id ``every`` divides, its ``count`` nearest rows.
 
     Vectors that are null, zero, or hold a null or a component that is not finite take no part,
-    nor do rows without an id and vectors of another length than most.  A row that repeats
-    entirely counts once.  Ties go to the smaller id.  An empty table gives no rows.
+    nor do rows without an id.  Vectors are compared with those of their own length, each length
+    in a graph of its own, one after the other.  A row that repeats entirely counts once.  Ties
+    go to the smaller id.  An empty table gives no rows.
     """
-    rows, nodes = _vectors(embeddings, workspace, count + 1)
+    rows = embeddings.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").alias("vector"))
+    rows = workspace.write(rows.where(F.col("vec_id").isNotNull() & usable("vector")).distinct(), "vectors")
+    lengths = sorted(row.size for row in rows.select(F.size("vector").alias("size")).distinct().collect())
+    found = [_nearest_rows(rows.where(F.size("vector") == length), workspace, every, count) for length in lengths or [0]]
+    return reduce(DataFrame.unionByName, found)
+
+
+def _nearest_rows(rows: DataFrame, workspace: Workspace, every: int, count: int) -> DataFrame:
+    nodes = _nodes(rows, workspace, count + 1)
     graph = build_graph(nodes.select("node", "code", "factor"), workspace)
     asking = rows.where(F.col("vec_id") % every == 0)
     asking = workspace.write(asking.join(nodes.select("node", "vector"), "vector").select(F.col("vec_id").alias("query_id"), F.col("node").alias("query")), "asking")

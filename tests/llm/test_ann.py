@@ -5,10 +5,10 @@ from strandweave.llm import ann
 from strandweave.tables import Workspace
 
 
-def by_hand(rows, every, count):
+def by_hand(rows, every, count, length=4):
     usable = {}
     for vec_id, vector in rows:
-        if vec_id is not None and vector is not None and len(vector) == 4 and None not in vector and np.isfinite(vector).all() and any(vector):
+        if vec_id is not None and vector is not None and len(vector) == length and None not in vector and np.isfinite(vector).all() and any(vector):
             usable[vec_id] = np.array(vector, dtype=np.float64)
     for i in sorted(usable):
         if i % every == 0:
@@ -29,7 +29,15 @@ def table(spark, rows):
 @pytest.mark.parametrize("count", [3, 20])
 def test_edge_vectors(spark, count):
     got = ann.nearest(table(spark, VECTORS), Workspace(spark), count=count).collect()
-    assert sorted((r.query_id, r.rank, r.vec_id, round(r.score, 9)) for r in got) == sorted(by_hand(VECTORS, 20, count))
+    assert sorted((r.query_id, r.rank, r.vec_id, round(r.score, 9)) for r in got) == sorted([*by_hand(VECTORS, 20, count), *by_hand(VECTORS, 20, count, 2)])
+
+
+def test_vectors_of_several_lengths(spark):
+    rng = np.random.default_rng(3)
+    rows = [(i, rng.integers(-9, 9, size=2 + i % 3).tolist()) for i in range(150)] + [(1000, [1.0])]
+    got = ann.nearest(table(spark, rows), Workspace(spark), every=5).collect()
+    wanted = [x for length in (1, 2, 3, 4) for x in by_hand(rows, 5, 20, length)]
+    assert sorted((r.query_id, r.rank, r.vec_id, round(r.score, 9)) for r in got) == sorted(wanted)
 
 
 def test_a_vector_that_many_rows_share(spark):
