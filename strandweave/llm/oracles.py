@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from strandweave.llm.mixing import INCREMENT, MODULUS, MOST_REPEATS, MULTIPLIER, SEEDS, SHARE, WEIGHTS
+from strandweave.llm.secrets import ASSIGN_LEAST, EXAMPLE_OWNERS, EXAMPLE_REPOSITORIES
 
 EXACT_DEDUP = r"""
 WITH texts AS (
@@ -93,7 +94,63 @@ WHERE NOT same AND 50 * positive_score <= 100 * score AND 100 * score <= 95 * po
 QUALIFY row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id) <= 3
 """
 
+
+
+def _either(word: str) -> str:
+    """A pattern for an ASCII word in either case; the engine's own flag would fold other letters too."""
+    return "".join(f"[{c}{c.upper()}]" if c.isalpha() else c for c in word)
+
+
+# (kind, pattern, group of the value, what a match must be besides); an opaque token is a whole run of its signs.
+_SECRET_KINDS = (
+    ("assign", f"""(?:{'|'.join(map(_either, ('password', 'passwd', 'secret', 'token')))}|{_either('api')}_?{_either('key')})"""
+     r"""["'']?\x20*[:=]\x20*["'']?([A-Za-z0-9+/_.=-]+)""", 1, f"length(value) >= {ASSIGN_LEAST}"),
+    ("access", "AKIA[A-Z0-9]+", 0, "length(value) >= 20"),
+    ("hex", "[0-9a-f]+", 0, "length(value) >= 24"),
+    ("opaque", "[A-Za-z0-9+/_-]{20,}", 0, "value SIMILAR TO '.*[0-9].*' AND value SIMILAR TO '.*[A-Z].*' AND value SIMILAR TO '.*[a-z].*'"),
+)
+_SECRET_MATCHES = " UNION ALL ".join(
+    f"""SELECT doc_row, {number} AS kind_no, '{kind}' AS kind, unnest(range(len(found))) AS place, unnest(found) AS found,
+               unnest(vals) AS value, unnest(pieces[1:len(found)]) AS piece
+        FROM (SELECT doc_row, regexp_extract_all(text, '{pattern}', 0) AS found, regexp_extract_all(text, '{pattern}', {group}) AS vals,
+                     string_split_regex(text, '{pattern}') AS pieces FROM texts)"""
+    for number, (kind, pattern, group, _) in enumerate(_SECRET_KINDS))
+_SECRET_FITS = " OR ".join(f"(kind = '{kind}' AND {test})" for kind, _, _, test in _SECRET_KINDS)
+
+# A match ends where the pieces and matches up to it end; an opaque token that a base span overlaps is left out.
+SECRETS = f"""
+WITH texts AS (SELECT row_number() OVER () AS doc_row, doc_id, source AS owner, coalesce(text, '') AS text FROM documents),
+matches AS ({_SECRET_MATCHES}),
+spans AS (
+    SELECT doc_row, kind_no, kind, value, stop - length(found) AS start, stop
+    FROM (SELECT *, sum(length(piece) + length(found)) OVER (PARTITION BY doc_row, kind_no ORDER BY place)::BIGINT AS stop FROM matches)
+    WHERE {_SECRET_FITS}),
+candidates AS (
+    SELECT * FROM spans WHERE kind <> 'opaque'
+    UNION ALL
+    SELECT o.* FROM spans o WHERE o.kind = 'opaque' AND NOT EXISTS (
+        SELECT 1 FROM spans b WHERE b.doc_row = o.doc_row AND b.kind <> 'opaque' AND b.start < o.stop AND b.stop > o.start)),
+frequency AS (
+    SELECT value, count(DISTINCT coalesce('1' || owner, '0')) AS owners, count(DISTINCT (coalesce('1' || owner, '0'), coalesce(doc_id, -1))) AS repositories
+    FROM candidates JOIN texts USING (doc_row) GROUP BY value),
+judged AS (
+    SELECT c.*, kind || ':' || start || ':' || stop AS span,
+           owners >= {EXAMPLE_OWNERS} OR (owners > 1 AND repositories >= {EXAMPLE_REPOSITORIES}) AS example
+    FROM candidates c JOIN frequency USING (value)),
+listed AS (
+    SELECT doc_row, count(*) FILTER (WHERE kind = 'assign') AS n_assign, count(*) FILTER (WHERE kind = 'access') AS n_access,
+           count(*) FILTER (WHERE kind = 'hex') AS n_hex,
+           string_agg(span, ',' ORDER BY start, kind_no) FILTER (WHERE kind <> 'opaque') AS base,
+           string_agg(span, ',' ORDER BY start, kind_no) FILTER (WHERE kind <> 'opaque' OR NOT example) AS spans,
+           count(*) FILTER (WHERE NOT example) AS n_live, count(*) FILTER (WHERE example) AS n_example
+    FROM judged GROUP BY doc_row)
+SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex,
+       sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans, coalesce(n_live, 0) AS n_live, coalesce(n_example, 0) AS n_example
+FROM texts LEFT JOIN listed USING (doc_row)
+"""
+
 ORACLES = {
+    "op8_secrets": SECRETS,
     "op12_hard_negatives": HARD_NEGATIVES,
     "op4_chat": CHAT,
     "op9_mixing": MIXING,
