@@ -225,6 +225,17 @@ _RULES = [
     *[f"unique {table}" for table in UNIQUE_PAIRS],
     *[f"reference {child}.{column}" for child, column, _ in REFERENCES],
 ]
+_LISTS = "lists AS (SELECT k.row_ord AS card_id, coalesce(list(i.item) FILTER (WHERE i.item IS NOT NULL), []) AS held FROM kept k LEFT JOIN i ON i.row_ord = k.row_ord GROUP BY k.row_ord)"
+
+
+def held(column: str, condition: str) -> str:
+    return with_(STAGING, KEPT, items("i", column), _LISTS) + f"SELECT card_id FROM lists WHERE {condition}"
+
+
+ORACLES["cards_with_all"] = held("types", "list_has_all(held, ['Artifact', 'Creature'])")
+ORACLES["cards_with_none"] = held("keywords", "NOT list_has_any(held, ['Ability1', 'Ability4'])")
+ORACLES["cards_with_only"] = held("colorIdentity", "list_contains(held, 'W') AND list_has_all(['W', 'U'], held)")
+ORACLES["stream_item_bridge"] = ORACLES["bridge_type"]
 ORACLES["ordinals_assigned"] = """SELECT o_orderkey, row_number() OVER (ORDER BY o_orderdate, o_orderkey) - 1 AS row_ord FROM orders"""
 ORACLES["load_rejected"] = with_(STAGING) + """
     SELECT row_ord, CASE WHEN row_ord % 97 = 0 THEN 'no uuid' WHEN row_ord % 89 = 0 THEN 'power out of range'

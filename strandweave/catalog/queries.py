@@ -14,15 +14,16 @@ from strandweave.operators import costs, quality
 from strandweave.operators.aggregates import joined_names
 from strandweave.operators.first_wins import first_rows
 from strandweave.operators.ordinals import assign_ordinals
+from strandweave.plans.containment import cards_with, index_lists
 from strandweave.plans.load import Load, compact_model, load_batch, rejected_records
 from strandweave.plans.model import PROFILE_VIEW, Model, bridge_of, open_model
 from strandweave.plans import profile as profiles
 from strandweave.plans.profile import PROFILE_LISTS, card_profile, profile
-from strandweave.plans.schema import COLOR, LIST_COLUMNS, ListColumn
+from strandweave.plans.schema import ABILITY, COLOR, LIST_COLUMNS, TYPE, ListColumn
 from strandweave.plans.synthetic import staging_from_orders
 from strandweave.sources.csv import stage_csv
 from strandweave.sources.store import SegmentStore
-from strandweave.streaming import changes, current_totals, first_keys, latest_totals, list_items, load_stream, running_totals, write_changes, write_totals
+from strandweave.streaming import changes, current_totals, first_keys, item_bridge, latest_totals, list_items, load_stream, running_totals, write_changes, write_item_bridge, write_totals
 from strandweave.tables import Table, Workspace
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -193,6 +194,24 @@ def loaded_model(spark: SparkSession, sf_dir: str) -> Model:
     return open_model(spark, store, workspace)
 
 
+def _indexed_cards(column: ListColumn, **conditions) -> Query:
+    """Cards of the published model by what a list holds, from its bitmaps."""
+
+    def run(spark, sf_dir):
+        workspace = Workspace(spark)
+        store = SegmentStore(spark, workspace.folder("store"))
+        load_batch(store, staging(spark, sf_dir), workspace, replace=True)
+        index_lists(store)
+        return cards_with(store, column, **conditions)
+
+    return run
+
+
+QUERIES["cards_with_all"] = _indexed_cards(TYPE, all_of=["Artifact", "Creature"])
+QUERIES["cards_with_none"] = _indexed_cards(ABILITY, none_of=["Ability1", "Ability4"])
+QUERIES["cards_with_only"] = _indexed_cards(COLOR, all_of=["W"], only=["W", "U"])
+
+
 @query
 def profile_by_id(spark, sf_dir):
     """One card of the published model; the filter reaches every scan."""
@@ -394,6 +413,20 @@ def stream_tokens(spark, sf_dir):
     return _finish(first_keys(items, "item"), Workspace(spark))
 
 
+@query
+def stream_item_bridge(spark, sf_dir):
+    """Types of the kept records in three micro-batches, as bridge rows with ids."""
+    workspace = Workspace(spark)
+    records = first_rows(staging(spark, sf_dir), "uuid").select(ROW_ORD, "types")
+    third = records.agg((F.max(ROW_ORD) / 3).cast("long") + 1).head()[0]
+    incoming, path, checkpoint = (workspace.folder(name) for name in ("incoming", "bridge", "checkpoint"))
+    for part in range(3):
+        records.where(F.floor(F.col(ROW_ORD) / third) == part).write.mode("append").parquet(incoming)
+        stream = spark.readStream.schema(records.schema).parquet(incoming)
+        write_item_bridge(stream, "types", path, checkpoint, fold=2).awaitTermination()
+    return item_bridge(spark, path).select(F.col("owner").alias("card_id"), F.col("item_id").alias("card_type_id"))
+
+
 @query
 def stream_incremental_load(spark, sf_dir):
     """Staging written in record order as files, loaded file group by file group from a stream."""

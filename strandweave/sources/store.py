@@ -100,6 +100,10 @@ class SegmentStore:
         """Whether a segment holds any rows' folder of ``table``; some tables are written only when needed."""
         return self._filesystem().exists(self._path("tables", table, f"segment={segment}"))
 
+    def complete(self, segment: str, table: str) -> bool:
+        """Whether a segment's folder of ``table`` was written to the end."""
+        return self._filesystem().exists(self._path("tables", table, f"segment={segment}", "_SUCCESS"))
+
     def drop(self, segment: str, table: str) -> None:
         """Delete a segment's scratch table."""
         self._filesystem().delete(self._path("tables", table, f"segment={segment}"), True)

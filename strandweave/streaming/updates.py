@@ -48,11 +48,11 @@ def changes(stream: DataFrame, key: str, place: str, group: str, value: Column,
     return placed.groupBy("key").applyInPandasWithState(_follow, CHANGES, _STATE, "update", GroupStateTimeout.NoTimeout)
 
 
-def _folder(path: str, kind: str, number: int) -> str:
+def batch_folder(path: str, kind: str, number: int) -> str:
     return f"{path}/{kind}/batch={number}"
 
 
-def _written(spark: SparkSession, path: str, kind: str) -> list[int]:
+def written_batches(spark: SparkSession, path: str, kind: str) -> list[int]:
     """Numbers of the batches that were written to the end."""
     folder = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{kind}")
     files = folder.getFileSystem(spark._jsc.hadoopConfiguration())
@@ -66,12 +66,12 @@ def _summed(rows: DataFrame) -> DataFrame:
     return rows.groupBy("group").agg(F.sum("change").alias("change"), F.sum("rows").alias("rows"))
 
 
-def _before(spark: SparkSession, path: str, number: int) -> tuple[list[str], int]:
-    """Folders that hold all changes before batch ``number``: the last sums and what came after them."""
-    folds = [n for n in _written(spark, path, "sums") if n < number]
+def folders_before(spark: SparkSession, path: str, number: int, whole: str = "sums", part: str = "changes") -> tuple[list[str], int]:
+    """Folders that hold all there was before batch ``number``: the last sums and what came after them."""
+    folds = [n for n in written_batches(spark, path, whole) if n < number]
     base = folds[-1] if folds else -1
-    later = [_folder(path, "changes", n) for n in _written(spark, path, "changes") if base < n < number]
-    return [_folder(path, "sums", base)] * bool(folds) + later, base
+    later = [batch_folder(path, part, n) for n in written_batches(spark, path, part) if base < n < number]
+    return [batch_folder(path, whole, base)] * bool(folds) + later, base
 
 
 def write_changes(stream: DataFrame, path: str, checkpoint: str, fold: int = FOLD, **trigger) -> StreamingQuery:
@@ -79,10 +79,10 @@ def write_changes(stream: DataFrame, path: str, checkpoint: str, fold: int = FOL
 
     def write(batch: DataFrame, number: int) -> None:
         spark = batch.sparkSession
-        _summed(batch).write.mode("overwrite").parquet(_folder(path, "changes", number))
+        _summed(batch).write.mode("overwrite").parquet(batch_folder(path, "changes", number))
         if number % fold == fold - 1:
-            folders, _ = _before(spark, path, number)
-            _summed(spark.read.schema(CHANGES).parquet(*folders, _folder(path, "changes", number))).write.mode("overwrite").parquet(_folder(path, "sums", number))
+            folders, _ = folders_before(spark, path, number)
+            _summed(spark.read.schema(CHANGES).parquet(*folders, batch_folder(path, "changes", number))).write.mode("overwrite").parquet(batch_folder(path, "sums", number))
 
     writer = stream.writeStream.outputMode("update").option("checkpointLocation", checkpoint)
     return writer.foreachBatch(write).trigger(**(trigger or {"availableNow": True})).start()
@@ -90,7 +90,7 @@ def write_changes(stream: DataFrame, path: str, checkpoint: str, fold: int = FOL
 
 def current_totals(spark: SparkSession, path: str, scale: int = 4) -> DataFrame:
     """(group, total, rows) as of the last batch; a group that all its rows have left is gone."""
-    folders, _ = _before(spark, path, 1 << 62)
+    folders, _ = folders_before(spark, path, 1 << 62)
     rows = spark.read.schema(CHANGES).parquet(*folders) if folders else spark.createDataFrame([], CHANGES)
     total = (F.col("change").cast("decimal(38,0)") / F.lit(10 ** scale)).cast(f"decimal(38,{scale})")
     return _summed(rows).where("rows > 0").select("group", total.alias("total"), "rows")
@@ -98,9 +98,9 @@ def current_totals(spark: SparkSession, path: str, scale: int = 4) -> DataFrame:
 
 def vacuum_changes(spark: SparkSession, path: str) -> None:
     """Delete folders that the last sums hold already, but for the batch they end with; no reader may be using them."""
-    _, base = _before(spark, path, 1 << 62)
+    _, base = folders_before(spark, path, 1 << 62)
     for kind in ("changes", "sums"):
-        for number in _written(spark, path, kind):
+        for number in written_batches(spark, path, kind):
             if number < base:
-                folder = spark._jvm.org.apache.hadoop.fs.Path(_folder(path, kind, number))
+                folder = spark._jvm.org.apache.hadoop.fs.Path(batch_folder(path, kind, number))
                 folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
