@@ -1,20 +1,27 @@
 """Personal data: four fixed kinds, and more of it by bootstrapped contextual extraction.
 
-The fixed kinds are the seeds.  The two words before a seed make a lexical pattern; patterns
-that stand before several different seeds are looked up in all texts, where each occurrence
-shows a seed, an unseen token shaped like an identifier, or something else.  Spark scores the
+The fixed kinds are the seeds.  The two words before a seed make a lexical pattern; a pattern
+that stands before several different seeds is looked up in all texts, where each occurrence
+shows a seed, an unseen token shaped like an identifier, or a plain word.  Spark scores the
 graph of patterns and instances in rounds: a pattern is worth the scores of what it shows over
 all that it shows, an unseen instance is worth what its patterns make likely.  Unseen instances
 of high score, shown by patterns of high score, become spans too.
+
+Seeds and look-alikes are few and are kept with their patterns for the whole corpus.  Plain words
+are many, and are counted by growing parts of the corpus: a pattern is left out as soon as its
+plain words prove that seeds and look-alikes are too small a share of what it shows.
 """
 
 from __future__ import annotations
 
 import re
-from bisect import bisect_left, bisect_right
+import zlib
+from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterator
+from functools import reduce
 
+import numpy as np
 import pandas as pd
 import xxhash
 from pyspark.sql import DataFrame, functions as F
@@ -32,18 +39,24 @@ _IP = re.compile(r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++")
 _CARD = re.compile(r"[0-9](?:[ -]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
 _DIGITS = re.compile(r"[0-9]")
+_SIGN = re.compile(r"[0-9@]")  # in every word where a span starts, and in every look-alike
 _WORD = re.compile(r"[^ \t\n\x0b\x0c\r]+")
 _EDGES = ".,;:!?()[]{}<>\"'"
 
 PATTERN_BITS = 1 << 22
 LEAST_SEEDS = 3
-# A pattern must stand before one in so many of all seeds at least, whatever the corpus' size,
-# which bounds the patterns by the same number.
-MOST_PATTERNS = 2000
+# Seeds and look-alikes must be this share at least of the different values that a pattern shows;
+# its score cannot be above it.
+LEAST_SHARE = 0.05
+# Plain words are counted in so many parts of the rows: the first ones, then up to these.
+PARTS = 64
+STEPS = (1, 8, PARTS)
 LEAST_SCORE = 0.6
 ROUNDS = 3
 LEAST_LENGTH = 5
 MEMO = 1 << 16
+HELD = 1 << 18
+UNBOUNDED = 16
 
 
 def _luhn(digits: str) -> bool:
@@ -89,18 +102,38 @@ def _pattern(before: str, last: str) -> int:
     return _hash(f"{before.strip(_EDGES).lower()} {last.strip(_EDGES).lower()}")
 
 
-def seeds(text: str, spans: list[tuple[int, int, int]]) -> list[int]:
-    """Pattern and value of every seed that has two words before it: p1, v1, p2, v2 ..."""
-    if not spans:
+def _identifiers(word: str, begin: int, spans: list[tuple[int, int]], starts: list[int]) -> tuple[list[tuple[int, int]], tuple[int, int] | None]:
+    """The spans that start in a word, or else the place of the look-alike it holds; a plain word has neither."""
+    first, after = bisect_left(starts, begin), bisect_left(starts, begin + len(word))
+    if first < after:
+        return spans[first:after], None
+    inside = word.strip(_EDGES)
+    if len(inside) < LEAST_LENGTH or not _SIGN.search(inside) or (first and spans[first - 1][1] > begin):
+        return [], None
+    begin += word.index(inside)
+    return [], (begin, begin + len(inside))
+
+
+def contexts(text: str, found: list[tuple[int, int, int]]) -> list[int]:
+    """Pattern, instance, start and end of every seed (-1, -1) and look-alike that has two words before it."""
+    if not _SIGN.search(text):
         return []
     words = [(m.start(), m.group()) for m in _WORD.finditer(text)]
-    starts = [start for start, _ in words]
-    found = []
-    for _, start, end in spans:
-        at = bisect_right(starts, start) - 1
-        if at >= 2:
-            found += (_pattern(words[at - 2][1], words[at - 1][1]), _hash(text[start:end].lower()))
-    return found
+    spans = sorted((start, end) for _, start, end in found)
+    starts = [start for start, _ in spans]
+    rows = []
+    for at in range(2, len(words)):
+        begin, word = words[at]
+        if not _SIGN.search(word):
+            continue
+        known, alike = _identifiers(word, begin, spans, starts)
+        if known or alike:
+            pattern = _pattern(words[at - 2][1], words[at - 1][1])
+            for start, end in known:
+                rows += (pattern, _hash(text[start:end].lower()), -1, -1)
+            if alike:
+                rows += (pattern, _hash(text[slice(*alike)].lower()), *alike)
+    return rows
 
 
 def _extract(texts: pd.Series) -> pd.DataFrame:
@@ -110,27 +143,26 @@ def _extract(texts: pd.Series) -> pd.DataFrame:
         spans = base_spans(text)
         counts = Counter(kind for kind, _, _ in spans)
         joined = ",".join(f"{KINDS[kind]}:{start}:{end}" for kind, start, end in spans)
-        rows.append((joined, *(counts[k] for k in range(4)), seeds(text, spans)))
-    return pd.DataFrame(rows, columns=["spans", *(f"n_{kind}" for kind in KINDS), "seeds"])
-
+        rows.append((joined, *(counts[k] for k in range(4)), contexts(text, spans)))
+    return pd.DataFrame(rows, columns=["spans", *(f"n_{kind}" for kind in KINDS), "contexts"])
 
-SHOWN = "file string, row bigint, start int, end int, pattern bigint, instance bigint, seed boolean, rest bigint"
 
+def _plain(packed: bytes):
+    """(pattern, word) of the plain words after the patterns that the table holds.
 
-def _shows(bits: list[bytes]):
-    """What stands after the patterns whose bit is set: seeds, look-alikes, and the other words."""
-    table = b"".join(bits)
-
-    def known(pattern: int) -> bool:
-        at = pattern % PATTERN_BITS
-        return table[at >> 3] >> (at & 7) & 1 == 1
+    The table gives a pattern's limit as a power of two.  A task says a word once, and of a pattern
+    no more than one word above its limit, which is all it takes to leave the pattern out.
+    """
 
     def show(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        sent: set[tuple[int, int, bool]] = set()  # what the task has said of its patterns: a bounded number of them
+        table = zlib.decompress(packed)
+        said: dict[int, set[int]] = {}
+        held = 0
+        full: set[int] = set()  # each has said more than its limit
         for batch in batches:
-            rows, seen, rest = [], set(), set()
+            rows = []
             memo: dict[tuple[str, str], int | None] = {}
-            for file, row, text in zip(batch["file"], batch["row"], batch["text"], strict=True):
+            for text in batch["text"]:
                 if not text:
                     continue
                 words = [(m.start(), m.group()) for m in _WORD.finditer(text)]
@@ -141,52 +173,81 @@ def _shows(bits: list[bytes]):
                     pair = (words[at - 2][1], words[at - 1][1])
                     if pair not in memo:
                         pattern = _pattern(*pair)
-                        memo[pair] = pattern if known(pattern) else None
+                        memo[pair] = pattern if table[pattern % PATTERN_BITS] and pattern not in full else None
                     pattern = memo[pair]
                     if pattern is None:
                         continue
-                    if starts is None:
-                        spans = sorted((s, e) for _, s, e in base_spans(text))
-                        starts = [s for s, _ in spans]
                     begin, word = words[at]
-                    end = begin + len(word)
-                    k = bisect_left(starts, begin)
-                    inside = word.strip(_EDGES)
-                    if k < len(starts) and starts[k] < end:
-                        seen.add((pattern, _hash(text[slice(*spans[k])].lower())))
-                    elif len(inside) >= LEAST_LENGTH and ("@" in inside or _DIGITS.search(inside)) and (k == 0 or spans[k - 1][1] <= begin):
-                        begin += word.index(inside)
-                        rows.append((file, row, begin, begin + len(inside), pattern, _hash(inside.lower()), False, None))
-                    else:
-                        rest.add((pattern, _hash((inside or word).lower())))
-            rows += [(None, None, None, None, pattern, value, True, None) for pattern, value in seen if (pattern, value, True) not in sent]
-            rows += [(None, None, None, None, pattern, None, False, value) for pattern, value in rest if (pattern, value, False) not in sent]
-            sent.update((pattern, value, True) for pattern, value in seen)
-            sent.update((pattern, value, False) for pattern, value in rest)
-            yield pd.DataFrame(rows, columns=["file", "row", "start", "end", "pattern", "instance", "seed", "rest"]).astype(
-                {"row": "Int64", "start": "Int32", "end": "Int32", "pattern": "int64", "instance": "Int64", "seed": "bool", "rest": "Int64"})
+                    if _SIGN.search(word):
+                        if starts is None:
+                            spans = sorted((start, end) for _, start, end in base_spans(text))
+                            starts = [start for start, _ in spans]
+                        if any(_identifiers(word, begin, spans, starts)):
+                            continue
+                    value = _hash((word.strip(_EDGES) or word).lower())
+                    mine = said.setdefault(pattern, set())
+                    if value in mine:
+                        continue
+                    mine.add(value)
+                    rows.append((pattern, value))
+                    held += 1
+                    power = table[pattern % PATTERN_BITS]
+                    if power < UNBOUNDED and len(mine) > 1 << power:
+                        full.add(pattern)
+                        held -= len(said.pop(pattern))
+                        memo[pair] = None
+                    if held > HELD:  # what was said may be said again: words are counted once
+                        said.clear()
+                        held = 0
+            yield pd.DataFrame(rows, columns=["pattern", "word"]).astype("int64")
 
     return show
 
 
-def _bits(patterns: DataFrame) -> list[bytes]:
-    """A filter of fixed size over the patterns' hashes: 128 pieces of 4 KB, whatever their number."""
+def _table(patterns: DataFrame) -> bytes:
+    """The patterns' limits by their hashes, of fixed size whatever their number: the power of two not below a limit."""
+    power = F.least(F.lit(UNBOUNDED), F.greatest(F.lit(1), F.ceil(F.log2(F.greatest(F.lit(1), "most"))))).cast("int").alias("power")
     place = (F.pmod("pattern", F.lit(PATTERN_BITS)) + 1).alias("place")  # pieces and places count from 1
     pieces = (
-        patterns.select(place).groupBy(F.bitmap_bucket_number("place").alias("piece"))
+        patterns.select(power, place).groupBy("power", F.bitmap_bucket_number("place").alias("piece"))
         .agg(F.bitmap_construct_agg(F.bitmap_bit_position("place")).alias("bits")).collect()
     )
-    empty = b"\0" * 4096
-    by_piece = {row.piece: bytes(row.bits) for row in pieces}
-    return [by_piece.get(k + 1, empty) for k in range(PATTERN_BITS // (8 * 4096))]
+    table = np.zeros(PATTERN_BITS, dtype=np.uint8)
+    for piece in sorted(pieces, key=lambda p: p.power):  # of patterns in one place the largest limit holds
+        bits = np.unpackbits(np.frombuffer(piece.bits, dtype=np.uint8), bitorder="little")
+        part = table[(piece.piece - 1) * len(bits):piece.piece * len(bits)]
+        part[bits == 1] = piece.power
+    return zlib.compress(table.tobytes(), 1)
 
 
-def _scores(shown: DataFrame, workspace: Workspace, rounds: int) -> tuple[DataFrame, DataFrame]:
-    """(pattern, score) and (instance, worth) of unseen instances, after some rounds over the graph."""
-    edges = workspace.write(shown.where("instance is not null").groupBy("pattern", "instance").agg(F.max("seed").alias("seed")), "edges")
-    rest = shown.groupBy("pattern").agg(F.countDistinct("rest").alias("rest"))  # different words, as seeds and instances are different values
+def _plain_words(source: DataFrame, patterns: DataFrame, workspace: Workspace) -> DataFrame:
+    """(pattern, rest): the number of different plain words after each pattern where it is at most ``most``; other patterns have no row.
+
+    A pattern that goes beyond in a part of the corpus is not looked up in the next, larger one.  One that
+    stays has few words in the parts before, so the words said grow with the seeds and look-alikes.
+    """
+    part = F.pmod(F.xxhash64("file", "row"), F.lit(PARTS))
+    said, low, alive = [], 0, patterns
+    for high in STEPS:
+        texts = source.where((part >= low) & (part < high)).select("text")
+        with settings(source.sparkSession, SMALL_BATCHES):
+            words = workspace.write(texts.mapInPandas(_plain(_table(alive)), "pattern bigint, word bigint"), "words")
+        said.append(words)
+        counted = reduce(DataFrame.unionByName, said).groupBy("pattern").agg(F.countDistinct("word").alias("rest"))
+        left = alive.select("pattern", "most").join(counted, "pattern", "left")  # the table lets others pass, they have no row here
+        left = left.select("pattern", "most", F.coalesce("rest", F.lit(0).cast("bigint")).alias("rest")).where("rest <= most")
+        saved = workspace.save(left, "alive")
+        alive, low = saved.df, high
+        if not saved.rows:
+            break
+    return alive.select("pattern", "rest")
+
+
+def _scores(edges: DataFrame, rest: DataFrame, workspace: Workspace, rounds: int) -> tuple[DataFrame, DataFrame]:
+    """(pattern, score) and (instance, worth) of unseen instances, after some rounds over the graph of the patterns in ``rest``."""
     is_seed = edges.groupBy("instance").agg(F.max("seed").alias("seed"))
-    edges = look_up(edges.drop("seed"), is_seed, "instance", {"seed": "seed"}, "pattern", workspace)
+    edges = edges.select("pattern", "instance").join(rest.select("pattern"), "pattern", "left_semi")
+    edges = look_up(edges, is_seed, "instance", {"seed": "seed"}, "pattern", workspace)
     edges = workspace.write(look_up(edges, rest, "pattern", {"rest": "rest"}, "instance", workspace), "graph")
     worth = F.lit(0.0)
     scored = edges
@@ -207,34 +268,36 @@ def _scores(shown: DataFrame, workspace: Workspace, rounds: int) -> tuple[DataFr
 
 
 def find_personal_data(docs: DataFrame, workspace: Workspace, least_seeds: int = LEAST_SEEDS, least_score: float = LEAST_SCORE, rounds: int = ROUNDS,
-                       most_patterns: int = MOST_PATTERNS) -> DataFrame:
+                       least_share: float = LEAST_SHARE) -> DataFrame:
     """One row per document: doc_id, counts per kind, base_sha256, spans (kind:start:end, code points).
 
     A null text is empty.  Repeated rows give repeated results, and their seeds count once, as
     support counts different values.  An empty table gives no rows.  Only id and text are read.
     """
     source = located(docs, workspace).select("file", "row", F.col("doc.doc_id").alias("doc_id"), F.col("doc.text").alias("text"))
-    extract = F.pandas_udf(_extract, ", ".join(["spans string", *(f"n_{kind} bigint" for kind in KINDS), "seeds array<bigint>"]))
+    extract = F.pandas_udf(_extract, ", ".join(["spans string", *(f"n_{kind} bigint" for kind in KINDS), "contexts array<bigint>"]))
     with settings(docs.sparkSession, SMALL_BATCHES):
         base = workspace.write(source.select("file", "row", "doc_id", extract("text").alias("x")).select("file", "row", "doc_id", "x.*"), "base")
 
-    numbers = F.filter(F.sequence(F.lit(0), F.size("seeds")), lambda k: 2 * k < F.size("seeds"))
-    pairs = base.where(F.size("seeds") > 0).select(F.explode(F.transform(
-        numbers, lambda k: F.struct(F.get("seeds", 2 * k).alias("pattern"), F.get("seeds", 2 * k + 1).alias("value")))).alias("s")).select("s.*")
-    pairs = workspace.save(pairs.distinct(), "seeds")  # a seed after two patterns counts for both
-    least = max(least_seeds, -(-pairs.rows // most_patterns))
-    supported = pairs.df.groupBy("pattern").agg(F.count(F.lit(1)).alias("seeds")).where(F.col("seeds") >= least)
-    patterns = workspace.save(supported.select("pattern"), "supported")
+    numbers = F.filter(F.sequence(F.lit(0), F.size("contexts")), lambda k: 4 * k < F.size("contexts"))
+    names = ("pattern", "instance", "start", "end")
+    shown = base.where(F.size("contexts") > 0).select("file", "row", F.explode(F.transform(
+        numbers, lambda k: F.struct(*[F.get("contexts", 4 * k + place).alias(name) for place, name in enumerate(names)]))).alias("s"))
+    shown = shown.select("file", "row", "s.pattern", "s.instance", F.col("s.start").cast("int").alias("start"), F.col("s.end").cast("int").alias("end"),
+                         (F.col("s.start") < 0).alias("seed"))
+    supported = shown.where("seed").groupBy("pattern").agg(F.countDistinct("instance").alias("seeds")).where(F.col("seeds") >= least_seeds)
+    supported = workspace.save(supported.select("pattern"), "supported")
     output = [F.col(f"n_{kind}") for kind in KINDS]
     digest = F.sha2("spans", 256).alias("base_sha256")
-    if not patterns.rows:
+    if not supported.rows:
         return base.select("doc_id", *output, digest, "spans")
-    shown = source.select("file", "row", "text").mapInPandas(_shows(_bits(patterns.df)), SHOWN)
-    with settings(docs.sparkSession, SMALL_BATCHES):
-        shown = workspace.write(shown, "shown")
-    exact = workspace.write(shown.join(patterns.df, "pattern", "left_semi"), "exact")  # the filter lets others pass
-    scores, worth = _scores(exact, workspace, rounds)
-    good = look_up(exact.where("file is not null"), scores.where(F.col("score") >= least_score), "pattern", {"score": "score"}, "row", workspace)
+    exact = workspace.write(shown.join(supported.df, "pattern", "left_semi"), "exact")
+    edges = workspace.write(exact.groupBy("pattern", "instance").agg(F.max("seed").alias("seed")), "edges")
+    most = F.floor(F.count(F.lit(1)) * ((1 - least_share) / least_share) + 1e-6).alias("most")
+    patterns = workspace.write(edges.groupBy("pattern").agg(most), "patterns")
+    rest = _plain_words(source, patterns, workspace)
+    scores, worth = _scores(edges, rest, workspace, rounds)
+    good = look_up(exact.where("not seed"), scores.where(F.col("score") >= least_score), "pattern", {"score": "score"}, "row", workspace)
     good = look_up(good.where("score is not null"), worth.where(F.col("worth") >= least_score), "instance", {"worth": "worth"}, "row", workspace)
     span = F.struct("start", "end")
     found = good.where("worth is not null").groupBy("file", "row").agg(F.array_sort(F.collect_set(span)).alias("more"))

@@ -1,6 +1,8 @@
 import hashlib
+import math
 import random
 import re
+from collections import defaultdict
 
 from strandweave.llm.pii import base_spans, find_personal_data
 from strandweave.tables import Workspace
@@ -76,3 +78,64 @@ def test_copies_of_documents_change_no_span(spark):
     found = {(r.doc_id, r.spans) for r in find_personal_data(docs, Workspace(spark)).collect()}
     once = {(r.doc_id, r.spans) for r in find_personal_data(docs.distinct(), Workspace(spark)).collect()}
     assert found == once and (200, "context:12:23") in found and len(found) == len(rows)
+
+
+def test_a_pattern_counts_however_many_other_seeds_there_are(spark):
+    draw = random.Random(3)
+    word = lambda: "".join(draw.choices("abcdefgh", k=6))
+    rows = [(i, " ".join(f"{word()} {word()} {word()}.{i}.{k}@mail.org" for k in range(100))) for i in range(100)]
+    rows += [(1000 + i, f"badge number was {i}@mail.org") for i in range(3)] + [(2000, "the badge number was member-7714 then")]
+    of = {r.doc_id: r.spans for r in find_personal_data(spark.createDataFrame(rows, "doc_id bigint, text string"), Workspace(spark)).collect()}
+    assert of[2000] == "context:21:32"
+
+
+def context_spans_by_hand(texts):
+    """Every pattern with three seeds, all it shows in all texts at once, scored in three rounds."""
+    shows, plain, places = defaultdict(dict), defaultdict(set), []
+    for number, text in enumerate(texts):
+        words = [(m.start(), m.group()) for m in re.finditer(r"\S+", text)]
+        spans = {start: end for _, start, end in base_spans(text)}
+        for (_, a), (_, b), (begin, word) in zip(words, words[1:], words[2:], strict=False):
+            pattern = (a, b)
+            if begin in spans:
+                shows[pattern][text[begin:spans[begin]]] = True
+            elif len(word) >= 5 and re.search("[0-9@]", word):
+                shows[pattern].setdefault(word, False)
+                places.append((number, begin, begin + len(word), pattern, word))
+            else:
+                plain[pattern].add(word)
+    supported = {p: seen for p, seen in shows.items() if sum(seen.values()) >= 3}
+    kept = {p: seen for p, seen in supported.items() if len(plain[p]) <= 19 * len(seen)}
+    seeds = {v for seen in supported.values() for v, seed in seen.items() if seed}
+    worth = {}
+    for _ in range(3):
+        score = {p: sum(1 if v in seeds else worth.get(v, 0) for v in seen) / (len(seen) + len(plain[p])) for p, seen in kept.items()}
+        worth = {v: 1 - math.prod(1 - score[p] for p, seen in kept.items() if v in seen) for seen in kept.values() for v in seen if v not in seeds}
+    found = defaultdict(set)
+    for number, start, end, p, word in places:
+        if score.get(p, 0) >= 0.6 and worth.get(word, 0) >= 0.6:
+            found[number].add((start, end))
+    return found, len(supported) - len(kept)
+
+
+def test_context_spans_equal_a_scan_of_all_texts_at_once(spark):
+    draw = random.Random(11)
+    first, second = [f"f{c}" for c in "abcdefgh"], [f"s{c}" for c in "abcdefgh"]
+    plain = ["".join(draw.choices("abcdefgh", k=5)) for _ in range(900)]
+    ids = [f"no-{draw.randrange(10**6)}" for _ in range(200)]
+    shares = {(a, b): draw.choice([(60, 30, 10), (5, 80, 5), (40, 10, 20), (2, 1, 300), (1, 0, 80)]) for a in first for b in second}
+
+    def triple():
+        pair = draw.choice(list(shares))
+        kind = draw.choices("sip", shares[pair])[0]
+        return " ".join((*pair, {"s": f"u{draw.randrange(500)}@x.org", "i": draw.choice(ids), "p": draw.choice(plain)}[kind]))
+
+    texts = [" ".join(triple() for _ in range(20)) for _ in range(1500)]
+    wanted, left_out = context_spans_by_hand(texts)
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string").repartition(5)
+    got = {r.doc_id: r.spans for r in find_personal_data(docs, Workspace(spark)).collect()}
+    assert left_out > 5 and sum(map(len, wanted.values())) > 500
+    for number in range(len(texts)):
+        base = joined(texts[number])
+        more = ",".join(f"context:{s}:{e}" for s, e in sorted(wanted[number]))
+        assert got[number] == ",".join(filter(None, (base, more))), number
