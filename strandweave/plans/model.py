@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 from functools import cached_property, reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -24,6 +24,7 @@ from strandweave.sources.store import SegmentStore
 from strandweave.tables import Table, Workspace
 
 PROFILE_VIEW = "vw_card_profile"
+IS_PARENT = 1 << len(REFERENCES)  # above the bits of all references
 
 
 class Model:
@@ -69,24 +70,23 @@ class Model:
         """Every integrity rule with the number of rows that break it.
 
         Each table is read once and gives a row per key, reference and id, and one per null it
-        should not hold; one shuffle of these, reduced in the tasks, settles all rules.
+        should not hold; one shuffle of these, reduced in the tasks, settles all rules.  Rules are
+        numbers till the faults are counted, so a row that breaks none costs two comparisons.
         """
         marks = reduce(DataFrame.unionByName, [
             rows for rows in (_marks(name, df) for name, df in self.tables.items()) if rows is not None])
-        settled = marks.groupBy("space", "key").agg(
-            F.count(F.lit(1)).alias("n"), F.max("is_parent").alias("is_parent"), F.bit_or("users").alias("users"))
-        kind, rule = F.substring("space", 1, 1), F.substring("space", 3, 1000)
-        dangling = [F.when((F.col("space") == f"r {parent}") & ~F.col("is_parent") & (F.col("users").bitwiseAND(1 << place) != 0), name)
-                    for parent, names in _users().items() for place, name in enumerate(names)]
-        broken = settled.select(F.explode(F.array(
-            F.when(kind == "n", F.struct(F.concat(F.lit("not null "), rule).alias("rule"), F.col("n").alias("rows"))),
-            F.when((kind == "u") & (F.col("n") > 1), F.struct(F.concat(F.lit("unique "), rule).alias("rule"), F.lit(1).cast("long").alias("rows"))),
-            *[F.when(name.isNotNull(), F.struct(F.concat(F.lit("reference "), name).alias("rule"), F.lit(1).cast("long").alias("rows"))) for name in dangling],
-        )).alias("b")).where("b IS NOT NULL")
-        counted = broken.groupBy("b.rule").agg(F.sum("b.rows").alias("violations"))
-        spark = marks.sparkSession
-        rules = spark.range(1).select(F.explode(F.array(*[F.lit(name) for name in _rules()])).alias("rule"))
-        return rules.join(counted, "rule", "left").select("rule", F.coalesce("violations", F.lit(0).cast("long")).alias("violations"))
+        settled = marks.groupBy("space", "id", "other", "text").agg(F.count(F.lit(1)).alias("n"), F.bit_or("users").alias("users"))
+        names = _rules()
+        nulls, references = sum(map(len, REQUIRED.values())), len(names) - len(REFERENCES)
+        is_null, is_reference = F.col("space") < nulls, F.col("space") >= references
+        is_broken = is_null | F.when(is_reference, F.col("users") < IS_PARENT).otherwise(F.col("n") > 1)
+        faults = settled.where(is_broken).groupBy("space", "users").agg(F.sum(F.when(is_null, F.col("n")).otherwise(F.lit(1).cast("long"))).alias("rows"))
+        # From here on there is a row per rule or set of references at most.
+        used = F.filter(F.sequence(F.lit(0), F.lit(len(REFERENCES) - 1)), lambda place: F.getbit("users", place) == 1)
+        broken = F.when(is_reference, F.transform(used, lambda place: place + references)).otherwise(F.array("space"))
+        counted = faults.select(F.explode(broken).alias("number"), "rows").groupBy("number").agg(F.sum("rows").alias("violations"))
+        rules = marks.sparkSession.range(1).select(F.posexplode(F.array(*[F.lit(name) for name in names])).alias("number", "rule"))
+        return rules.join(F.broadcast(counted), "number", "left").select("rule", F.coalesce("violations", F.lit(0).cast("long")).alias("violations"))
 
 
 def _rules() -> list[str]:
@@ -98,39 +98,35 @@ def _rules() -> list[str]:
     ]
 
 
-def _users() -> dict[str, list[str]]:
-    """The references to each parent table; a reference's place is its bit."""
-    users: dict[str, list[str]] = {}
-    for child, column, parent in REFERENCES:
-        users.setdefault(parent, []).append(f"{child}.{column}")
-    return users
-
-
 def _marks(table: str, df: DataFrame) -> DataFrame | None:
-    """(space, key, is_parent, users) of one table, in one pass; null where nothing is to be said."""
-
-    def mark(space: str, key: Column, is_parent: bool = False, users: int = 0) -> Column:
-        return F.struct(F.lit(space).alias("space"), key.alias("key"), F.lit(is_parent).alias("is_parent"), F.lit(users).cast("long").alias("users"))
-
-    def text(column: str) -> Column:
-        return F.col(column).cast("string")
-
-    marks = [F.when(F.col(column).isNull(), mark(f"n {table}.{column}", F.lit(""))) for column in REQUIRED.get(table, ())]
+    """(space, id, other, text, users) of one table, in one pass; null where nothing is to be said.
+
+    The space is a rule's number, or stands for a parent table behind all rules: its ids meet the
+    references to it, whose places are the bits of ``users``.
+    """
+    number = {rule: place for place, rule in enumerate(_rules())}
+    parents = {parent: len(number) + place for place, parent in enumerate(dict.fromkeys(parent for _, _, parent in REFERENCES))}
+    types = dict(df.dtypes)
+
+    def mark(space: int, columns: Sequence[str] = (), users: int = 0) -> Column:
+        ids = [F.col(column) for column in columns if types[column] != "string"]
+        texts = [F.col(column) for column in columns if types[column] == "string"]
+        keys = zip(("id", "other", "text"), ("long", "long", "string"), (ids + 2 * [F.lit(None)])[:2] + (texts + [F.lit(None)])[:1], strict=True)
+        return F.struct(F.lit(space).alias("space"), *[key.cast(kind).alias(name) for name, kind, key in keys], F.lit(users).cast("long").alias("users"))
+
+    marks = [F.when(F.col(column).isNull(), mark(number[f"not null {table}.{column}"])) for column in REQUIRED.get(table, ())]
     if table in UNIQUE:
         column = UNIQUE[table]
-        marks.append(F.when(F.col(column).isNotNull(), mark(f"u {table}.{column}", text(column))))
+        marks.append(F.when(F.col(column).isNotNull(), mark(number[f"unique {table}.{column}"], [column])))
     if table in UNIQUE_PAIRS:
         first, second = UNIQUE_PAIRS[table]
-        pair = F.to_json(F.struct(F.col(first).alias("a"), F.col(second).alias("b")))
-        marks.append(F.when(F.col(first).isNotNull() & F.col(second).isNotNull(), mark(f"u {table}", pair)))
-    users = _users()
-    for child, column, parent in REFERENCES:
+        marks.append(F.when(F.col(first).isNotNull() & F.col(second).isNotNull(), mark(number[f"unique {table}"], [first, second])))
+    for place, (child, column, parent) in enumerate(REFERENCES):
         if child == table:
-            bit = 1 << users[parent].index(f"{child}.{column}")
-            marks.append(F.when(F.col(column).isNotNull(), mark(f"r {parent}", text(column), users=bit)))
-    if table in users:
+            marks.append(F.when(F.col(column).isNotNull(), mark(parents[parent], [column], 1 << place)))
+    if table in parents:
         own = next(column for _, column, parent in REFERENCES if parent == table)
-        marks.append(mark(f"r {table}", text(own), is_parent=True))
+        marks.append(mark(parents[table], [own], IS_PARENT))
     if not marks:
         return None
     return df.select(F.explode(F.array(*marks)).alias("m")).where("m IS NOT NULL").select("m.*")

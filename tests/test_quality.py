@@ -50,3 +50,26 @@ def test_rules_of_a_broken_model(spark, workspace):
     }
     plan = model.violations()._jdf.queryExecution().executedPlan().toString()
     assert plan.count("FileScan parquet") <= 25 and plan.count("Exchange hashpartitioning") <= 3
+
+
+def test_faults_are_counted_before_rules_are_named(spark, workspace):
+    """Rows of the large aggregate meet a filter and a count only; ids missing for several references count for each."""
+    store = SegmentStore(spark, workspace.folder("store"))
+    load_batch(store, frame(spark, [record("a", manaCost="{1}{G}", types="T,U"), record("b", types="T", keywords="k")]), workspace)
+    model = open_model(spark, store, workspace)
+    sections = model.violations()._jdf.queryExecution().executedPlan().toString().split("Exchange hashpartitioning")
+    assert "Generate" in sections[-1] and "Generate" not in sections[-2]
+
+    def more(table, *rows):
+        return model[table].unionByName(spark.createDataFrame(rows, model[table].schema))
+
+    tables = dict(model.tables)
+    tables["mana_cost_mana_pip"] = more("mana_cost_mana_pip", (500, 700, 900), (501, 701, 900))
+    tables["card"] = more("card", *[(id, f"x{id}", "n", cost, None, None, None, None, None, None, None, None) for id, cost in ((50, 700), (51, 700), (52, 702))])
+    tables["card_name_set_bridge"] = more("card_name_set_bridge", ("n", 800), ("n", 800), ("n", 801), ("m", 800), (None, 800), (None, 800))
+    broken = Model(tables, workspace, {}).violations()
+    assert {row.rule: row.violations for row in broken.collect() if row.violations} == {
+        "not null card.oracle_text_id": 3, "not null card.artist_id": 3, "not null card.set_id": 3, "not null card.rarity_id": 3,
+        "not null card_name_set_bridge.card_name": 2, "unique card_name_set_bridge": 1, "reference card_name_set_bridge.set_id": 2,
+        "reference mana_cost_mana_pip.mana_cost_id": 2, "reference mana_cost_mana_pip.mana_pip_id": 1, "reference card.mana_cost_id": 2,
+    }
