@@ -9,17 +9,21 @@ of high score, shown by patterns of high score, become spans too.
 
 Seeds and look-alikes are few and are kept with their patterns for the whole corpus.  Plain words
 are many, and are counted by growing parts of the corpus: a pattern is left out as soon as its
-plain words prove that seeds and look-alikes are too small a share of what it shows.
+plain words prove that seeds and look-alikes are too small a share of what it shows.  A pattern's
+hash is made of its two words' hashes, so tasks hash a word once and look patterns up in arrays;
+only words that stand after a pattern are taken one by one.
 """
 
 from __future__ import annotations
 
 import re
 import zlib
+from array import array
 from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterator
 from functools import reduce
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -40,8 +44,10 @@ _CARD = re.compile(r"[0-9](?:[ -]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
 _DIGITS = re.compile(r"[0-9]")
 _SIGN = re.compile(r"[0-9@]")  # in every word where a span starts, and in every look-alike
+_SIGN_BYTES = re.compile(rb"[0-9@]")
 _WORD = re.compile(r"[^ \t\n\x0b\x0c\r]+")
 _EDGES = ".,;:!?()[]{}<>\"'"
+_EDGE_BYTES = _EDGES.encode()
 
 PATTERN_BITS = 1 << 22
 LEAST_SEEDS = 3
@@ -54,9 +60,11 @@ STEPS = (1, 8, PARTS)
 LEAST_SCORE = 0.6
 ROUNDS = 3
 LEAST_LENGTH = 5
-MEMO = 1 << 16
+MEMO = 1 << 18
+CHUNK = 1 << 16
 HELD = 1 << 18
 UNBOUNDED = 16
+ORDER = 0x9E3779B97F4A7C15  # odd: tells the first word of a pattern from the second
 
 
 def _luhn(digits: str) -> bool:
@@ -93,13 +101,29 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
     return found
 
 
-def _hash(text: str) -> int:
-    value = xxhash.xxh64_intdigest(text.encode("utf-8", "surrogatepass"))
+def _signed(value: int) -> int:
     return value - (1 << 64) if value >> 63 else value
 
 
+def _hash(text: str) -> int:
+    return _signed(xxhash.xxh64_intdigest(text.encode("utf-8", "surrogatepass")))
+
+
 def _pattern(before: str, last: str) -> int:
-    return _hash(f"{before.strip(_EDGES).lower()} {last.strip(_EDGES).lower()}")
+    before, last = (_hash(word.strip(_EDGES).lower()) for word in (before, last))
+    return _signed((before * ORDER + last) % (1 << 64))
+
+
+class _Words(dict):
+    """Numbers of the lower-cased words met, which are UTF-8; their hashes in patterns stand in an array by number."""
+
+    def __init__(self):
+        self.parts = array("Q")
+
+    def __missing__(self, word: bytes) -> int:
+        self.parts.append(xxhash.xxh64_intdigest(word.strip(_EDGE_BYTES)))
+        number = self[word] = len(self)
+        return number
 
 
 def _identifiers(word: str, begin: int, spans: list[tuple[int, int]], starts: list[int]) -> tuple[list[tuple[int, int]], tuple[int, int] | None]:
@@ -147,6 +171,55 @@ def _extract(texts: pd.Series) -> pd.DataFrame:
     return pd.DataFrame(rows, columns=["spans", *(f"n_{kind}" for kind in KINDS), "contexts"])
 
 
+def _chunks(texts: pd.Series) -> Iterator[tuple[list[str], list[list[bytes]]]]:
+    """Texts that are not empty with their words in lower case, several at a time.
+
+    Bytes are split at the blanks of _WORD, and no blank or edge has or lends a case, so the words are
+    those that _WORD finds, each in lower case.
+    """
+    some, words, count = [], [], 0
+    for text in texts:
+        if text:
+            some.append(text)
+            words.append(text.lower().encode("utf-8", "surrogatepass").split())
+            count += len(words[-1])
+        if count > CHUNK:
+            yield some, words
+            some, words, count = [], [], 0
+    if count:
+        yield some, words
+
+
+def _shown(texts: list[str], words: list[list[bytes]], known: _Words, table: np.ndarray) -> Iterator[tuple[int, int]]:
+    """(pattern, word) of the plain words after patterns of the table, each once."""
+    sizes = np.array([len(w) for w in words])
+    firsts = np.cumsum(sizes) - sizes
+    numbers = np.fromiter(map(known.__getitem__, chain.from_iterable(words)), dtype=np.int64, count=sizes.sum())
+    parts = np.array(known.parts)[numbers]
+    patterns = parts[:-2] * np.uint64(ORDER) + parts[1:-1]  # of the words from the third on
+    at = np.flatnonzero(table[patterns % np.uint64(PATTERN_BITS)]) + 2
+    of = np.searchsorted(firsts, at, "right") - 1
+    inside = at - firsts[of] >= 2  # a text's first two words have no pattern
+    at, of = at[inside], of[inside]
+    place = at - firsts[of]
+    _, some, which = np.unique(numbers[at], return_index=True, return_inverse=True)
+    different = [words[of[k]][place[k]] for k in some]
+    values = np.array([xxhash.xxh64_intdigest(word.strip(_EDGE_BYTES) or word) for word in different], dtype=np.uint64)[which]
+    signs = np.array([_SIGN_BYTES.search(word) is not None for word in different], dtype=bool)[which]
+    plain = ~signs
+    last = None
+    for k in np.flatnonzero(signs):
+        if last != of[k]:
+            last = of[k]
+            spans = sorted((start, end) for _, start, end in base_spans(texts[last]))
+            starts = [start for start, _ in spans]
+            places = [(m.start(), m.group()) for m in _WORD.finditer(texts[last])]
+        begin, word = places[place[k]]
+        plain[k] = not any(_identifiers(word, begin, spans, starts))
+    found = pd.DataFrame({"pattern": patterns[at - 2][plain].view(np.int64), "word": values[plain].view(np.int64)}).drop_duplicates()
+    return zip(found["pattern"].tolist(), found["word"].tolist(), strict=True)
+
+
 def _plain(packed: bytes):
     """(pattern, word) of the plain words after the patterns that the table holds.
 
@@ -155,36 +228,19 @@ def _plain(packed: bytes):
     """
 
     def show(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        table = zlib.decompress(packed)
+        table = np.frombuffer(zlib.decompress(packed), dtype=np.uint8)
         said: dict[int, set[int]] = {}
         held = 0
         full: set[int] = set()  # each has said more than its limit
+        known = _Words()
         for batch in batches:
             rows = []
-            memo: dict[tuple[str, str], int | None] = {}
-            for text in batch["text"]:
-                if not text:
-                    continue
-                words = [(m.start(), m.group()) for m in _WORD.finditer(text)]
-                starts = None
-                if len(memo) > MEMO:
-                    memo.clear()
-                for at in range(2, len(words)):
-                    pair = (words[at - 2][1], words[at - 1][1])
-                    if pair not in memo:
-                        pattern = _pattern(*pair)
-                        memo[pair] = pattern if table[pattern % PATTERN_BITS] and pattern not in full else None
-                    pattern = memo[pair]
-                    if pattern is None:
+            for texts, words in _chunks(batch["text"]):
+                if len(known) > MEMO:
+                    known = _Words()
+                for pattern, value in _shown(texts, words, known, table):
+                    if pattern in full:
                         continue
-                    begin, word = words[at]
-                    if _SIGN.search(word):
-                        if starts is None:
-                            spans = sorted((start, end) for _, start, end in base_spans(text))
-                            starts = [start for start, _ in spans]
-                        if any(_identifiers(word, begin, spans, starts)):
-                            continue
-                    value = _hash((word.strip(_EDGES) or word).lower())
                     mine = said.setdefault(pattern, set())
                     if value in mine:
                         continue
@@ -192,10 +248,9 @@ def _plain(packed: bytes):
                     rows.append((pattern, value))
                     held += 1
                     power = table[pattern % PATTERN_BITS]
-                    if power < UNBOUNDED and len(mine) > 1 << power:
+                    if power < UNBOUNDED and len(mine) > 1 << int(power):
                         full.add(pattern)
                         held -= len(said.pop(pattern))
-                        memo[pair] = None
                     if held > HELD:  # what was said may be said again: words are counted once
                         said.clear()
                         held = 0

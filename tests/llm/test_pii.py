@@ -2,8 +2,12 @@ import hashlib
 import math
 import random
 import re
+import zlib
 from collections import defaultdict
 
+import pandas as pd
+
+from strandweave.llm import pii
 from strandweave.llm.pii import base_spans, find_personal_data
 from strandweave.tables import Workspace
 
@@ -139,3 +143,50 @@ def test_context_spans_equal_a_scan_of_all_texts_at_once(spark):
         base = joined(texts[number])
         more = ",".join(f"context:{s}:{e}" for s, e in sorted(wanted[number]))
         assert got[number] == ",".join(filter(None, (base, more))), number
+
+
+def plain_words(texts, patterns, power):
+    table = bytearray(pii.PATTERN_BITS)
+    for pattern in patterns:
+        table[pattern % pii.PATTERN_BITS] = power
+    batches = [pd.DataFrame({"text": texts[k:k + 7]}) for k in range(0, len(texts), 7)]
+    return [tuple(row) for found in pii._plain(zlib.compress(bytes(table)))(iter(batches)) for row in found.itertuples(index=False)]
+
+
+def test_plain_words_cost_a_hash_a_word_and_none_a_pair(monkeypatch):
+    draw = random.Random(2)
+    words = [f"word{'abcdefghijklmnopqrst'[k // 20]}{'abcdefghijklmnopqrst'[k % 20]}" for k in range(200)]
+    texts = [" ".join(draw.choices(words, k=300)) for _ in range(30)]
+    calls, plain = [], pii.xxhash.xxh64_intdigest
+    monkeypatch.setattr(pii.xxhash, "xxh64_intdigest", lambda text: calls.append(text) or plain(text))
+    assert plain_words(texts, [], 1) == [] and len(calls) <= 2 * len(words)
+
+
+def test_plain_words_equal_a_walk_over_each_text(monkeypatch):
+    draw = random.Random(4)
+    some = ["at", "At,", "(at)", "the", "THE", "..", ",", "\xa0x", "\x85", "\x1c", "\u0130\u03a3.", "\U0001f600", "no", "yes.", "a1", "a@b", "code-1", "x@y.org", "+1", "(269)", "5553296", "10.0.0.1"]
+    texts = [None, "", " \t", "at", "at the", "end at the", "noon is", "\n"]
+    texts += ["".join(draw.choice(some) + draw.choice([" ", "  ", "\t\n", "\x0b", "\x0c\r"]) for _ in range(draw.randrange(60))) for _ in range(300)]
+    bare = lambda word: word.strip(".,;:!?()[]{}<>\"'").lower()
+    pairs = [("at", "the"), ("the", "at"), ("", "no"), ("\x85", "at"), ("+1", "(269)"), ("i\u0307\u03c3", "the")]
+    patterns = {pii._pattern(*pair): pair for pair in pairs}
+    assert len(patterns) == len(pairs)
+    wanted = set()
+    for text in filter(None, texts):
+        spans = [(start, end) for _, start, end in base_spans(text)]
+        words = [(m.start(), m.group()) for m in re.finditer(r"[^\x20\x09-\x0D]+", text)]
+        for (_, a), (_, b), (begin, word) in zip(words, words[1:], words[2:], strict=False):
+            pattern = pii._pattern(a, b)
+            if pattern not in patterns or any(begin <= start < begin + len(word) for start, _ in spans):
+                continue
+            alike = len(bare(word)) >= 5 and re.search("[0-9@]", word) and not any(start < begin < end for start, end in spans)
+            if not alike:
+                wanted.add((pattern, pii._hash(bare(word) or word.lower())))
+    assert len(wanted) > 40 and len({pattern for pattern, _ in wanted}) >= 5
+    for chunk in (1, 50, 1 << 16):
+        monkeypatch.setattr(pii, "CHUNK", chunk, raising=False)
+        monkeypatch.setattr(pii, "MEMO", chunk)
+        got = plain_words(texts, patterns, pii.UNBOUNDED)
+        assert set(got) == wanted and len(got) == len(wanted), chunk
+    few = plain_words(texts, patterns, 1)  # a pattern's third word is the last that is said
+    assert set(few) <= wanted and all(1 <= sum(p == pattern for p, _ in few) <= 3 for pattern, _ in wanted)
