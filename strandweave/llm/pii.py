@@ -50,6 +50,7 @@ _EDGES = ".,;:!?()[]{}<>\"'"
 _EDGE_BYTES = _EDGES.encode()
 
 PATTERN_BITS = 1 << 22
+CHECK_BITS = 1 << 25
 LEAST_SEEDS = 3
 # Seeds and look-alikes must be this share at least of the different values that a pattern shows;
 # its score cannot be above it.
@@ -190,7 +191,7 @@ def _chunks(texts: pd.Series) -> Iterator[tuple[list[str], list[list[bytes]]]]:
         yield some, words
 
 
-def _shown(texts: list[str], words: list[list[bytes]], known: _Words, table: np.ndarray) -> Iterator[tuple[int, int]]:
+def _shown(texts: list[str], words: list[list[bytes]], known: _Words, table: np.ndarray, checks: np.ndarray | None) -> Iterator[tuple[int, int]]:
     """(pattern, word) of the plain words after patterns of the table, each once."""
     sizes = np.array([len(w) for w in words])
     firsts = np.cumsum(sizes) - sizes
@@ -198,6 +199,9 @@ def _shown(texts: list[str], words: list[list[bytes]], known: _Words, table: np.
     parts = np.array(known.parts)[numbers]
     patterns = parts[:-2] * np.uint64(ORDER) + parts[1:-1]  # of the words from the third on
     at = np.flatnonzero(table[patterns % np.uint64(PATTERN_BITS)]) + 2
+    if checks is not None:
+        bits = (patterns[at - 2] >> np.uint64(32)) % np.uint64(CHECK_BITS)
+        at = at[checks[bits >> np.uint64(3)] >> (bits & np.uint64(7)).astype(np.uint8) & 1 == 1]
     of = np.searchsorted(firsts, at, "right") - 1
     inside = at - firsts[of] >= 2  # a text's first two words have no pattern
     at, of = at[inside], of[inside]
@@ -220,8 +224,8 @@ def _shown(texts: list[str], words: list[list[bytes]], known: _Words, table: np.
     return zip(found["pattern"].tolist(), found["word"].tolist(), strict=True)
 
 
-def _plain(packed: bytes):
-    """(pattern, word) of the plain words after the patterns that the table holds.
+def _plain(packed: bytes, packed_checks: bytes | None = None):
+    """(pattern, word) of the plain words after the patterns that the table holds and, if given, the second filter.
 
     The table gives a pattern's limit as a power of two.  A task says a word once, and of a pattern
     no more than one word above its limit, which is all it takes to leave the pattern out.
@@ -229,6 +233,7 @@ def _plain(packed: bytes):
 
     def show(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         table = np.frombuffer(zlib.decompress(packed), dtype=np.uint8)
+        checks = np.frombuffer(zlib.decompress(packed_checks), dtype=np.uint8) if packed_checks else None
         said: dict[int, set[int]] = {}
         held = 0
         full: set[int] = set()  # each has said more than its limit
@@ -238,7 +243,7 @@ def _plain(packed: bytes):
             for texts, words in _chunks(batch["text"]):
                 if len(known) > MEMO:
                     known = _Words()
-                for pattern, value in _shown(texts, words, known, table):
+                for pattern, value in _shown(texts, words, known, table, checks):
                     if pattern in full:
                         continue
                     mine = said.setdefault(pattern, set())
@@ -275,6 +280,20 @@ def _table(patterns: DataFrame) -> bytes:
     return zlib.compress(table.tobytes(), 1)
 
 
+def _checks(patterns: DataFrame) -> bytes:
+    """A bit per place of the patterns' upper halves, of fixed size: few other pairs pass it and the table, which meets the lower halves."""
+    place = (F.pmod(F.shiftrightunsigned("pattern", 32), F.lit(CHECK_BITS)) + 1).alias("place")
+    pieces = (
+        patterns.select(place).groupBy(F.bitmap_bucket_number("place").alias("piece"))
+        .agg(F.bitmap_construct_agg(F.bitmap_bit_position("place")).alias("bits")).collect()
+    )
+    checks = np.zeros(CHECK_BITS // 8, dtype=np.uint8)
+    for piece in pieces:
+        bits = np.frombuffer(piece.bits, dtype=np.uint8)
+        checks[(piece.piece - 1) * len(bits):piece.piece * len(bits)] = bits
+    return zlib.compress(checks.tobytes(), 1)
+
+
 def _plain_words(source: DataFrame, patterns: DataFrame, workspace: Workspace) -> DataFrame:
     """(pattern, rest): the number of different plain words after each pattern where it is at most ``most``; other patterns have no row.
 
@@ -286,7 +305,7 @@ def _plain_words(source: DataFrame, patterns: DataFrame, workspace: Workspace) -
     for high in STEPS:
         texts = source.where((part >= low) & (part < high)).select("text")
         with settings(source.sparkSession, SMALL_BATCHES):
-            words = workspace.write(texts.mapInPandas(_plain(_table(alive)), "pattern bigint, word bigint"), "words")
+            words = workspace.write(texts.mapInPandas(_plain(_table(alive), _checks(alive)), "pattern bigint, word bigint"), "words")
         said.append(words)
         counted = reduce(DataFrame.unionByName, said).groupBy("pattern").agg(F.countDistinct("word").alias("rest"))
         left = alive.select("pattern", "most").join(counted, "pattern", "left")  # the table lets others pass, they have no row here

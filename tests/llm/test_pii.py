@@ -190,3 +190,13 @@ def test_plain_words_equal_a_walk_over_each_text(monkeypatch):
         assert set(got) == wanted and len(got) == len(wanted), chunk
     few = plain_words(texts, patterns, 1)  # a pattern's third word is the last that is said
     assert set(few) <= wanted and all(1 <= sum(p == pattern for p, _ in few) <= 3 for pattern, _ in wanted)
+
+
+def test_pairs_in_the_place_of_a_pattern_are_not_taken_for_it(spark):
+    texts = [f"left{k} right{k} word" for k in range(3000)]
+    patterns = [pii._pattern(f"left{k}", f"right{k}") for k in range(0, 3000, 2)]
+    low = spark.createDataFrame([(p, 5) for p in patterns], "pattern bigint, most bigint")
+    everywhere = zlib.compress(b"\5" * pii.PATTERN_BITS)  # every pair is in the place of a pattern
+    found = pd.concat(pii._plain(everywhere, pii._checks(low))(iter([pd.DataFrame({"text": texts})])))
+    assert set(patterns) <= set(found["pattern"]) and len(found) <= len(patterns) + 3
+    assert len(plain_words(texts, patterns, 5)) >= len(patterns)
