@@ -69,3 +69,53 @@ def test_recall(spark):
         best = set(ids[np.argsort(-scores)[:20]].tolist())
         hits, total = hits + len(best & got[ids[k]]), total + 20
     assert hits / total >= 0.95
+
+
+class Counted(Workspace):
+    """Counts the tables that are written."""
+
+    written = 0
+
+    def folder(self, name):
+        self.written += 1
+        return super().folder(name)
+
+
+def test_tables_do_not_grow_with_rounds_and_hops(spark):
+    """Each round and each hop used to join and write tables of edges."""
+    workspace = Counted(spark)
+    found = ann.nearest(spark.read.parquet("/root/testdata/sf0.01/embeddings.parquet"), workspace)
+    assert found.count() == 25 * 20 and workspace.written <= 6
+
+
+@pytest.mark.parametrize("kind", ["float", "double"])
+def test_parts_and_slices(spark, monkeypatch, kind):
+    monkeypatch.setattr(ann, "PART", 60)
+    monkeypatch.setattr(ann, "SLICE", 7)
+    rng = np.random.default_rng(5)
+    rows = [(i, np.float32(rng.normal(size=6) * 10.0 ** rng.integers(-3, 4)).tolist()) for i in range(400)]
+    rows += [(1000 + i, rows[i % 3][1]) for i in range(80)]  # copies: one node, many ids
+    frame = spark.createDataFrame([(i, v) for i, v in rows], f"vec_id bigint, embedding array<{kind}>")
+    got = sorted((r.query_id, r.rank, r.vec_id, r.score) for r in ann.nearest(frame, Workspace(spark), every=10).collect())
+    wanted = sorted(by_hand(rows, 10, 20, 6))
+    assert [x[:3] for x in got] == [x[:3] for x in wanted]
+    assert np.allclose([x[3] for x in got], [x[3] for x in wanted], rtol=1e-12, atol=1e-8)
+
+
+def test_graph_and_walk_of_a_part():
+    points = np.random.default_rng(8).normal(size=(7000, 24)).astype(np.float32)
+    points /= np.linalg.norm(points, axis=1, keepdims=True)
+    graph = ann.descend(points)
+    begin, to = ann.ways(graph)
+    assert (graph.to >= 0).all() and (np.diff(begin) <= ann.DEGREE + ann.INCOMING).all()
+    asked = np.arange(0, 7000, 70)
+    beam = ann.walk(points, begin, to, points[asked], asked)
+    edges = reached = 0
+    for k, node in enumerate(asked):
+        scores = points @ points[node]
+        scores[node] = -np.inf
+        order = np.argsort(-scores)
+        edges += len(set(order[:ann.DEGREE].tolist()) & set(graph.to[node].tolist()))
+        reached += len(set(order[:20].tolist()) & set(beam[k].tolist()))
+        assert node in beam[k] and len(set(beam[k].tolist())) == ann.BEAM
+    assert edges >= 0.9 * 100 * ann.DEGREE and reached >= 0.98 * 100 * 20
