@@ -38,6 +38,8 @@ PARTS = 12
 SMALL = 8192
 # Queries that meet a part in one task.
 SLICE = 131_072
+# Tasks, at most; very many lengths share them.
+TASKS = 2000
 # Components gathered, and edges found, before they are worked off.
 GATHERED = 2 ** 22
 FOUND = 1_000_000
@@ -61,6 +63,17 @@ def _scaled(vectors: np.ndarray) -> np.ndarray:
     return np.ldexp(vectors.astype(np.float64), -int(np.frexp(np.abs(vectors).max(initial=0))[1])).astype(np.float32)
 
 
+def _largest(scores: np.ndarray, most: int) -> np.ndarray:
+    """Of each row the places of its ``most`` largest, in no order."""
+    return np.argpartition(scores, scores.shape[1] - most, axis=1)[:, scores.shape[1] - most:]
+
+
+def _ranked(nodes: np.ndarray, scores: np.ndarray) -> np.ndarray:
+    """A number per edge that sorts by node, best scores first."""
+    bits = (scores.astype(np.float32) + np.float32(0)).view(np.int32).astype(np.int64)
+    return (nodes.astype(np.int64) << 32) + 2 ** 31 - np.where(bits < 0, -(bits & 0x7FFFFFFF), bits)
+
+
 class Graph:
     """``degree`` neighbours of each node: to whom, score, and whether the edge is fresh; -1 stands for none."""
 
@@ -69,17 +82,18 @@ class Graph:
         self.fresh = np.zeros((n, degree), dtype=bool)
 
     def add(self, nodes: np.ndarray, to: np.ndarray, scores: np.ndarray) -> None:
-        """A row of further edges for each of the nodes; the best stay, and an edge that is there stays as it is."""
+        """A row of further edges for each of the nodes, none twice; the best stay, and an edge that is there stays as it is."""
         degree = self.to.shape[1]
-        to, scores = np.concatenate((self.to[nodes], to), axis=1), np.concatenate((self.scores[nodes], scores), axis=1)
-        fresh = np.concatenate((self.fresh[nodes], np.ones((len(nodes), to.shape[1] - degree), dtype=bool)), axis=1)
-        order = np.argsort(to, axis=1, kind="stable")
-        to, scores, fresh = (np.take_along_axis(x, order, axis=1) for x in (to, scores, fresh))
-        scores[:, 1:][to[:, 1:] == to[:, :-1]] = -np.inf
-        best = np.argpartition(-scores, degree - 1, axis=1)[:, :degree]
-        to, scores, fresh = (np.take_along_axis(x, best, axis=1) for x in (to, scores, fresh))
-        to[scores == -np.inf] = -1
-        self.to[nodes], self.scores[nodes], self.fresh[nodes] = to, scores, fresh
+        for at in range(0, len(nodes), BLOCK):
+            some = nodes[at:at + BLOCK]
+            known = (to[at:at + BLOCK, :, None] == self.to[some][:, None, :]).any(axis=2)
+            all_to = np.concatenate((self.to[some], to[at:at + BLOCK]), axis=1)
+            all_scores = np.concatenate((self.scores[some], np.where(known, -np.inf, scores[at:at + BLOCK])), axis=1)
+            fresh = np.concatenate((self.fresh[some], ~known), axis=1)
+            best = _largest(all_scores, degree)
+            all_to, all_scores, fresh = (np.take_along_axis(x, best, axis=1) for x in (all_to, all_scores, fresh))
+            all_to[all_scores == -np.inf] = -1
+            self.to[some], self.scores[some], self.fresh[some] = all_to, all_scores, fresh
 
     def merge(self, u: np.ndarray, v: np.ndarray, scores: np.ndarray) -> None:
         """Further edges, in any order and perhaps more than once."""
@@ -88,7 +102,7 @@ class Graph:
         order = np.argsort(key)
         key = key[order]
         order = order[np.append(True, key[1:] != key[:-1])]
-        order = order[np.lexsort((-scores[order], u[order]))]
+        order = order[np.argsort(_ranked(u[order], scores[order]))]
         u, v, scores = u[order], v[order], scores[order]
         changes = np.append(True, u[1:] != u[:-1])
         begin, slot = np.flatnonzero(changes), np.cumsum(changes) - 1
@@ -112,7 +126,7 @@ def _start(points: np.ndarray, graph: Graph, draw: np.random.Generator) -> None:
             nodes = order[begin:begin + BLOCK]
             scores = points[nodes[at - begin:]] @ points[nodes].T
             np.fill_diagonal(scores[:, at - begin:], -np.inf)
-            best = np.argpartition(-scores, degree - 1, axis=1)[:, :degree]
+            best = _largest(scores, degree)
             graph.add(nodes[at - begin:], nodes[best].astype(np.int32), np.take_along_axis(scores, best, axis=1))
 
 
@@ -178,10 +192,11 @@ def ways(graph: Graph) -> tuple[np.ndarray, np.ndarray]:
     n = len(graph.to)
     u, place = np.nonzero(graph.to >= 0)
     v = graph.to[u, place].astype(np.int64)
-    order = np.lexsort((u, -graph.scores[u, place], v))
+    order = np.argsort(_ranked(v, graph.scores[u, place]), kind="stable")
     come, away = v[order], u[order]
     few = np.arange(len(come)) - np.searchsorted(come, np.arange(n))[come] < INCOMING
-    node, to = np.divmod(np.unique(np.concatenate((u * n + v, come[few] * n + away[few]))), n)
+    key = np.sort(np.concatenate((u * n + v, come[few] * n + away[few])))
+    node, to = np.divmod(key[np.append(True, key[1:] != key[:-1])[:len(key)]], n)
     return np.searchsorted(node, np.arange(n + 1)).astype(np.int64), to.astype(np.int32)
 
 
@@ -193,7 +208,7 @@ def walk(points: np.ndarray, begin: np.ndarray, to: np.ndarray, wanted: np.ndarr
     entries = np.sort(np.random.default_rng(3).permutation(n)[:ENTRIES])
     first = min(width, len(entries))
     scores = wanted @ points[entries].T
-    best = np.argpartition(-scores, first - 1, axis=1)[:, :first]
+    best = _largest(scores, first)
     nodes, held = np.full((asked, width), -1, dtype=np.int32), np.full((asked, width), -np.inf, dtype=np.float32)
     nodes[:, :first], held[:, :first] = entries[best], np.take_along_axis(scores, best, axis=1)
     for query in np.flatnonzero((own >= 0) & ~(nodes == own[:, None]).any(axis=1)).tolist():
@@ -206,7 +221,7 @@ def walk(points: np.ndarray, begin: np.ndarray, to: np.ndarray, wanted: np.ndarr
     while True:
         waiting = np.where(done | (nodes < 0), -np.inf, held)
         most = min(FOLLOWED, width)
-        chosen = np.argpartition(-waiting, most - 1, axis=1)[:, :most]
+        chosen = _largest(waiting, most)
         query, which = np.nonzero(np.take_along_axis(waiting, chosen, axis=1) > -np.inf)
         if not len(query):
             return nodes
@@ -216,7 +231,7 @@ def walk(points: np.ndarray, begin: np.ndarray, to: np.ndarray, wanted: np.ndarr
         many = lengths[followed]
         ends = np.cumsum(many)
         key = to.take(np.repeat(begin[followed] - ends + many, many) + np.arange(ends[-1])) + np.repeat(query * n, many)
-        key = np.sort(key[~seen.take(key)])
+        key = np.sort(key[~seen.take(key)].astype(np.int32))
         key = key[np.append(True, key[1:] != key[:-1])[:len(key)]]
         seen[key] = True
         cuts, least, reached = np.searchsorted(key, np.arange(asked + 1) * n), held.min(axis=1), []
@@ -230,7 +245,7 @@ def walk(points: np.ndarray, begin: np.ndarray, to: np.ndarray, wanted: np.ndarr
         all_nodes[:, :width], all_held[:, :width], all_done[:, :width] = nodes, held, done
         for at, (node, score) in enumerate(reached):
             all_nodes[at, width:width + len(node)], all_held[at, width:width + len(node)] = node, score
-        best = np.argpartition(-all_held, width - 1, axis=1)[:, :width]
+        best = _largest(all_held, width)
         nodes, held, done = (np.take_along_axis(x, best, axis=1) for x in (all_nodes, all_held, all_done))
 
 
@@ -332,8 +347,9 @@ def nearest(embeddings: DataFrame, workspace: Workspace, every: int = 20, count:
     lengths = nodes.groupBy(F.size("vector").alias("dimension")).count().collect()
     slices = max(1, -(-asking.rows // SLICE))
     parts = {row.dimension: _parts(row["count"], row.dimension) for row in lengths}
-    tasks = max(1, slices * sum(parts.values()))
-    keys = iter(_dealt(spark, tasks))
+    wanted = slices * sum(parts.values())
+    tasks = max(1, min(TASKS, wanted))
+    keys = iter(_dealt(spark, tasks) if wanted <= TASKS else range(wanted))
     # Of each length the groups: a part and a slice of the queries; a part is built under its first group.
     groups = spark.createDataFrame(
         [(dimension, number, [[next(keys) for _ in range(slices)] for _ in range(number)]) for dimension, number in parts.items()],

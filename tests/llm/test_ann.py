@@ -92,6 +92,7 @@ def test_tables_do_not_grow_with_rounds_and_hops(spark):
 def test_parts_and_slices(spark, monkeypatch, kind):
     monkeypatch.setattr(ann, "PART", 60)
     monkeypatch.setattr(ann, "SLICE", 7)
+    monkeypatch.setattr(ann, "TASKS", 9 if kind == "double" else 2000)
     rng = np.random.default_rng(5)
     rows = [(i, np.float32(rng.normal(size=6) * 10.0 ** rng.integers(-3, 4)).tolist()) for i in range(400)]
     rows += [(1000 + i, rows[i % 3][1]) for i in range(80)]  # copies: one node, many ids
